@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    return Catalog(spark, {t: view(spark, sf_dir, v) for t, v in CATALOG_VIEWS.items()})
+    return Catalog(spark, {t: partial(view, spark, sf_dir, v) for t, v in CATALOG_VIEWS.items()})
 
 
 def with_views(text: str, *names: str) -> str:
@@ -376,7 +377,7 @@ def _(c):
 )
 def _(c):
     number = c.count_records("toi", "tfopwg_disp = 'PC'")
-    return c.spark.createDataFrame([(number,)], "records bigint")
+    return c.spark.range(1).select(F.lit(number).cast("bigint").alias("records"))
 
 
 @on_catalog(

@@ -30,8 +30,12 @@ def strip(c: Column) -> Column:
 
 
 def nulls_to_null(c: Column) -> Column:
-    """NULL for text that means a missing value; other text is kept as it is, blanks included."""
-    return F.when(strip(c).isin(*NULL_TOKENS), F.lit(None)).otherwise(c)
+    """NULL for text that means a missing value; other text is kept as it is, blanks included.
+
+    Most cells are told from a marker by their first character, without trimming them.
+    """
+    first = F.substring(c, 1, 1).isin(sorted({*WHITE_SPACE, *(t[:1] for t in NULL_TOKENS)}))
+    return F.when(first & strip(c).isin(*NULL_TOKENS), F.lit(None)).otherwise(c)
 
 
 def slug(c: Column) -> Column:
@@ -86,30 +90,27 @@ def format_coordinate(c: Column, precision: int = 6) -> Column:
 
     ``format_string`` rounds the shortest decimal form instead, which differs on values such
     as 2.675. Here the product with the power of ten is split into a rounded part and its
-    exact error, and the error settles the ties. Huge numbers, which have no decimals left,
-    and NaN are left to ``format_string``.
+    exact error, and the error settles the ties. Numbers beyond a million and NaN, which are no
+    coordinates, are left to ``format_string``.
     """
     if not 0 <= precision <= 9:
         raise ValueError(f"precision out of range: {precision}")
     x = c.cast("double")
-    size, scale = F.abs(x), 10**precision
-    product = size * float(scale)
+    size, scale = F.when(F.abs(x) < 1e6, F.abs(x)), 10.0**precision
+    product = size * scale
+    nearest = F.rint(product)
     # The split into two halves of 26 bits makes both partial products exact.
     high = size * 134217729.0 - (size * 134217729.0 - size)
-    error = (high * float(scale) - product) + (size - high) * float(scale)
-    nearest = F.rint(product)
-    units = (
-        F.when((product - nearest == 0.5) & (error > 0), nearest + 1)
-        .when((product - nearest == -0.5) & (error < 0), nearest - 1)
-        .otherwise(nearest)
-    ).cast("bigint")
-    text = F.concat(
-        F.when(x.cast("string").startswith("-"), "-").otherwise(""),
-        ((units - units % scale) / scale).cast("bigint").cast("string"),
-    )
+    error = (high * scale - product) + (size - high) * scale
+    # On a tie of the rounded product, the exact value lies on the side of the error.
+    missed = (F.abs(product - nearest) == 0.5) & ((product - nearest) * error > 0)
+    units = (nearest + F.when(missed, F.signum(error)).otherwise(0.0)).cast("bigint")
+    negative = (x < 0) | ((x == 0) & x.cast("string").startswith("-"))
+    parts = [F.when(negative, "-").otherwise(""), F.floor(units / scale).cast("string")]
     if precision:
-        text = F.concat(text, F.lit("."), F.lpad((units % scale).cast("string"), precision, "0"))
-    return F.when(product < 2.0**52, text).otherwise(F.format_string(f"%.{precision}f", x))
+        decimals = (units % 10**precision).cast("string")
+        parts += [F.lit("."), F.lpad(decimals, precision, "0")]
+    return F.coalesce(F.concat(*parts), F.format_string(f"%.{precision}f", x))
 
 
 def date_pattern(fmt: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,35 +12,45 @@ from skyloom.operators.query import CatalogQuery
 
 
 class Catalog:
-    """Looks a table name up among the given DataFrames, else as a Parquet directory under
-    ``base_path``, or without one as a table or view of the Spark session."""
+    """Looks a table name up among the given tables, else as a Parquet directory under
+    ``base_path``, or without one as a table or view of the Spark session.
+
+    A given table is a DataFrame or a function that opens one when it is first needed.
+    """
 
     def __init__(
         self,
         spark: SparkSession,
-        tables: Mapping[str, DataFrame] | None = None,
+        tables: Mapping[str, DataFrame | Callable[[], DataFrame]] | None = None,
         base_path: str | None = None,
     ):
         self.spark = spark
         self.tables = dict(tables or {})
         self.base_path = base_path
 
-    def register(self, name: str, df: DataFrame) -> None:
-        self.tables[name] = df
+    def register(self, name: str, table: DataFrame | Callable[[], DataFrame]) -> None:
+        self.tables[name] = table
 
     def table(self, name: str) -> DataFrame:
         if name in self.tables:
-            return self.tables[name]
+            table = self.tables[name]
+            if not isinstance(table, DataFrame):
+                table = self.tables[name] = table()
+            return table
         if self.base_path:
             return self.spark.read.parquet(f"{self.base_path}/{name}")
         return self.spark.table(name)
 
+    def given(self) -> dict[str, DataFrame]:
+        """The given tables, all opened."""
+        return {name: self.table(name) for name in self.tables}
+
     def query(self) -> CatalogQuery:
         return CatalogQuery(self)
 
     def sql(self, text: str) -> DataFrame:
         """Runs Spark SQL in which the given DataFrames are known by their names."""
-        for name, df in self.tables.items():
+        for name, df in self.given().items():
             df.createOrReplaceTempView(name)
         return self.spark.sql(text)
 
@@ -50,9 +60,9 @@ class Catalog:
 
     def list_tables(self) -> DataFrame:
         """Name, number of columns and number of rows of every given table."""
-        return table_profile(self.spark, self.tables)
+        return table_profile(self.spark, self.given())
 
     def table_schema(self, name_pattern: str) -> DataFrame:
         """Columns of the given tables whose name is LIKE the pattern."""
-        columns = column_list(self.spark, self.tables)
+        columns = column_list(self.spark, self.given())
         return columns.where(F.col("table_name").like(name_pattern))
