@@ -1,0 +1,204 @@
+import pytest
+from conftest import plan_text, settings
+from pyspark.sql import functions as F
+
+from skyloom import Catalog, run_spec
+from skyloom.functions import sky
+from skyloom.operators.query import all_of, open_range
+
+ROWS = [
+    ("a", 1.0, 1, "Published Confirmed", "Transit"),
+    ("b", 2.0, 0, "Published Candidate", "Imaging"),
+    ("c", None, 1, None, "Transit"),
+    ("d'e", 0.5, 1, "confirmed", "O{dd}"),
+    ("f", 9.0, 0, "False Positive", None),
+]
+
+
+@pytest.fixture(scope="module")
+def catalog(spark):
+    ps = spark.createDataFrame(
+        ROWS,
+        "pl_name string, pl_masse double, default_flag int, soltype string,"
+        " discoverymethod string",
+    ).withColumns({"ra": F.lit(10.0), "dec": F.lit(20.0), "pl_rade": F.col("pl_masse") * 2})
+    return Catalog(spark, {"ps": ps})
+
+
+def names(query):
+    return sorted(row.pl_name for row in query.to_df().collect())
+
+
+@pytest.fixture(scope="module")
+def base(catalog):
+    return catalog.query().select("pl_name").from_table("ps")
+
+
+def test_select_and_from_are_required(catalog):
+    with pytest.raises(ValueError):
+        catalog.query().from_table("ps").to_df()
+    with pytest.raises(ValueError):
+        catalog.query().select("*").to_df()
+
+
+def test_select_all_and_expressions(catalog):
+    query = catalog.query().from_table("ps")
+    assert query.select("*").to_df().columns == catalog.table("ps").columns
+    both = query.select("pl_name, pl_masse * 2 AS twice").to_df()
+    assert both.columns == ["pl_name", "twice"]
+
+
+def test_last_projection_and_table_win(catalog):
+    query = catalog.query().distinct("soltype").select("pl_name").from_table("x").from_table("ps")
+    assert query.to_df().columns == ["pl_name"]
+    assert query.count("pl_masse").to_df().first()["count"] == 4
+    assert query.count().to_df().first()["count"] == 5
+
+
+def test_queries_are_not_changed_by_later_calls(base):
+    narrow = base.where("pl_masse > 1")
+    assert len(names(base)) == 5
+    assert names(narrow) == ["b", "f"]
+
+
+def test_and_binds_tighter_than_or(base):
+    query = base.where("pl_name = 'a'").or_where("pl_masse > 1").and_where("default_flag = 1")
+    assert names(query) == ["a"]
+    mixed = base.where("pl_name = 'a' OR pl_masse > 1").and_where("default_flag = 1")
+    assert names(mixed) == ["a"]
+
+
+def test_and_or_as_first_condition(base):
+    assert names(base.and_where("pl_masse > 5")) == ["f"]
+    assert names(base.or_where("pl_masse > 5")) == ["f"]
+
+
+def test_where_drops_earlier_conditions(base):
+    query = base.where_in("pl_name", ["a"]).where("pl_masse > 1").where_between("pl_masse", 2, 3)
+    assert names(query) == ["b"]
+
+
+def test_between_has_both_ends(base):
+    assert names(base.where_between("pl_masse", 0.5, 2.0)) == ["a", "b", "d'e"]
+
+
+def test_in_binds_quotes_and_numbers(base):
+    assert names(base.where_in("pl_name", ["d'e", "b"])) == ["b", "d'e"]
+    assert names(base.where_in("default_flag", [0])) == ["b", "f"]
+    assert names(base.where_in("pl_name", [])) == []
+
+
+def test_like(base):
+    assert names(base.where_like("soltype", "%confirmed")) == ["a", "d'e"]
+    assert names(base.where_like("soltype", "%confirmed", case_insensitive=False)) == ["d'e"]
+
+
+def test_named_filters(base):
+    assert names(base.where_confirmed()) == ["a", "d'e"]
+    assert names(base.where_candidates()) == ["b"]
+    assert names(base.where_discovery_method("Transit")) == ["a", "c"]
+    assert names(base.where_default_flag()) == ["a", "c", "d'e"]
+    assert names(base.where_has_mass()) == ["a", "b", "d'e", "f"]
+    assert names(base.where_has_radius().where_earth_sized()) == ["d'e"]
+    assert names(base.where_earth_sized(4)) == ["a", "b", "d'e"]
+
+
+def test_filters_from_a_dict(base):
+    assert names(base.where_filters({"default_flag": 1, "pl_name": ("a", "b")})) == ["a"]
+    assert len(names(base.where_filters(None))) == 5
+
+
+def test_braces_and_colons_in_text(base):
+    assert names(base.where("discoverymethod = 'O{dd}'")) == ["d'e"]
+    assert names(base.where("concat(pl_name, ':v0') = 'a:v0'").where_in("pl_name", ["a"])) == ["a"]
+
+
+def test_sky_filters(base):
+    assert len(names(base.where_spatial_circle(10, 20, 0.1))) == 5
+    assert names(base.where_spatial_box(40, 20, 1, 1)) == []
+    inside = sky.polygon([(9, 19), (11, 19), (11, 21), (9, 21)])
+    assert names(base.where(inside).and_where("pl_masse > 5")) == ["f"]
+
+
+def test_groups(catalog):
+    query = catalog.query().select(["default_flag", "count(*) AS n"]).from_table("ps")
+    grouped = query.group_by("default_flag").having("count(*) > 2")
+    assert [tuple(r) for r in grouped.to_df().collect()] == [(1, 3)]
+    ordered = query.group_by(["default_flag"]).order_by("n", ascending=False).to_df()
+    assert [r.n for r in ordered.collect()] == [3, 2]
+    total = catalog.query().count().from_table("ps")
+    assert total.having("count(*) > 5").to_df().collect() == []
+    assert total.order_by("count").to_df().first()["count"] == 5
+
+
+def test_order_has_nulls_last(base):
+    for ascending, expected in ((True, ["d'e", "a", "b", "f", "c"]), (False, list("fba"))):
+        rows = base.order_by("pl_masse", ascending).to_df().collect()
+        assert [r.pl_name for r in rows][: len(expected)] == expected
+        assert rows[-1].pl_name == "c"
+
+
+def test_last_order_wins_and_lists_sort_by_each(base):
+    query = base.order_by("pl_name").order_by(["default_flag", "pl_masse"], ascending=False)
+    assert [r.pl_name for r in query.to_df().collect()] == ["a", "d'e", "c", "f", "b"]
+
+
+def test_limit(base):
+    assert len(names(base.limit(2))) == 2
+    assert len(names(base.limit(0))) == len(names(base.limit(None))) == 5
+    with pytest.raises(ValueError):
+        base.limit(-1)
+
+
+def test_distinct_then_limit(catalog):
+    query = catalog.query().distinct(["default_flag"]).from_table("ps").order_by("default_flag")
+    assert [r.default_flag for r in query.limit(1).to_df().collect()] == [0]
+
+
+def test_top_k_plan_settles_ties(base):
+    plan = plan_text(base.order_by("default_flag").limit(3).to_df())
+    assert "TakeOrderedAndProject" in plan
+    assert [r.pl_name for r in base.order_by("default_flag").limit(3).to_df().collect()] == [
+        "b", "f", "a",
+    ]
+
+
+def test_a_full_sort_can_split_a_frequent_key(spark):
+    rows = spark.range(0, 20000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(7).alias("year"), F.lit("x").alias("n")
+    )
+    query = Catalog(spark, {"t": rows}).query().select(["year", "n"]).from_table("t")
+    ordered = query.order_by("year").to_df()
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        sizes = ordered.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 20000
+    assert max(r["count"] for r in sizes) < 13000
+
+
+def test_helpers():
+    assert all_of() == all_of(None, "", "  ") == ""
+    assert all_of(" a > 1 ", None, "b < 2") == "a > 1 AND b < 2"
+    assert open_range("x", 1, 2) == "x >= 1 AND x <= 2"
+    assert open_range("x", hi=2) == "x <= 2"
+    assert open_range("x") == ""
+
+
+def test_run_spec(catalog):
+    rows = run_spec(
+        catalog,
+        {"table_name": "ps", "filters": {"default_flag": 1}, "order_by": "pl_name", "limit": 2},
+    )
+    assert [r.pl_name for r in rows.collect()] == ["a", "c"]
+    assert run_spec(catalog, {"table_name": "ps", "columns": ["pl_name"]}).columns == ["pl_name"]
+
+
+def test_catalog(spark, catalog, tmp_path):
+    assert catalog.count_records("ps") == 5
+    assert catalog.count_records("ps", "default_flag = 1") == 3
+    assert catalog.sql("SELECT max(pl_masse) AS m FROM ps").first().m == 9.0
+    assert catalog.table_schema("p_").count() == len(catalog.table("ps").columns)
+    assert catalog.table_schema("q%").count() == 0
+    catalog.table("ps").write.parquet(f"{tmp_path}/toi")
+    assert Catalog(spark, base_path=str(tmp_path)).table("toi").count() == 5
+    catalog.table("ps").createOrReplaceTempView("some_view")
+    assert Catalog(spark).table("some_view").count() == 5
