@@ -110,7 +110,8 @@ def format_coordinate(c: Column, precision: int = 6) -> Column:
     if precision:
         decimals = (units % 10**precision).cast("string")
         parts += [F.lit("."), F.lpad(decimals, precision, "0")]
-    return F.coalesce(F.concat(*parts), F.format_string(f"%.{precision}f", x))
+    other = F.when(x.isNotNull(), F.format_string(f"%.{precision}f", x))
+    return F.coalesce(F.concat(*parts), other)
 
 
 def date_pattern(fmt: str) -> str:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from skyloom.functions import cells
 from skyloom.vocab import COORDINATE_COLUMNS, METHOD_SPELLINGS, PLANET_UNITS
@@ -282,7 +282,9 @@ def python_rule(
     Where the function fails, the cell is kept as far as ``returns`` can hold it, and the
     message goes to ``_rule_errors``. An error in the condition fails the job.
     """
-    schema = T.StructType().add("value", returns).add("error", "string")
+    value_type = T.DataType.fromDDL(returns)
+    schema = T.StructType().add("value", value_type).add("error", "string").add("kept", "boolean")
+    arrow_schema = to_arrow_schema(schema)
 
     def run(batch: pa.Array) -> pa.Array:
         values, errors, kept = [], [], []
@@ -296,18 +298,11 @@ def python_rule(
             values.append(value)
             errors.append(error)
             kept.append(keep)
-        return pa.StructArray.from_arrays(
-            [
-                pa.array(values, type=value_type),
-                pa.array(errors, type=pa.string()),
-                pa.array(kept, type=pa.bool_()),
-            ],
-            names=["value", "error", "kept"],
-        )
+        columns = [values, errors, kept]
+        arrays = [pa.array(column, field.type) for column, field in zip(columns, arrow_schema)]
+        return pa.StructArray.from_arrays(arrays, fields=list(arrow_schema))
 
-    value_type = to_arrow_type(schema["value"].dataType)
-    udf = F.arrow_udf(run, schema.add("kept", "boolean"))
-    return Rule(column, udf, description=description, returns=returns)
+    return Rule(column, F.arrow_udf(run, schema), description=description, returns=returns)
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -1,12 +1,10 @@
-"""Sinks. Every write replaces the table it names.
-
-Spark refuses to overwrite a path that the same job reads, so a table is never its own source.
-"""
+"""Sinks. Every write replaces the table it names; a table cannot be its own source."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +26,17 @@ def sky_layout(
     ).sortWithinPartitions(zone, ra)
 
 
+def _refuse_own_source(df: DataFrame, path: str) -> None:
+    """An overwrite empties the path first, which would destroy rows still to be read."""
+    target = urlparse(path)
+    folder = target.path.rstrip("/") + "/"
+    for name in df.inputFiles():
+        source = urlparse(name)
+        same_store = not target.netloc or not source.netloc or target.netloc == source.netloc
+        if same_store and unquote(source.path).startswith((folder, unquote(folder))):
+            raise ValueError(f"cannot overwrite a path that is also read: {path}")
+
+
 def write_files(
     df: DataFrame,
     path: str,
@@ -41,6 +50,7 @@ def write_files(
     """
     if file_format not in FORMATS:
         raise ValueError(f"unsupported file format: {file_format}")
+    _refuse_own_source(df, path)
     writer = df.write.mode("overwrite").format(FORMATS[file_format])
     if file_format == "csv":
         writer = writer.option("header", True).option("quote", '"').option("escape", '"')
@@ -72,6 +82,7 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Replaces a table of the Spark catalog; with ``path`` its files lie there."""
     writer = df.write.mode("overwrite").format("parquet")
     if path:
+        _refuse_own_source(df, path)
         writer = writer.option("path", path)
     writer.saveAsTable(name)
 
