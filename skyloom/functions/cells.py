@@ -7,6 +7,7 @@ through ``try_*`` functions; the table operators keep the original text next to
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from typing import Any
 
@@ -34,8 +35,10 @@ def nulls_to_null(c: Column) -> Column:
 
     Most cells are told from a marker by their first character, without trimming them.
     """
-    first = F.substring(c, 1, 1).isin(sorted({*WHITE_SPACE, *(t[:1] for t in NULL_TOKENS)}))
-    return F.when(first & strip(c).isin(*NULL_TOKENS), F.lit(None)).otherwise(c)
+    starts = WHITE_SPACE + "".join(token[:1] for token in NULL_TOKENS)
+    suspect = F.lit(starts).contains(F.substring(c, 1, 1))
+    marker = F.find_in_set(strip(c), F.lit(",".join(NULL_TOKENS))) > 0
+    return F.when(suspect & marker, None).otherwise(c)
 
 
 def slug(c: Column) -> Column:
@@ -143,8 +146,7 @@ def parse_date(c: Column, fmt: str | None = None) -> Column:
     epoch, so the session time zone and its clock changes have no influence.
     """
     layouts = (date_pattern(fmt),) if fmt else DATE_LAYOUTS
-    zulu = F.concat(c, F.lit("Z"))
-    instant = F.coalesce(*(F.try_to_timestamp(zulu, F.lit(layout + "X")) for layout in layouts))
+    instant = F.coalesce(*(_parse_layout(c, layout) for layout in layouts))
     if fmt and "%y" in fmt:
         # Two-digit years from 69 on belong to the 20th century.
         late = F.unix_micros(instant) >= 3124224000000000
@@ -153,6 +155,15 @@ def parse_date(c: Column, fmt: str | None = None) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
+def _parse_layout(c: Column, layout: str) -> Column:
+    parsed = F.try_to_timestamp(F.concat(c, F.lit("Z")), F.lit(layout + "X"))
+    # A failed parse costs far more than a look at the shape, so text of another shape is left out.
+    shape = re.sub("yyyy|[MdHms]", lambda m: "[0-9]{4}" if m[0] == "yyyy" else "[0-9]{1,2}", layout)
+    if layout not in DATE_LAYOUTS:
+        return parsed
+    return F.when(c.rlike(f"^{shape.replace(chr(39), '')}$"), parsed)
+
+
 def map_text(c: Column, mapping: Mapping[str, Any]) -> Column:
     """Mapped text, looked up without regard to case; unmapped text is kept."""
     lookup: dict[str, Any] = {}

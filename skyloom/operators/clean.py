@@ -27,8 +27,12 @@ LITERAL_ENTRIES = 500
 BROADCAST_ENTRIES = 200_000
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _col(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_quoted(name))
 
 
 def _string_columns(df: DataFrame, columns: Iterable[str] | None = None) -> list[str]:
@@ -40,16 +44,18 @@ def _string_columns(df: DataFrame, columns: Iterable[str] | None = None) -> list
     ]
 
 
-def _replace(df: DataFrame, changed: Mapping[str, Column]) -> DataFrame:
-    """The table with some columns computed anew, in one projection and in the old order."""
-    return df.select(
-        *(
-            changed[name].alias(name, metadata=df.schema[name].metadata)
-            if name in changed
-            else _col(name)
-            for name in df.columns
-        )
-    )
+def _replace(
+    df: DataFrame, changed: Mapping[str, Column], metadata: Mapping[str, dict] | None = None
+) -> DataFrame:
+    """The table with some columns computed anew, in their places and with their metadata."""
+    if not changed:
+        return df
+    notes = {name: df.schema[name].metadata for name in changed if name in df.columns}
+    df = df.withColumns(dict(changed))
+    for name, note in {**notes, **(metadata or {})}.items():
+        if note:
+            df = df.withMetadata(name, note)
+    return df
 
 
 # Names
@@ -90,7 +96,7 @@ def numeric_types(
     names = _string_columns(df, columns)
     types = dict.fromkeys(names, "string")
     if names and probe_rows:
-        seen = _number_facts(df.select(*map(_col, names)).limit(probe_rows), names)
+        seen = _number_facts(df.select([*map(_quoted, names)]).limit(probe_rows), names)
         names = [name for name in names if not seen[name]["text"]]
     if names:
         seen = _number_facts(df, names)
@@ -150,12 +156,9 @@ def _whole(name: str, value: Column) -> Column:
 
 
 def _split(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Replaces a text column by a converted one, followed by the text that did not fit."""
-    unparsed = F.when(value.isNull(), _col(name)).alias(f"{name}_unparsed")
-    result: list[Column] = []
-    for other in df.columns:
-        result += [value.alias(name), unparsed] if other == name else [_col(other)]
-    return df.select(*result)
+    """Replaces a text column by a converted one; the text that did not fit is added."""
+    unparsed = F.when(value.isNull(), _col(name))
+    return _replace(df, {name: value, f"{name}_unparsed": unparsed})
 
 
 def _as_double(df: DataFrame, name: str, convert: Callable[[Column], Column]) -> DataFrame:
@@ -184,8 +187,7 @@ def convert_units(
         df = _as_double(df, column, cells.to_double)
     if not isinstance(df.schema[column].dataType, T.NumericType):
         return df
-    scaled = (_col(column) * F.lit(float(factor))).alias(column, metadata=metadata)
-    return df.select(*(scaled if name == column else _col(name) for name in df.columns))
+    return _replace(df, {column: _col(column) * float(factor)}, {column: metadata})
 
 
 def parse_dates(df: DataFrame, column: str, fmt: str | None = None) -> DataFrame:
@@ -230,14 +232,16 @@ def _map_by_join(df: DataFrame, column: str, texts: Mapping[str, str | None]) ->
     first: dict[str, str | None] = {}
     for key, value in texts.items():
         first.setdefault(key.lower(), value)
-    entries = df.sparkSession.createDataFrame(list(first.items()), "_key string, _value string")
+    entries = df.sparkSession.createDataFrame(
+        pa.table({"_key": pa.array(first, pa.string()), "_value": pa.array(first.values(), pa.string())})
+    )
     if len(first) <= BROADCAST_ENTRIES:
         entries = F.broadcast(entries)
     joined = df.withColumn("_key", F.lower(_col(column))).join(
         entries.withColumn("_known", F.lit(True)), "_key", "left"
     )
     value = F.when(F.col("_known"), F.col("_value")).otherwise(_col(column))
-    return joined.withColumn(column, value).select(*map(_col, df.columns))
+    return joined.withColumn(column, value).select([*map(_quoted, df.columns)])
 
 
 def numeric_coordinates(
@@ -329,17 +333,9 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             if rule.condition is not None:
                 after = F.when(rule.condition(before), after).otherwise(before)
             changed[name] = after
-    if not changed:
-        return df
-    result = [
-        changed[name].alias(name, metadata=df.schema[name].metadata)
-        if name in changed
-        else _col(name)
-        for name in df.columns
-    ]
     if errors:
-        result.append(F.array_compact(F.array(*errors)).alias("_rule_errors"))
-    return df.select(*result)
+        changed["_rule_errors"] = F.array_compact(F.array(*errors))
+    return _replace(df, changed)
 
 
 def clean_table(

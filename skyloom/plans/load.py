@@ -66,7 +66,7 @@ class Loader:
     def load_planetary_systems(self, limit: int | None = None) -> list[Loaded]:
         size = limit or self.max_records
         df = datasets.systems_overview(self.catalog, size)
-        return [self._load("planetary_systems", "systems_overview", df, size)]
+        return [self._load("planetary_systems", "systems_overview", df, settle=True)]
 
     def load_tess_data(
         self, disposition: str | None = None, limit: int | None = None
@@ -94,14 +94,14 @@ class Loader:
         limit: int | None = None,
     ) -> list[Loaded]:
         """Any DataFrame, catalogue query or SQL text; ``max_records`` does not apply."""
-        limited = limit
+        settle = bool(limit)
         if isinstance(query, str):
             query = self.catalog.sql(query)
         elif isinstance(query, CatalogQuery):
-            limited = limit or query.top
+            settle = bool(limit or query.top or query.unique or query.keys)
             query = query.to_df()
         df = query.limit(limit) if limit else query
-        return [self._load("custom", table, df, limited)]
+        return [self._load("custom", table, df, settle)]
 
     def load_all_datasets(
         self, include_candidates: bool = False, limit_per_dataset: int | None = None
@@ -121,10 +121,11 @@ class Loader:
         )
 
     def _load(
-        self, dataset: str, table: str, df: DataFrame, limited: int | None = None
+        self, dataset: str, table: str, df: DataFrame, settle: int | bool | None = None
     ) -> Loaded:
-        if limited:
-            # Which rows a limit takes is open; finding types and writing must see the same.
+        if settle and self.clean:
+            # Finding types and writing both read the rows. Those of a limit could differ from
+            # one time to the next, and those of a shuffle would be computed twice.
             df = checkpointed(df)
         if self.clean:
             df = self.clean(df)

@@ -43,14 +43,18 @@ def write_files(
     file_format: str = "parquet",
     compression: str | None = None,
     batch_size: int | None = None,
+    sky_zone: float | None = None,
 ) -> None:
     """Writes a directory of Parquet, CSV (with header) or JSON-lines files.
 
-    ``batch_size`` caps the rows per file. NULLs are written to JSON lines too.
+    ``batch_size`` caps the rows per file. ``sky_zone`` clusters the rows by position, see
+    ``sky_layout``. NULLs are written to JSON lines too.
     """
     if file_format not in FORMATS:
         raise ValueError(f"unsupported file format: {file_format}")
     _refuse_own_source(df, path)
+    if sky_zone:
+        df = sky_layout(df, sky_zone)
     writer = df.write.mode("overwrite").format(FORMATS[file_format])
     if file_format == "csv":
         writer = writer.option("header", True).option("quote", '"').option("escape", '"')
@@ -117,13 +121,19 @@ class FileTarget:
     dataset: str = "catalogue"
     compression: str | None = None
     batch_size: int | None = None
+    sky_zone: float | None = None
 
     def location(self, table: str) -> str:
         return f"{self.base.rstrip('/')}/{self.dataset}/{table}"
 
     def write(self, df: DataFrame, table: str) -> None:
         write_files(
-            df, self.location(table), self.file_format, self.compression, self.batch_size
+            df,
+            self.location(table),
+            self.file_format,
+            self.compression,
+            self.batch_size,
+            self.sky_zone,
         )
 
 

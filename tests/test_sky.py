@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import sky
 from skyloom.operators.near import near_targets
-from skyloom.sinks.writers import sky_layout
+from skyloom.sinks.writers import write_files
 
 
 def units(ra, dec):
@@ -136,7 +136,7 @@ def test_polygon_checks():
 
 def test_ranges_reach_the_scan(spark, stars, tmp_path):
     path = str(tmp_path / "stars")
-    sky_layout(stars, zone_height=5).write.parquet(path)
+    write_files(stars, path, sky_zone=5)
     stored = spark.read.parquet(path)
     for region in (sky.circle(40, 5, 2), sky.box(40, 5, 2, 2), sky.polygon(CONVEX[0])):
         plan = plan_text(stored.where(region))
