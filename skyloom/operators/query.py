@@ -208,9 +208,10 @@ class CatalogQuery:
         spread by the partition they come from.
         """
         keys = [f"{key} {'ASC' if up else 'DESC'} NULLS LAST" for key, up in self.order]
-        names = [field.name for field in result.schema.fields]
+        names = [name.lower() for name in result.columns]
         for field in result.schema.fields:
-            if names.count(field.name) == 1 and not isinstance(field.dataType, _UNORDERED_TYPES):
+            once = names.count(field.name.lower()) == 1
+            if once and not isinstance(field.dataType, _UNORDERED_TYPES):
                 keys.append(f"`{field.name.replace('`', '``')}` NULLS LAST")
         aggregated = self.unique or self.keys or self.group_condition
         if not self.top and not aggregated:

@@ -48,10 +48,10 @@ def parse_bodies(df: DataFrame, schema: str | T.StructType, body: str = "body")
     """Rows of JSON array bodies, with everything that could not be used marked and kept.
 
     Good rows have the columns of the schema and no ``_reject_reason``. A body that is not a
-    JSON array gives one row with its text and the reason ``service_error``, ``not_json`` or
-    ``not_a_list``; an element with a cell that does not fit its type gives one row with the
-    element and the reason ``bad_value``. An empty array gives no row. Other columns of the
-    input are carried along.
+    JSON array of objects gives one row with its text and the reason ``service_error``,
+    ``not_json`` or ``not_a_list``; an element that is null or has a cell that does not fit its
+    type gives one row with the element and the reason ``bad_value``. An empty array gives no
+    row. Other columns of the input are carried along.
     """
     fields = _schema(schema).fields
     # Cells are read as text first: a typed reader would turn a bad cell into a silent NULL.
@@ -61,7 +61,7 @@ def parse_bodies(df: DataFrame, schema: str | T.StructType, body: str = "body")
     other = [name for name in df.columns if name != body]
     opened = df.select(
         *other,
-        F.col(body).alias("_body"),
+        F.coalesce(F.col(body), F.lit("")).alias("_body"),
         F.when(text.startswith("["), element).alias("_elements"),
     ).select(
         *other,
@@ -71,14 +71,14 @@ def parse_bodies(df: DataFrame, schema: str | T.StructType, body: str = "body")
         ).alias("_element"),
         F.when(F.col("_elements").isNull(), F.col("_body")).alias("_body"),
     )
-    bad_value = F.lit(False)
+    bad_body = F.col("_body").isNotNull()
+    bad_value = F.col("_element").isNull()
     values: list[Column] = []
     for field in fields:
         cell = F.col("_element").getField(field.name)
         value = cell.try_cast(field.dataType)
         bad_value = bad_value | (cell.isNotNull() & value.isNull())
         values.append(value.alias(field.name))
-    bad_body = F.col("_body").isNotNull()
     valid_json = F.get_json_object(F.col("_body"), "$").isNotNull()
     reason = (
         F.when(bad_body & valid_json, "not_a_list")
@@ -86,7 +86,8 @@ def parse_bodies(df: DataFrame, schema: str | T.StructType, body: str = "body")
         .when(bad_body, "not_json")
         .when(bad_value, "bad_value")
     )
-    rejected = F.when(bad_body, F.col("_body")).when(bad_value, F.to_json("_element"))
+    element_text = F.coalesce(F.to_json("_element"), F.lit("null"))
+    rejected = F.when(bad_body, F.col("_body")).when(bad_value, element_text)
     return opened.select(*other, *values, reason.alias(REASON), rejected.alias(REJECTED))
 
 
@@ -117,32 +118,38 @@ def require_accepted(parsed: DataFrame) -> DataFrame:
 def read_csv(
     spark: SparkSession,
     path: Paths,
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     sep: str = ",",
     multi_line: bool = False,
 ) -> DataFrame:
     """Delimited text with a header, every column as text; empty cells are NULL.
 
-    Missing cells at the end of a line are NULL too. Lines with too few or too many cells are
-    kept in ``_corrupt_record``, so no surplus cell is lost. ``multi_line`` is needed only
-    where quoted cells contain line breaks; it stops large files from being split.
+    The names are taken from the header of a file unless they are given; every file must have
+    them in the same order. Missing cells at the end of a line are NULL too. Lines with too few
+    or too many cells are kept in ``_corrupt_record``, so no surplus cell is lost.
+    ``multi_line`` is needed only where quoted cells contain line breaks; it stops large files
+    from being split.
     """
-    names = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    return (
-        spark.read.schema(names.add(CORRUPT, T.StringType()))
-        .option("header", True)
+    reader = (
+        spark.read.option("header", True)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
+        .option("enforceSchema", False)
     )
+    names = reader.csv(path).columns if columns is None else columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return reader.schema(schema.add(CORRUPT, T.StringType())).csv(path)
 
 
 def read_tsv(
-    spark: SparkSession, path: Paths, columns: Sequence[str], multi_line: bool = False
+    spark: SparkSession,
+    path: Paths,
+    columns: Sequence[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """As ``read_csv``, with tabs between the cells."""
     return read_csv(spark, path, columns, sep="\t", multi_line=multi_line)

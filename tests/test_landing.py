@@ -41,6 +41,9 @@ BODIES = [
     '{"pl_name":"a"}',
     "17",
     "hello",
+    '[null, {"pl_name":"z"}]',
+    "[1, 2]",
+    None,
 ]
 
 
@@ -53,7 +56,7 @@ def parsed(spark):
 def test_good_and_rejected_bodies(parsed):
     assert parsed.columns == ["page", "pl_name", "pl_masse", landing.REASON, landing.REJECTED]
     good = landing.accepted(parsed)
-    assert rows(good) == [(0, "a", 1.5), (1, "ERROR bars", 2.0)]
+    assert rows(good) == [(0, "a", 1.5), (1, "ERROR bars", 2.0), (9, "z", None)]
     reasons = {(r.page, r[landing.REASON], r[landing.REJECTED]) for r in landing.rejected(parsed).collect()}
     assert reasons == {
         (0, "bad_value", '{"pl_name":"b","pl_masse":"heavy"}'),
@@ -63,13 +66,16 @@ def test_good_and_rejected_bodies(parsed):
         (6, "not_a_list", BODIES[6]),
         (7, "not_a_list", BODIES[7]),
         (8, "not_json", BODIES[8]),
+        (9, "bad_value", "null"),
+        (10, "not_a_list", "[1, 2]"),
+        (11, "not_json", ""),
     }
 
 
 def test_nothing_usable_is_an_error(spark, parsed):
-    assert landing.require_accepted(parsed).count() == 2
-    with pytest.raises(ValueError, match="7 rejected"):
-        landing.require_accepted(parsed.where("page > 2 or _reject_reason is not null"))
+    assert landing.require_accepted(parsed).count() == 3
+    with pytest.raises(ValueError, match="10 rejected"):
+        landing.require_accepted(parsed.where("page between 2 and 8 or _reject_reason is not null"))
     empty = spark.createDataFrame([("[]",)], "body string")
     assert landing.require_accepted(landing.parse_bodies(empty, SCHEMA)).count() == 0
 
@@ -93,7 +99,11 @@ def test_delimited(spark, tmp_path, reader, sep):
     ]
     content = "\n".join(lines).replace(",", sep).replace(f"a{sep} b", f"a{sep} b") + "\n"
     path = land(tmp_path / "d", x__csv=content)
-    df = reader(spark, path, ["name", "note", "mass"], multi_line=True)
+    df = reader(spark, path, multi_line=True)
+    assert df.columns == ["name", "note", "mass", landing.CORRUPT]
+    assert rows(reader(spark, path, df.columns[:3], multi_line=True)) == rows(df)
+    with pytest.raises(Exception, match="(?i)header"):
+        reader(spark, path, ["note", "name", "mass"], multi_line=True).collect()
     cells = {r.name: (r.note, r.mass) for r in df.collect()}
     assert cells == {
         f"a{sep} b": ('say "hi"', "1.50"),

@@ -143,6 +143,17 @@ def test_last_order_wins_and_lists_sort_by_each(base):
     assert [r.pl_name for r in query.to_df().collect()] == ["a", "d'e", "c", "f", "b"]
 
 
+def test_order_with_unusual_output_names(catalog):
+    query = catalog.query().from_table("ps").group_by("default_flag").order_by("default_flag")
+    rows = query.select(["default_flag", "count(1)", "max(pl_masse)"]).to_df().collect()
+    assert [tuple(r) for r in rows] == [(0, 2, 9.0), (1, 3, 1.0)]
+    twice = catalog.query().select(["pl_name", "pl_masse AS x", "pl_rade AS X", "pl_masse AS x"])
+    ordered = twice.from_table("ps").order_by("pl_name", ascending=False).to_df()
+    assert [r.pl_name for r in ordered.collect()] == ["f", "d'e", "c", "b", "a"]
+    windowed = catalog.query().select(["pl_name", "row_number() OVER (ORDER BY pl_name) AS n"])
+    assert windowed.from_table("ps").order_by("n").to_df().first().n == 1
+
+
 def test_limit(base):
     assert len(names(base.limit(2))) == 2
     assert len(names(base.limit(0))) == len(names(base.limit(None))) == 5
