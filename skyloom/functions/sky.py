@@ -7,6 +7,9 @@ degrees, so the same region goes into ``df.where``, ``F.expr``, ``spark.sql`` an
 Trigonometry cannot be pushed to a file scan. Each region therefore starts with plain
 ranges on the stored ``dec`` and ``ra`` columns which enclose it: Parquet skips row groups
 by them and most rows never reach the exact test. The ranges never decide a row.
+
+Tables written with ``sky_zone`` are partitioned by declination zone. Given the same height as
+``zone_height``, a region also names the zones it touches, and Spark opens their folders only.
 """
 
 from __future__ import annotations
@@ -14,6 +17,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+# The partition column of tables that are laid out by declination zone.
+ZONE = "sky_zone"
+
 # Widens the enclosing ranges, so that rounding cannot cut off a point on the border.
 PAD = 1e-9
 
@@ -58,9 +64,14 @@ def ra_reach(dec0: float, radius: float) -> float:
     return math.degrees(math.asin(math.sin(math.radians(radius)) / math.cos(math.radians(dec0))))
 
 
-def _enclosing_ranges(ra0: float, dec0: float, radius: float, ra: str, dec: str) -> str:
+def _enclosing_ranges(
+    ra0: float, dec0: float, radius: float, ra: str, dec: str, zone_height: float | None
+) -> str:
     south, north = dec0 - radius - PAD, dec0 + radius + PAD
     ranges = f"{dec} BETWEEN {number(south)} AND {number(north)}"
+    if zone_height:
+        first, last = (math.floor((edge + 90.0) / zone_height) for edge in (south, north))
+        ranges = f"{ZONE} BETWEEN {first} AND {last} AND {ranges}"
     reach = ra_reach(dec0, radius) + PAD
     if reach >= 180:
         return ranges
@@ -76,20 +87,32 @@ def _enclosing_ranges(ra0: float, dec0: float, radius: float, ra: str, dec: str)
     )
 
 
-def circle(ra0: float, dec0: float, radius: float, ra: str = "ra", dec: str = "dec") -> str:
+def circle(
+    ra0: float,
+    dec0: float,
+    radius: float,
+    ra: str = "ra",
+    dec: str = "dec",
+    zone_height: float | None = None,
+) -> str:
     """Rows at most ``radius`` degrees from a position."""
     _check_centre(ra0, dec0)
     if not 0 <= radius <= 180:
         raise ValueError(f"radius out of range: {radius}")
-    ranges = _enclosing_ranges(ra0, dec0, radius, ra, dec)
+    ranges = _enclosing_ranges(ra0, dec0, radius, ra, dec, zone_height)
     return f"({ranges} AND {within(ra, dec, number(ra0), number(dec0), radius)})"
 
 
 def near_object(
-    ra0: float, dec0: float, radius: float = 0.1, ra: str = "ra", dec: str = "dec"
+    ra0: float,
+    dec0: float,
+    radius: float = 0.1,
+    ra: str = "ra",
+    dec: str = "dec",
+    zone_height: float | None = None,
 ) -> str:
     """Rows near an object: a circle with a small default radius."""
-    return circle(ra0, dec0, radius, ra, dec)
+    return circle(ra0, dec0, radius, ra, dec, zone_height)
 
 
 def _tangent_parts(ra0: float, dec0: float, ra: str, dec: str) -> tuple[str, str, str]:
@@ -104,7 +127,13 @@ def _tangent_parts(ra0: float, dec0: float, ra: str, dec: str) -> tuple[str, str
 
 
 def box(
-    ra0: float, dec0: float, width: float, height: float, ra: str = "ra", dec: str = "dec"
+    ra0: float,
+    dec0: float,
+    width: float,
+    height: float,
+    ra: str = "ra",
+    dec: str = "dec",
+    zone_height: float | None = None,
 ) -> str:
     """Rows in a box around a position whose sides are great circles.
 
@@ -118,7 +147,7 @@ def box(
     reach = math.degrees(math.atan(math.hypot(half_width, half_height)))
     ahead, east, north = _tangent_parts(ra0, dec0, ra, dec)
     return (
-        f"({_enclosing_ranges(ra0, dec0, reach, ra, dec)} AND {ahead} > 0"
+        f"({_enclosing_ranges(ra0, dec0, reach, ra, dec, zone_height)} AND {ahead} > 0"
         f" AND abs({east}) <= {number(half_width)} * {ahead}"
         f" AND abs({north}) <= {number(half_height)} * {ahead})"
     )
@@ -129,7 +158,12 @@ def _unit(ra0: float, dec0: float) -> tuple[float, float, float]:
     return math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d)
 
 
-def polygon(vertices: Sequence[tuple[float, float]], ra: str = "ra", dec: str = "dec") -> str:
+def polygon(
+    vertices: Sequence[tuple[float, float]],
+    ra: str = "ra",
+    dec: str = "dec",
+    zone_height: float | None = None,
+) -> str:
     """Rows inside a simple polygon with great-circle sides that fits in a hemisphere.
 
     Points are projected on the plane that touches the sphere at the polygon's middle, where
@@ -174,6 +208,6 @@ def polygon(vertices: Sequence[tuple[float, float]], ra: str = "ra", dec: str =
     # The one-element array binds the projected point, so that it is computed once per row.
     point = f"array(named_struct('x', {east} / {ahead}, 'y', {north} / {ahead}))"
     return (
-        f"({_enclosing_ranges(ra0, dec0, reach, ra, dec)} AND {ahead} > 0"
+        f"({_enclosing_ranges(ra0, dec0, reach, ra, dec, zone_height)} AND {ahead} > 0"
         f" AND exists({point}, p -> ({' + '.join(crossings)}) % 2 = 1))"
     )

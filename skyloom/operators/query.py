@@ -134,13 +134,22 @@ class CatalogQuery:
     def where_earth_sized(self, max_radius: float = 1.8) -> CatalogQuery:
         return self._extend("AND", f"pl_rade <= {self._marks(1)[0]}", max_radius)
 
-    def where_spatial_circle(self, ra: float, dec: float, radius: float) -> CatalogQuery:
-        return self._extend("AND", sky.circle(ra, dec, radius))
+    def where_spatial_circle(
+        self, ra: float, dec: float, radius: float, zone_height: float | None = None
+    ) -> CatalogQuery:
+        """Rows in a circle; ``zone_height`` as in ``skyloom.functions.sky``."""
+        return self._extend("AND", sky.circle(ra, dec, radius, zone_height=zone_height))
 
     def where_spatial_box(
-        self, ra: float, dec: float, width: float, height: float
+        self,
+        ra: float,
+        dec: float,
+        width: float,
+        height: float,
+        zone_height: float | None = None,
     ) -> CatalogQuery:
-        return self._extend("AND", sky.box(ra, dec, width, height))
+        """Rows in a box around a position."""
+        return self._extend("AND", sky.box(ra, dec, width, height, zone_height=zone_height))
 
     def where_filters(self, filters: Mapping[str, Any] | None) -> CatalogQuery:
         """ANDs ``column: value`` as equality and ``column: [values]`` as membership."""

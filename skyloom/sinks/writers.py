@@ -9,21 +9,25 @@ from urllib.parse import unquote, urlparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyloom.functions.sky import ZONE
+
 FORMATS = {"parquet": "parquet", "csv": "csv", "jsonl": "json"}
 
 
 def sky_layout(
-    df: DataFrame, zone_height: float = 1.0, ra: str = "ra", dec: str = "dec"
+    df: DataFrame, zone_height: float, ra: str = "ra", dec: str = "dec"
 ) -> DataFrame:
     """Neighbours on the sky next to each other: declination zones, right ascension within.
 
-    Written as Parquet, the row groups then cover small patches, and the ranges of the sky
-    predicates skip most of them. Rows at one position are spread by their input partition.
+    Adds the zone number as ``sky_zone``. Rows at one position are spread over tasks by their
+    input partition.
     """
-    zone = F.floor((F.col(dec) + 90) / F.lit(zone_height))
-    return df.repartitionByRange(
-        zone, F.col(ra), F.col(dec), F.spark_partition_id()
-    ).sortWithinPartitions(zone, ra)
+    zone = F.floor((F.col(dec) + 90.0) / F.lit(float(zone_height))).cast("int")
+    return (
+        df.withColumn(ZONE, zone)
+        .repartitionByRange(ZONE, ra, dec, F.spark_partition_id())
+        .sortWithinPartitions(ZONE, ra)
+    )
 
 
 def _refuse_own_source(df: DataFrame, path: str) -> None:
@@ -47,15 +51,18 @@ def write_files(
 ) -> None:
     """Writes a directory of Parquet, CSV (with header) or JSON-lines files.
 
-    ``batch_size`` caps the rows per file. ``sky_zone`` clusters the rows by position, see
-    ``sky_layout``. NULLs are written to JSON lines too.
+    ``batch_size`` caps the rows per file. ``sky_zone`` is the height in degrees of declination
+    zones by which the table is partitioned; within them the files cover small patches, so that
+    searches by position skip most folders, files and row groups. NULLs are written to JSON
+    lines too.
     """
     if file_format not in FORMATS:
         raise ValueError(f"unsupported file format: {file_format}")
     _refuse_own_source(df, path)
+    writer = (sky_layout(df, sky_zone) if sky_zone else df).write.mode("overwrite")
     if sky_zone:
-        df = sky_layout(df, sky_zone)
-    writer = df.write.mode("overwrite").format(FORMATS[file_format])
+        writer = writer.partitionBy(ZONE)
+    writer = writer.format(FORMATS[file_format])
     if file_format == "csv":
         writer = writer.option("header", True).option("quote", '"').option("escape", '"')
     if file_format == "jsonl":

@@ -138,10 +138,41 @@ def test_ranges_reach_the_scan(spark, stars, tmp_path):
     path = str(tmp_path / "stars")
     write_files(stars, path, sky_zone=5)
     stored = spark.read.parquet(path)
-    for region in (sky.circle(40, 5, 2), sky.box(40, 5, 2, 2), sky.polygon(CONVEX[0])):
-        plan = plan_text(stored.where(region))
-        assert "GreaterThanOrEqual(dec," in plan and "GreaterThanOrEqual(ra," in plan
     assert stored.count() == stars.count()
+    regions = [
+        (sky.circle, (40, 5, 2), True),
+        (sky.near_object, (0.1, 89.9, 3), False),
+        (sky.box, (358, -60, 30, 12), True),
+        (sky.polygon, (CONVEX[0],), True),
+        (sky.circle, (0, 0, 180), False),
+    ]
+    for region, arguments, ra_is_bounded in regions:
+        plain, zoned = region(*arguments), region(*arguments, zone_height=5)
+        plan = plan_text(stored.where(plain))
+        assert "GreaterThanOrEqual(dec," in plan
+        assert ("GreaterThanOrEqual(ra," in plan) == ra_is_bounded
+        pruned = plan_text(stored.where(zoned))
+        assert "PartitionFilters: [isnotnull(sky_zone" in pruned
+        assert found(stored, zoned) == found(stars, plain)
+
+
+def test_zones_are_pruned_and_crowded_positions_spread(spark, tmp_path):
+    rows = spark.range(0, 30000, 1, 8).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 50.0).otherwise(F.col("id") % 360).alias("ra"),
+        F.when(F.col("id") % 3 == 0, 10.0).otherwise(F.col("id") % 150 - 75).alias("dec"),
+    )
+    path = str(tmp_path / "rows")
+    small = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    with settings(spark, small):
+        write_files(rows, path, sky_zone=10)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 30000
+    crowded = stored.where("sky_zone = 10").groupBy("_metadata.file_path").count().collect()
+    assert len(crowded) > 1 and max(r["count"] for r in crowded) < 6000
 
 
 @pytest.mark.parametrize("radius", [0.05, 0.7, 5.0, 33.3, 120.0])
