@@ -25,9 +25,20 @@ SEXAGESIMAL = (
 )
 
 
+def _plain(char: Column) -> Column:
+    """Whether a character is visible ASCII, so certainly no white space."""
+    return char.between("!", "~")
+
+
 def strip(c: Column) -> Column:
-    """Without white space at both ends."""
-    return F.trim(c, F.lit(WHITE_SPACE))
+    """Without white space at both ends.
+
+    Trimming a set of characters is slow, so it is kept for text that has something else than
+    blanks around visible characters.
+    """
+    text = F.trim(c)
+    simple = _plain(F.substring(text, 1, 1)) & _plain(F.substring(text, -1, 1))
+    return F.when(simple, text).otherwise(F.trim(c, F.lit(WHITE_SPACE)))
 
 
 def nulls_to_null(c: Column) -> Column:
