@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
 from functools import partial
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from sample_views import VIEWS
 from skyloom import Catalog, run_spec, vocab
 from skyloom.functions import cells, sky

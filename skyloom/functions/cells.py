@@ -168,11 +168,11 @@ def parse_date(c: Column, fmt: str | None = None) -> Column:
 
 def _parse_layout(c: Column, layout: str) -> Column:
     parsed = F.try_to_timestamp(F.concat(c, F.lit("Z")), F.lit(layout + "X"))
-    # A failed parse costs far more than a look at the shape, so text of another shape is left out.
-    shape = re.sub("yyyy|[MdHms]", lambda m: "[0-9]{4}" if m[0] == "yyyy" else "[0-9]{1,2}", layout)
     if layout not in DATE_LAYOUTS:
         return parsed
-    return F.when(c.rlike(f"^{shape.replace(chr(39), '')}$"), parsed)
+    # A failed parse costs far more than a look at the shape, so text of another shape is left out.
+    shape = re.sub("[MdHms]", "[0-9]{1,2}", layout.replace("'", "").replace("yyyy", "[0-9]{4}"))
+    return F.when(c.rlike(f"^{shape}$"), parsed)
 
 
 def map_text(c: Column, mapping: Mapping[str, Any]) -> Column:
