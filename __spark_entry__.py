@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import sys
 import uuid
 from collections.abc import Callable
@@ -81,12 +82,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return discoveries.recent_discoveries(catalog(spark, "/root/testdata/sf0.001")).to_df()
 
 
-def queries() -> dict[str, Query]:
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """The queries of the training-corpus subpackage and their SQL; none where it is not installed."""
+    try:
+        module = importlib.import_module("skyloom.llm.queries")
+    except ModuleNotFoundError as error:
+        if error.name not in ("skyloom.llm", "skyloom.llm.queries", "corpus_pipeline"):
+            raise
+        return {}, {}
+    return module.QUERIES, module.ORACLE_SQL
+
+
+def catalogue_queries() -> dict[str, Query]:
+    """The queries over the catalogue views; each has its SQL."""
     return dict(_QUERIES)
 
 
+def queries() -> dict[str, Query]:
+    return _QUERIES | _corpus()[0]
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | _corpus()[1]
 
 
 def _list(columns) -> str:

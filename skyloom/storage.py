@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,16 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of the machine; on a
-    cluster the executors could not share one.
+    Only a session on one machine without that setting gets a folder of its own, removed when the
+    process ends; on a cluster the executors could not share one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return tempfile.mkdtemp(prefix="skyloom-")
+    folder = tempfile.mkdtemp(prefix="skyloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -28,6 +34,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/skyloom/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str, **write_options) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: lineage ends there, columns stay prunable."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.options(**write_options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder, so that they stay the same when read again."""
     context = df.sparkSession.sparkContext
