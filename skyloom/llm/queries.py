@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import lines
+from skyloom.llm import lines, packing, pieces
 from skyloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +66,19 @@ def _(spark, sf_dir):
     return done.select(
         "doc_id", "n_lines", "n_dropped", lines.sha256_hex("text").alias("kept_sha256")
     )
+
+
+@query("op5_packing")
+def _(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces_of = packing.pack(table(spark, sf_dir, "documents"), path)
+    return pieces_of.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
+@query("op9_piece_encoding")
+def _(spark, sf_dir):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encoding_digests(table(spark, sf_dir, "documents"), path)
