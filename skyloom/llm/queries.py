@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import lines, packing, pieces
+from skyloom.llm import lines, packing, pages, pieces
 from skyloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.encoding_digests(table(spark, sf_dir, "documents"), path)
+
+
+@query("op10_page_text")
+def _(spark, sf_dir):
+    done = pages.main_text(table(spark, sf_dir, "pages"))
+    return done.withColumn("n_chars", F.length("text").cast("long"))
