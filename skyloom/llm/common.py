@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +20,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package known to the executors if they would not find it where they start."""
+    package = Path(__file__).resolve().parent.parent
+    paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    context = spark.sparkContext
+    if str(package.parent) in map(os.path.realpath, paths) or context.applicationId in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="skyloom-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows no model may learn from: crc32 of the id as text leaves 2 modulo 4 (null id: no)."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm import lines, packing, pages, pieces
-from skyloom.llm.common import table
+from skyloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -17,7 +17,11 @@ ORACLE_SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def keep(build):
-        QUERIES[name] = build
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLE_SQL[name] = sql
         return build
