@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sorted_groups(
+    batches: Iterator[pa.RecordBatch], keys: list[str]
+) -> Iterator[pa.Table]:
+    """The rows of each key of a partition that is sorted by ``keys``, a table for each."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table]).combine_chunks()
+        if not table.num_rows:
+            continue
+        starts = {0}
+        for key in keys:
+            column = table[key].combine_chunks()
+            differs = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            starts.update((differs.nonzero()[0] + 1).tolist())
+        bounds = sorted(starts)
+        for begin, end in zip(bounds[:-1], bounds[1:]):
+            yield table.slice(begin, end - begin)
+        rest = table.slice(bounds[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 _shipped: set[str] = set()
 
 
@@ -77,7 +104,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (
         both.where(F.col("v") > F.col("u"))
         .join(least, "u")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import lines, packing, pages, pieces
+from skyloom.llm import lines, minhash, packing, pages, pieces
 from skyloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     done = pages.main_text(table(spark, sf_dir, "pages"))
     return done.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op1_near_dedup")
+def _(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
