@@ -31,7 +31,7 @@ _BASE = -1
 class PieceTable:
     """The merge rules of a BPE model, and encoding and decoding with them."""
 
-    def __init__(self, model_path: str, kept_words: int = 100_000, kept_pairs: int = 500_000):
+    def __init__(self, model_path: str, kept_words: int = 300_000, kept_pairs: int = 500_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
@@ -74,8 +74,8 @@ class PieceTable:
         self.sizes = [len(text) for text in self.texts]
         self.characters = {piece for piece in self.ids if len(piece) == 1}
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, str, str]] = {}
-        self.older_words: dict[str, tuple[int, str, str]] = {}
+        self.words: dict[str, tuple[str, str]] = {}
+        self.older_words: dict[str, tuple[str, str]] = {}
 
     def _merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
         """BPE by its definition, for short texts: the pieces, and the halves of the last merge."""
@@ -223,12 +223,12 @@ class PieceTable:
             parts.append(raw.decode("utf-8", "replace"))
         return "".join(parts).replace(MARK, " ")
 
-    def _kept(self, word: str) -> tuple[int, str, str]:
-        """Number of ids, decimal ids and text of a word, from the table of frequent words."""
-        found = self.words.get(word) or self.older_words.get(word)
+    def _kept(self, word: str) -> tuple[str, str]:
+        """Decimal ids and text of a word, from the table of frequent words."""
+        found = self.older_words.get(word)
         if found is None:
             ids = self.word_ids(word)
-            found = len(ids), " ".join(map(str, ids)), self._surface(ids)
+            found = " ".join(map(str, ids)), self._surface(ids)
         if len(word) <= 64:
             if len(self.words) >= self.kept_words:
                 self.older_words = self.words.copy()
@@ -236,27 +236,22 @@ class PieceTable:
             self.words[word] = found
         return found
 
+    def _parts(self, text: str) -> list[str]:
+        """Words, parted further at line feeds if these have no piece and so are never merged."""
+        if "\n" in self.characters or text.startswith(" ") or "  " in text or MARK in text:
+            return self._words(text)
+        spaced = MARK + text.replace(" ", " " + MARK).replace("\n", " \n ") if text else ""
+        return spaced.split(" ")
+
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the decimal ids, SHA-256 of the decoded text."""
-        parts = []
-        # A line feed without a piece of its own parts the words beside it, as it is never merged.
-        apart = "\n" not in self.characters
         get, keep = self.words.get, self._kept
-        for word in self._words(text):
-            if apart and "\n" in word:
-                first, *others = word.split("\n")
-                parts.append(get(first) or keep(first))
-                for other in others:
-                    parts.append(get("\n") or keep("\n"))
-                    if other:
-                        parts.append(get(other) or keep(other))
-            else:
-                parts.append(get(word) or keep(word))
-        counts, numbers, surfaces = zip(*parts) if parts else ((), (), ())
-        decoded = "".join(surfaces).removeprefix(" ")
+        found = [get(word) or keep(word) for word in self._parts(text) if word]
+        numbers = " ".join([*(ids for ids, _ in found), str(self.end_id)])
+        decoded = "".join([surface for _, surface in found]).removeprefix(" ")
         return (
-            sum(counts) + 1,
-            hashlib.sha256(" ".join((*numbers, str(self.end_id))).encode()).hexdigest(),
+            numbers.count(" ") + 1,
+            hashlib.sha256(numbers.encode()).hexdigest(),
             hashlib.sha256(decoded.encode()).hexdigest(),
         )
 

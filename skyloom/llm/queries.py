@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import lines, minhash, packing, pages, pieces
+from skyloom.llm import langid, lines, minhash, packing, pages, pieces
 from skyloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def _(spark, sf_dir):
 @query("op1_near_dedup")
 def _(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_language_id")
+def _(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
