@@ -43,17 +43,18 @@ def ngram_counts(
     count, sizes = len(offsets) - 1, np.diff(offsets)
     flat = np.zeros(count * buckets, np.int64)
     base = np.repeat(np.arange(count, dtype=np.int64) * buckets, sizes)
-    left = np.repeat(offsets[1:], sizes) - np.arange(len(data))
     shift = np.uint32(32 - buckets.bit_length() + 1)
     code = np.zeros(len(data), np.uint32)
     for n in range(1, max(orders) + 1):
-        code = code[: len(data) - n + 1] * np.uint32(0x01000193) + data[n - 1 :]
-        if n in orders:
-            hashed = (code + np.uint32(n)) * np.uint32(0x9E3779B1) >> shift
-            inside = left[: len(code)] >= n
-            flat += np.bincount(
-                (base[: len(code)] + hashed)[inside], minlength=len(flat)
-            )
+        code = code[: len(data) - n + 1] * np.uint32(0x01000193)
+        code += data[n - 1 :]
+        if n in orders and len(code):
+            hit = base[: len(code)] + ((code + np.uint32(n)) * np.uint32(0x9E3779B1) >> shift)
+            flat += np.bincount(hit, minlength=len(flat))
+            # Take back what begins in one text and ends in another.
+            over = (offsets[1:, None] - np.arange(1, n)).reshape(-1)
+            over = np.unique(over[(over >= 0) & (over < len(code))])
+            np.subtract.at(flat, hit[over], 1)
     return flat.reshape(count, buckets)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import langid, lines, minhash, packing, pages, pieces
+from skyloom.llm import langid, lines, minhash, packing, pages, pieces, quality
 from skyloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,8 @@ def _(spark, sf_dir):
 @query("op6_language_id")
 def _(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality")
+def _(spark, sf_dir):
+    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
