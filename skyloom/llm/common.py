@@ -100,11 +100,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked with the node's smallest neighbour or itself."""
+    """Every larger neighbour of a node is linked with the node's smallest neighbour or itself.
+
+    The minima are written so that both sides of the join are shuffled for it: only then is a hub
+    split by the skew join. The same holds in the other half of the round.
+    """
     both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return (
         both.where(F.col("v") > F.col("u"))
         .join(least, "u")
@@ -114,7 +118,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked with the smallest of them."""
-    least = links.groupBy("hi").agg(F.min("lo").alias("m"))
+    least = written(links.groupBy("hi").agg(F.min("lo").alias("m")), "least")
     moved = links.join(least, "hi").where(F.col("lo") != F.col("m"))
     return moved.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(
         least.select("hi", F.col("m").alias("lo"))

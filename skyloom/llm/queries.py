@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import langid, lines, minhash, packing, pages, pieces, quality
+from skyloom.llm import langid, lines, minhash, neighbours, packing, pages, pieces, quality
 from skyloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,32 @@ def _(spark, sf_dir):
 @query("op2_quality")
 def _(spark, sf_dir):
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op4_vector_dedup",
+    """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+    ),
+    reached AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION
+        SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+    ),
+    lowest AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+    counted AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM lowest LEFT JOIN counted USING (vec_id)
+    """,
+)
+def _(spark, sf_dir):
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
