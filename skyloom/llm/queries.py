@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import langid, lines, minhash, neighbours, packing, pages, pieces, quality
+from skyloom.llm import langid, licenses, lines, minhash, neighbours, packing, pages, pieces, quality, topk
 from skyloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,37 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op3_top_products",
+    """
+    WITH whole AS (
+        SELECT DISTINCT vec_id, list_transform(
+            embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+            CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM whole q JOIN whole c
+            ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    ),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (
+            PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+        FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def _(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_products(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op8_license_scan")
+def _(spark, sf_dir):
+    return licenses.license_passages(table(spark, sf_dir, "documents"))
