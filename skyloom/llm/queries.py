@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -170,3 +171,6 @@ def _(spark, sf_dir):
 @query("op8_license_scan")
 def _(spark, sf_dir):
     return licenses.license_passages(table(spark, sf_dir, "documents"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
