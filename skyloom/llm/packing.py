@@ -38,6 +38,7 @@ class ByteBpe:
     def __init__(self, path: str):
         import tiktoken
 
+        self.path = path
         with open(path, encoding="utf-8") as file:
             stored = json.load(file)
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -59,13 +60,21 @@ class ByteBpe:
             self.ends_sentence[i] = ends
 
     def encode(self, text: str) -> np.ndarray:
-        allowed = "all" if any(s in text for s in self.special) else set()
-        parts = [
-            self.encoding.encode_to_numpy(part, allowed_special=allowed, disallowed_special=())
-            for part in segments(text)
-        ]
+        parts = [self._part(part) for part in segments(text)]
         return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
+    def _part(self, text: str) -> np.ndarray:
+        allowed = "all" if any(s in text for s in self.special) else set()
+        try:
+            return self.encoding.encode_to_numpy(
+                text, allowed_special=allowed, disallowed_special=()
+            )
+        except ValueError:  # a run of white space too long for its pattern search
+            from tokenizers import Tokenizer
+
+            ids = Tokenizer.from_file(self.path).encode(text, add_special_tokens=False).ids
+            return np.array(ids, np.uint32)
+
 
 def segments(text: str) -> list[str]:
     """The text in parts of some million characters, cut before a space between other characters."""

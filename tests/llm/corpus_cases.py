@@ -1,0 +1,137 @@
+"""Small tables with the odd cases every corpus operator must take, and brute-force answers."""
+
+import random
+import re
+import zlib
+from collections import defaultdict
+
+DOCUMENT_SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long,"
+    # names that the operators use for columns of their own
+    " bucket long, rep long, component_id string, kept string, n_lines string, n_dropped string,"
+    " score string, lang_pred string, draw string, ids string, doc string, key string, batch string"
+)
+_CLASHES = (7, 7, *("clash",) * 11)
+
+
+def documents(spark, rows):
+    """A table of ``(doc_id, text)`` or ``(doc_id, text, lang)`` rows with clashing columns."""
+    full = []
+    for doc_id, text, *lang in rows:
+        full.append((doc_id, text, lang[0] if lang else None, None, 0, *_CLASHES))
+    return spark.createDataFrame(full, DOCUMENT_SCHEMA)
+
+
+def odd_texts():
+    long_text = " ".join(f"word{i % 977} and{i % 13}" for i in range(40_000))
+    shared = "this very line is shared by many documents"
+    return [
+        (1, None),
+        (2, ""),
+        (3, " \t\n\x0b "),
+        (4, "one"),
+        (5, f"First Line Of Its Own, Long Enough\n{shared}\nlast"),
+        (6, f"first line of its own, long enough\n  {shared.upper()}  \nlast"),
+        (7, f"{shared}\n{shared}\nother words stand here for the seventh one"),
+        (8, long_text),
+        (9, long_text + " one more"),
+        (10, "ÄÖÜ straße É é 日本語 😀     x\x00y"),
+        (11, "a b c d e f g h i j"),
+        (11, "a b c d e f g h i j"),
+        (None, "a b c d e f g h i j"),
+        (None, None),
+        (-5, "A B C D E F G H I J"),
+        (13, shared),
+    ]
+
+
+def held_out(doc_id):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 4 == 2
+
+
+def shingle_set(text, words=5):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    found = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not found:
+        return set()
+    if len(found) < words:
+        return {tuple(found)}
+    return {tuple(found[i : i + words]) for i in range(len(found) - words + 1)}
+
+
+def smallest_reachable(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def near_duplicate_groups(rows, percent=75):
+    """Smallest id reachable by links, for ``(doc_id, text)`` rows without null ids."""
+    sets = [(doc_id, shingle_set(text)) for doc_id, text in rows]
+    holders = defaultdict(list)
+    for i, (_, own) in enumerate(sets):
+        for shingle in own:
+            holders[shingle].append(i)
+    common = defaultdict(int)
+    for group in holders.values():
+        for a in range(len(group)):
+            for b in range(a):
+                common[group[b], group[a]] += 1
+    links = [
+        (sets[a][0], sets[b][0])
+        for (a, b), n in common.items()
+        if 100 * n >= percent * (len(sets[a][1]) + len(sets[b][1]) - n)
+    ]
+    return smallest_reachable({doc_id for doc_id, _ in rows}, links)
+
+
+def deduplicated_lines(rows, min_docs=3, min_chars=20):
+    """``(doc_id, kept text, lines, dropped)`` of ``(doc_id, text)`` rows, in order."""
+    spaces = " \t\n\x0b\x0c\r"
+
+    def key(line):
+        line = line.strip(spaces)
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line)
+
+    def order(doc_id):
+        return float("-inf") if doc_id is None else doc_id
+
+    holders = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            holders[key(line)].add(order(doc_id))
+    result = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = [
+            line
+            for line in lines
+            if len(key(line)) < min_chars
+            or len(holders[key(line)]) < min_docs
+            or order(doc_id) == max(holders[key(line)])
+        ]
+        result.append((doc_id, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return result
+
+
+def edited_copies(count, words=120, seed=0, share=0.08):
+    """Texts that are random edits of one text, with some edited more than others."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    texts = []
+    for i in range(count):
+        copy = list(base)
+        for _ in range(rng.randrange(int(words * share) + 1)):
+            copy[rng.randrange(words)] = f"e{i}x{rng.randrange(9999)}"
+        texts.append(" ".join(copy))
+    return texts

@@ -1,0 +1,171 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from corpus_cases import smallest_reachable
+
+from skyloom.llm import neighbours, topk
+from skyloom.llm.queries import ORACLE_SQL, QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>, label int, rep long, bucket string, block string, score string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 1, 7, "clash", "clash", "clash") for i, v in rows], SCHEMA)
+
+
+def odd_vectors():
+    nan, inf = float("nan"), float("inf")
+    return [
+        (1, [1.0, 0.0, 0.0]),
+        (2, [2.0, 0.0, 0.0]),  # the same direction
+        (2, [2.0, 0.0, 0.0]),  # a repeated row
+        (3, [1.0, 0.0, 0.0]),  # an equal vector
+        (50, [0.9, 0.1, 0.0]),
+        (100, [0.0, -1.0, 0.0]),
+        (150, None),
+        (151, []),
+        (152, [0.0, 0.0, 0.0]),
+        (153, [1.0, None, 0.0]),
+        (154, [nan, 1.0, 0.0]),
+        (200, [inf, 1.0, 0.0]),
+        (156, [1.0, 0.0]),  # another length
+        (157, [1.0, 0.01]),
+        (None, [1.0, 0.0, 0.0]),
+        (158, [3e38, 0.0, 0.0]),
+        (300, [-0.5, 0.25, 1.0 / 3]),
+    ]
+
+
+def clusters(seed, groups=12, size=9, dims=32, noise=0.25):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(groups):
+        centre = rng.standard_normal(dims)
+        for _ in range(size):
+            v = centre + noise * rng.standard_normal(dims) * rng.random()
+            rows.append((len(rows), (v * rng.uniform(0.1, 3)).astype(np.float32).tolist()))
+    rows.append((len(rows), rows[3][1]))
+    return rows
+
+
+def usable(vector):
+    return bool(vector) and all(x is not None and math.isfinite(x) for x in vector)
+
+
+def brute_links(rows, threshold=0.9):
+    rows = [(i, np.array(v, float)) for i, v in rows if i is not None and usable(v) and any(v)]
+    rows = list({(i, v.tobytes()): (i, v) for i, v in rows}.values())
+    links = []
+    for a, (i, v) in enumerate(rows):
+        for j, w in rows[:a]:
+            if len(v) == len(w):
+                cosine = (v / np.linalg.norm(v)) @ (w / np.linalg.norm(w))
+                if cosine >= threshold:
+                    links.append((i, j))
+    return links
+
+
+def check_groups(spark, rows):
+    found = neighbours.near_vectors(table(spark, rows)).collect()
+    links = brute_links(rows)
+    ids = {i for i, _ in rows if i is not None}
+    wanted = smallest_reachable(ids, links)
+    degree = Counter(i for link in links for i in link)
+    assert len(found) == len(rows)
+    for r in found:
+        if r["vec_id"] is not None:
+            assert (r["component_id"], r["n_links"]) == (wanted[r["vec_id"]], degree[r["vec_id"]])
+            assert r["kept"] == (r["vec_id"] == r["component_id"])
+
+
+def test_odd_vectors(spark):
+    check_groups(spark, odd_vectors())
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_groups_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    check_groups(spark, clusters(block))
+
+
+def test_recall_at_the_threshold(spark):
+    rng = np.random.default_rng(5)
+    rows, dims = [], 48
+    for k in range(300):
+        a, b = rng.standard_normal((2, dims))
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        cosine = rng.uniform(0.9005, 0.92)
+        rows += [(2 * k, a.tolist()), (2 * k + 1, (cosine * a + math.sqrt(1 - cosine**2) * b).tolist())]
+    found = neighbours.near_vectors(table(spark, rows)).collect()
+    assert sum(r["n_links"] for r in found) >= 2 * 0.95 * 300
+    assert all(r["component_id"] // 2 == r["vec_id"] // 2 for r in found)
+
+
+def test_estimates_are_unbiased_and_bounded():
+    rng = np.random.default_rng(1)
+    units = rng.standard_normal((400, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    codes, factors = neighbours.codes_of(units)
+    found, errors = neighbours.estimates(codes, factors, units)
+    miss = found - units @ units.T
+    np.fill_diagonal(miss, 0)
+    assert abs(miss.mean()) < 0.002
+    assert (np.abs(miss) <= errors[:, None]).mean() > 0.9999
+
+
+def test_empty_tables(spark):
+    assert neighbours.near_vectors(table(spark, [])).count() == 0
+    assert topk.top_products(table(spark, []), table(spark, [])).count() == 0
+    some = table(spark, [(1, [1.0])])
+    assert topk.top_products(some, table(spark, [])).count() == 0
+    assert topk.top_products(some, some).count() == 0  # no row but its own
+
+
+def brute_top(rows, k=5):
+    rows = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows
+            if i is not None and usable(v) and all(abs(256 * x) <= 2**28 for x in v)]
+    rows = list({(i, tuple(v)): (i, v) for i, v in rows}.values())
+    result = []
+    for q, v in rows:
+        if q % 50 == 0:
+            scored = sorted(
+                (-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q and len(w) == len(v)
+            )
+            result += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    return sorted(result)
+
+
+def top(spark, rows):
+    vectors = table(spark, rows)
+    found = topk.top_products(vectors, vectors.where("vec_id % 50 = 0"))
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    return sorted(map(tuple, found.collect()))
+
+
+def test_top_of_odd_vectors(spark):
+    assert top(spark, odd_vectors()) == brute_top(odd_vectors())
+
+
+def test_top_against_brute_force_with_ties(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 60)
+    monkeypatch.setattr(topk, "STEP", 16)
+    monkeypatch.setattr(topk, "FIRST", 10)
+    monkeypatch.setattr(topk, "GROUP", 2)
+    rng = np.random.default_rng(2)
+    rows = clusters(3, groups=25, size=10, dims=12)
+    rows += [(1000 + i, np.round(rng.standard_normal(12)).tolist()) for i in range(150)]
+    assert top(spark, rows) == brute_top(rows)
+
+
+@pytest.mark.parametrize("name", ["op3_top_products", "op4_vector_dedup"])
+def test_queries_against_sql(spark, name):
+    from check_oracle import difference, duckdb_connection
+
+    sf_dir = "/root/testdata/sf0.001"
+    mine = QUERIES[name](spark, sf_dir).toArrow()
+    theirs = duckdb_connection(sf_dir).execute(ORACLE_SQL[name]).to_arrow_table()
+    assert difference(mine, theirs) == ""

@@ -1,0 +1,58 @@
+import corpus_pipeline
+from corpus_cases import deduplicated_lines, documents, near_duplicate_groups, odd_texts
+
+from skyloom.llm.queries import ORACLE_SQL, QUERIES
+from skyloom.storage import written
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_stages_on_a_table(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns, kept = docs.columns, [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        kept.append(written(stage(spark, kept[-1], SF_DIR), "test-stage"))
+    for frame in kept[1:-1]:
+        assert frame.columns == columns
+    sizes = [frame.count() for frame in kept]
+    assert sizes[0] >= sizes[1] > sizes[2] == sizes[3] > sizes[4] > 0
+
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    before = [r["doc_id"] for r in kept[1].select("doc_id").collect()]
+    after = {r["doc_id"] for r in kept[2].select("doc_id").collect()}
+    good = [i for i in before if labels.get(i) == 1]
+    poor = [i for i in before if labels.get(i) == 0]
+    assert sum(i in after for i in good) >= 0.98 * len(good)
+    assert sum(i in after for i in poor) <= 0.1 * len(poor)
+
+    rows = [tuple(r) for r in kept[2].select("doc_id", "text").collect()]
+    cut = sorted((i, text, len(text)) for i, text, _, _ in deduplicated_lines(rows))
+    assert cut == sorted(map(tuple, kept[3].select("doc_id", "text", "n_chars").collect()))
+
+    groups = near_duplicate_groups([r[:2] for r in cut])
+    left = sorted(r["doc_id"] for r in kept[4].select("doc_id").collect())
+    assert left == sorted(set(groups.values()))
+    assert {r["doc_id"] for r in kept[5].select("doc_id").collect()} == set(left)
+
+
+def test_odd_documents_go_through(spark, tmp_path):
+    docs = documents(spark, [(*r, "en") for r in odd_texts()])
+    folder = str(tmp_path)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(5, 1)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    found = corpus_pipeline.run(spark, folder).collect()
+    assert {r["doc_id"] for r in found} >= {4, 5, 8}  # 6 is 5 in capitals
+
+
+def test_empty_documents(spark, tmp_path):
+    folder = str(tmp_path)
+    documents(spark, []).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_names(spark):
+    wanted = {f"op{n}_" for n in range(1, 11)}
+    assert {name[: name.index("_") + 1] for name in QUERIES if name != "pipeline"} == wanted
+    assert "pipeline" in QUERIES and set(ORACLE_SQL) <= set(QUERIES)
+    assert QUERIES["pipeline"](spark, SF_DIR).count() > 0
