@@ -126,6 +126,16 @@ def _(c):
     return c.query().select(["pl_name", "pl_masse"]).from_table("ps").to_df()
 
 
+@on_catalog(
+    "qualified_columns",
+    "SELECT ps.pl_name, ps.pl_masse FROM v_ps AS ps WHERE ps.pl_masse > 300",
+    "v_ps",
+)
+def _(c):
+    query = c.query().select(["ps.pl_name", "ps.pl_masse"]).from_table("ps")
+    return query.where("ps.pl_masse > 300").to_df()
+
+
 @on_catalog(
     "select_expr",
     "SELECT pl_name, pl_masse / CAST(317.8 AS DOUBLE) AS jupiter_masses,"
@@ -284,6 +294,27 @@ def _(df):
     return df.where(region).select(F.col("pl_name").alias("key"), "ra", "dec")
 
 
+def _stored_zones(df: DataFrame, height: float) -> DataFrame:
+    """The rows written by declination zone and read again."""
+    path = scratch_path(df.sparkSession, "zones")
+    writers.write_files(df, path, sky_zone=height)
+    return df.sparkSession.read.parquet(path)
+
+
+@on_view("sky_circle_stored", "v_ps", _cone_sql(PS_VECTORS, 217.42896, -62.67947, 12))
+def _(df):
+    stored = _stored_zones(df.select("pl_name", "ra", "dec"), 10)
+    region = sky.circle(217.42896, -62.67947, 12, zone_height=sky.zone_height(stored.columns))
+    return stored.where(region).select(F.col("pl_name").alias("key"), "ra", "dec")
+
+
+@on_view("sky_box_stored", "v_toi", _box_sql(TOI_VECTORS, 40, 5, 20, 20))
+def _(df):
+    stored = Catalog(df.sparkSession, {"toi": _stored_zones(df.select("toi", "ra", "dec"), 7.5)})
+    query = stored.query().select(["toi AS key", "ra", "dec"]).from_table("toi")
+    return query.where_spatial_box(40, 5, 20, 20).to_df()
+
+
 @on_view("sky_box", "v_toi", _box_sql(TOI_VECTORS, 40, 5, 20, 20))
 def _(df):
     return df.where(sky.box(40, 5, 20, 20)).select(F.col("toi").alias("key"), "ra", "dec")
@@ -738,6 +769,38 @@ def _(df):
     return done.select("event_id", "num_text", F.size("_rule_errors").alias("errors"))
 
 
+@on_view(
+    "rule_errors_kept",
+    "v_raw",
+    "SELECT event_id, CASE WHEN event_id % 9 = 5 THEN CAST(event_id + 1 AS BIGINT)"
+    " ELSE NULL END AS num_text, CASE WHEN event_id % 9 = 5 THEN NULL ELSE num_text END"
+    " AS num_text_unparsed, CASE WHEN event_id % 9 IN (5, 7) THEN 0 ELSE 1 END"
+    " + CASE WHEN event_id % 9 = 5 THEN 0 ELSE 1 END AS errors FROM v_raw",
+)
+def _(df):
+    """Cells that the rule's type cannot hold, cells its condition leaves out, a second pass."""
+    number = clean.python_rule(
+        "num_text", lambda s: int(s) + 1, "bigint", condition=lambda s: s != "1e3"
+    )
+    once = clean.apply_rules(df.select("event_id", "num_text"), [number])
+    done = clean.apply_rules(once, [clean.python_rule("num_text", lambda n: n + 0, "bigint")])
+    return done.select(
+        "event_id", "num_text", "num_text_unparsed", F.size("_rule_errors").alias("errors")
+    )
+
+
+@on_view(
+    "map_categories_none",
+    "v_raw",
+    "SELECT event_id, CASE WHEN lower(method_text) = 'transit' THEN NULL"
+    " WHEN lower(method_text) = 'imaging' THEN 'direct' ELSE method_text END AS method_text"
+    " FROM v_raw",
+)
+def _(df):
+    mapping = {"Transit": None, "Imaging": "direct"}
+    return clean.map_categories(df.select("event_id", "method_text"), "method_text", mapping)
+
+
 @on_view(
     "clean_table",
     "v_raw",
@@ -958,7 +1021,9 @@ _load(
 )
 _load(
     "load_tess",
-    _loaded_sql("tess_candidates", vocab.TESS_COLUMNS, TESS_SQL),
+    "SELECT *, CAST(NULL AS VARCHAR) AS toi_unparsed FROM ("
+    + _loaded_sql("tess_candidates", vocab.TESS_COLUMNS, TESS_SQL)
+    + ")",
     ("v_toi",),
     lambda loader: loader.load_tess_data(),
 )
@@ -1013,6 +1078,50 @@ def _(spark, sf_dir):
     return summary.drop("location")
 
 
+@register(
+    "load_all_capped",
+    " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, '{name}' AS \"table\", least(count(*), 700) AS rows"
+        f" FROM ({text})"
+        for dataset, name, text in (
+            ("exoplanets", "confirmed_planets", CONFIRMED_SQL),
+            ("exoplanets", "candidate_planets", CANDIDATES_SQL),
+            ("planetary_systems", "systems_overview", SYSTEMS_SQL),
+            ("tess", "tess_candidates", TESS_SQL),
+            ("kepler", "kepler_objects", KEPLER_SQL),
+            ("microlensing", "microlensing_events", ML_SQL),
+        )
+    ),
+    "v_ps",
+    "v_toi",
+    "v_cumulative",
+    "v_ml",
+)
+def _(spark, sf_dir):
+    """What was stored under a cap on each dataset, counted in the stored tables."""
+    loader = _loader(spark, sf_dir)
+    summary = Loader(loader.catalog, loader.target, max_records=700).load_all_datasets(True)
+    counts = None
+    for row in summary.collect():
+        stored = spark.read.parquet(row.location).agg(F.count("*").alias("rows"))
+        stored = stored.select(
+            F.lit(row.dataset).alias("dataset"), F.lit(row["table"]).alias("table"), "rows"
+        )
+        counts = stored if counts is None else counts.unionByName(stored)
+    return counts
+
+
+_load(
+    "load_custom_sql",
+    "SELECT *, 'heavy' AS loaded_into FROM (SELECT pl_name,"
+    " pl_masse * (CAST(1 AS DOUBLE) / CAST(317.8 AS DOUBLE)) AS pl_masse FROM v_ps"
+    " WHERE pl_masse > 300)",
+    ("v_ps",),
+    lambda loader: loader.load_custom_query(
+        "SELECT pl_name, pl_masse FROM ps WHERE pl_masse > 300", "heavy"
+    ),
+)
+
 # ---- profiles
 
 PS_TYPES = {
@@ -1037,6 +1146,40 @@ def _(df):
     return column_profile(df)
 
 
+_EXACT_DISTINCT = " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, true AS near FROM v_ps HAVING count(*) > 0"
+    for name in ("pl_name", "hostname", "discoverymethod", "disc_year", "sy_dist")
+)
+
+
+@on_view("approx_distinct", "v_ps", _EXACT_DISTINCT)
+def _(df):
+    """Whether the approximate numbers of distinct values are within a tenth of the exact ones."""
+    df = df.select("pl_name", "hostname", "discoverymethod", "disc_year", "sy_dist")
+    exact = df.agg(*(F.count_distinct(name).alias(name) for name in df.columns))
+    exact = exact.unpivot([], df.columns, "column_name", "exact")
+    off = F.abs(F.col("approx_distinct") - F.col("exact"))
+    return (
+        column_profile(df, approx_distinct=True)
+        .join(exact, "column_name")
+        .select("column_name", (off <= 1 + F.col("exact") * 0.1).alias("near"))
+    )
+
+
+@register(
+    "table_profile_stored",
+    "SELECT 'cumulative' AS table_name, 10 AS columns, count(*) AS rows FROM v_cumulative"
+    " UNION ALL SELECT 'ml', 10, count(*) FROM v_ml",
+    "v_cumulative",
+    "v_ml",
+)
+def _(spark, sf_dir):
+    base = scratch_path(spark, "stored")
+    for name in ("cumulative", "ml"):
+        writers.write_files(view(spark, sf_dir, CATALOG_VIEWS[name]), f"{base}/{name}")
+    return Catalog(spark, base_path=base).list_tables()
+
+
 @register(
     "table_profile",
     " UNION ALL ".join(

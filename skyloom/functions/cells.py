@@ -63,6 +63,16 @@ def is_number(c: Column) -> Column:
     return strip(c).rlike(NUMBER)
 
 
+#: Kinds of text, from the narrowest type that holds it to the widest.
+WHOLE, DECIMAL, TEXT = 1, 2, 3
+
+
+def number_kind(c: Column) -> Column:
+    """``WHOLE`` for text in the BIGINT range, ``DECIMAL`` for other numbers, else ``TEXT``."""
+    kind = F.when(to_bigint(c).isNotNull(), WHOLE).when(is_number(c), DECIMAL).otherwise(TEXT)
+    return F.when(c.isNotNull(), kind)
+
+
 def to_bigint(c: Column) -> Column:
     """Whole numbers in the BIGINT range, else NULL."""
     text = strip(c)
@@ -129,7 +139,12 @@ def format_coordinate(c: Column, precision: int = 6) -> Column:
 
 
 def date_pattern(fmt: str) -> str:
-    """A Spark date pattern; ``strptime`` directives are translated, other text is kept."""
+    """A Spark date pattern; ``strptime`` directives are translated, other text is kept.
+
+    Read are ``%Y %y %m %d %H %I %M %S %p %b %B %j %%``. Spark's parser has nothing like the names of
+    weekdays (``%a %A``), fractions of any length (``%f``) and zones without a time line (``%z %Z``);
+    these and other directives raise a ValueError.
+    """
     if "%" not in fmt:
         return fmt
     pattern, literal = "", ""
@@ -137,6 +152,9 @@ def date_pattern(fmt: str) -> str:
     for char in pieces:
         if char == "%":
             directive = char + next(pieces, "")
+            if directive == "%%":
+                literal += "%"
+                continue
             if directive not in STRPTIME_PATTERNS:
                 raise ValueError(f"unsupported date directive: {directive}")
             pattern, literal = pattern + _quoted(literal) + STRPTIME_PATTERNS[directive], ""
@@ -145,6 +163,10 @@ def date_pattern(fmt: str) -> str:
     return pattern + _quoted(literal)
 
 
+def _has_year(fmt: str) -> bool:
+    return any(part in fmt for part in ("%Y", "%y")) if "%" in fmt else "y" in fmt or "u" in fmt
+
+
 def _quoted(literal: str) -> str:
     quote = literal.replace("'", "''")
     return f"'{quote}'" if any(ch.isalpha() or ch in "'[]{}#" for ch in literal) else literal
@@ -157,6 +179,9 @@ def parse_date(c: Column, fmt: str | None = None) -> Column:
     epoch, so the session time zone and its clock changes have no influence.
     """
     layouts = (date_pattern(fmt),) if fmt else DATE_LAYOUTS
+    if fmt and not _has_year(fmt):
+        # Without a year it is 1900.
+        layouts, c = (f"yyyy {layouts[0]}",), F.concat(F.lit("1900 "), c)
     instant = F.coalesce(*(_parse_layout(c, layout) for layout in layouts))
     if fmt and "%y" in fmt:
         # Two-digit years from 69 on belong to the 20th century.
@@ -176,11 +201,15 @@ def _parse_layout(c: Column, layout: str) -> Column:
 
 
 def map_text(c: Column, mapping: Mapping[str, Any]) -> Column:
-    """Mapped text, looked up without regard to case; unmapped text is kept."""
+    """Mapped text, looked up without regard to case; unmapped text is kept. Text mapped to None
+    becomes NULL."""
     lookup: dict[str, Any] = {}
     for key, value in mapping.items():
         lookup.setdefault(key.lower(), value)
     if not lookup:
         return c
-    pairs = [F.lit(item) for pair in lookup.items() for item in pair]
-    return F.coalesce(F.create_map(*pairs)[F.lower(c)], c)
+    pairs = [
+        part for key, value in lookup.items() for part in (F.lit(key), F.lit(value).cast("string"))
+    ]
+    entries = F.create_map(*pairs)
+    return F.when(F.map_contains_key(entries, F.lower(c)), entries[F.lower(c)]).otherwise(c)

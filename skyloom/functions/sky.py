@@ -8,17 +8,22 @@ Trigonometry cannot be pushed to a file scan. Each region therefore starts with
 ranges on the stored ``dec`` and ``ra`` columns which enclose it: Parquet skips row groups
 by them and most rows never reach the exact test. The ranges never decide a row.
 
-Tables written with ``sky_zone`` are partitioned by declination zone. Given the same height as
-``zone_height``, a region also names the zones it touches, and Spark opens their folders only.
+Tables written with ``sky_zone`` are partitioned by declination zone, in a column whose name holds
+the zones' height. Given that height as ``zone_height`` (``zone_height(df.columns)`` reads it off),
+a region also names the zones it touches, and Spark opens their folders only. With another height
+the column is not there, which is an error instead of missing rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-# The partition column of tables that are laid out by declination zone.
-ZONE = "sky_zone"
+# The partition column of tables that are laid out by declination zone is named after this and
+# the height, with letters for the signs of a number.
+ZONE = "sky_zone_"
+SIGNS = str.maketrans({".": "p", "-": "m", "+": "t"})
+LETTERS = str.maketrans({"p": ".", "m": "-", "t": "+"})
 
 # Widens the enclosing ranges, so that rounding cannot cut off a point on the border.
 PAD = 1e-9
@@ -32,6 +37,25 @@ def number(value: float) -> str:
     return f"({value!r}D)"
 
 
+def zone_column(height: float) -> str:
+    """The partition column of declination zones so many degrees high."""
+    height = float(height)
+    if not (math.isfinite(height) and height > 0):
+        raise ValueError(f"zones need a positive height: {height}")
+    return ZONE + repr(height).removesuffix(".0").translate(SIGNS)
+
+
+def zone_height(columns: Iterable[str]) -> float | None:
+    """The height of the declination zones a table was written with; None without zones."""
+    for name in columns:
+        if name.startswith(ZONE):
+            try:
+                return float(name.removeprefix(ZONE).translate(LETTERS))
+            except ValueError:
+                continue
+    return None
+
+
 def _check_centre(ra0: float, dec0: float) -> None:
     number(ra0)
     if not -90 <= dec0 <= 90:
@@ -71,7 +95,7 @@ def _enclosing_ranges(
     ranges = f"{dec} BETWEEN {number(south)} AND {number(north)}"
     if zone_height:
         first, last = (math.floor((edge + 90.0) / zone_height) for edge in (south, north))
-        ranges = f"{ZONE} BETWEEN {first} AND {last} AND {ranges}"
+        ranges = f"{zone_column(zone_height)} BETWEEN {first} AND {last} AND {ranges}"
     reach = ra_reach(dec0, radius) + PAD
     if reach >= 180:
         return ranges

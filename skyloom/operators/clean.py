@@ -19,12 +19,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from skyloom.functions import cells
-from skyloom.vocab import COORDINATE_COLUMNS, METHOD_SPELLINGS, PLANET_UNITS
+from skyloom.vocab import COLUMN_TYPES, COORDINATE_COLUMNS, METHOD_SPELLINGS, PLANET_UNITS
 
 # A mapping with more entries than this becomes a join instead of a literal.
 LITERAL_ENTRIES = 500
-# A joined mapping with up to this many entries is broadcast.
-BROADCAST_ENTRIES = 200_000
+# A joined mapping whose keys and values take up to this many bytes is broadcast.
+BROADCAST_BYTES = 16 * 1024 * 1024
+# What an entry takes in a hash table besides its text.
+ENTRY_BYTES = 64
 
 
 def _quoted(name: str) -> str:
@@ -84,49 +86,24 @@ def standardize_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> Da
     return _replace(df, {name: cells.nulls_to_null(_col(name)) for name in names})
 
 
-def numeric_types(
-    df: DataFrame, columns: Iterable[str] | None = None, probe_rows: int = 1000
-) -> dict[str, str]:
+def numeric_types(df: DataFrame, columns: Iterable[str] | None = None) -> dict[str, str]:
     """The type that holds every cell of each text column: bigint, double or string.
 
-    One cell that is no number settles a column as text, so the first rows are looked at
-    before anything else. Only the columns still open are read in full, by one aggregate whose
-    result is a single row. A column without any value stays text.
+    One aggregate over the columns, combined before its shuffle, whose result is a single row. A
+    column without any value stays text.
     """
     names = _string_columns(df, columns)
-    types = dict.fromkeys(names, "string")
-    if names and probe_rows:
-        seen = _number_facts(df.select([*map(_quoted, names)]).limit(probe_rows), names)
-        names = [name for name in names if not seen[name]["text"]]
-    if names:
-        seen = _number_facts(df, names)
-        for name in names:
-            if seen[name]["filled"] and not seen[name]["text"]:
-                types[name] = "double" if seen[name]["fraction"] else "bigint"
-    return types
-
-
-def _number_facts(df: DataFrame, names: Sequence[str]) -> dict[str, Any]:
-    """Per column, whether it has a value, one that is no number, one that is no BIGINT."""
-
-    def facts(name: str) -> Column:
-        c = _col(name)
-        some = [
-            F.count(c) > 0,
-            F.count_if(c.isNotNull() & ~cells.is_number(c)) > 0,
-            F.count_if(c.isNotNull() & cells.to_bigint(c).isNull()) > 0,
-        ]
-        return F.struct(*(f.alias(k) for f, k in zip(some, ("filled", "text", "fraction"))))
-
-    row = df.agg(*(facts(name).alias(f"facts_{i}") for i, name in enumerate(names))).first()
-    return dict(zip(names, row))
+    if not names:
+        return {}
+    widest = [F.max(cells.number_kind(_col(name))).alias(f"kind_{i}") for i, name in enumerate(names)]
+    kinds = {cells.WHOLE: "bigint", cells.DECIMAL: "double"}
+    return {name: kinds.get(kind, "string") for name, kind in zip(names, df.agg(*widest).first())}
 
 
 def convert_numeric(
     df: DataFrame,
     columns: Iterable[str] | None = None,
     types: Mapping[str, str] | None = None,
-    probe_rows: int = 1000,
 ) -> DataFrame:
     """Text columns that hold numbers only become BIGINT or DOUBLE.
 
@@ -135,7 +112,7 @@ def convert_numeric(
     """
     names = _string_columns(df, columns)
     known = {name: kind for name, kind in (types or {}).items() if name in names}
-    found = numeric_types(df, [name for name in names if name not in known], probe_rows)
+    found = numeric_types(df, [name for name in names if name not in known])
     convert = {"bigint": cells.to_bigint, "double": cells.to_double}
     changed = {
         name: _whole(name, convert[kind](_col(name)))
@@ -205,7 +182,7 @@ def parse_dates(df: DataFrame, column: str, fmt: str | None = None) -> DataFrame
 
 def map_categories(df: DataFrame, column: str, mapping: Mapping[Any, Any]) -> DataFrame:
     """Replaces values by a mapping; text is looked up without regard to case, the first of
-    several matching keys wins, and other values are kept.
+    several matching keys wins, and other values are kept. A value mapped to None becomes NULL.
 
     The column stays text if it is text. A long mapping is joined, not written into the plan.
     """
@@ -235,7 +212,8 @@ def _map_by_join(df: DataFrame, column: str, texts: Mapping[str, str | None]) ->
     entries = df.sparkSession.createDataFrame(
         pa.table({"_key": pa.array(first, pa.string()), "_value": pa.array(first.values(), pa.string())})
     )
-    if len(first) <= BROADCAST_ENTRIES:
+    size = sum(ENTRY_BYTES + len(f"{key}{value or ''}".encode()) for key, value in first.items())
+    if size <= BROADCAST_BYTES:
         entries = F.broadcast(entries)
     joined = df.withColumn("_key", F.lower(_col(column))).join(
         entries.withColumn("_known", F.lit(True)), "_key", "left"
@@ -283,8 +261,9 @@ def python_rule(
     """A rule that runs a Python function on cells, in Arrow batches of
     ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows.
 
-    Where the function fails, the cell is kept as far as ``returns`` can hold it, and the
-    message goes to ``_rule_errors``. An error in the condition fails the job.
+    Where the function fails, the cell is kept and the message goes to ``_rule_errors``; where
+    the condition does not hold, it is kept too. What ``returns`` cannot hold of the kept cells
+    stays as text in ``<column>_unparsed``. An error in the condition fails the job.
     """
     value_type = T.DataType.fromDDL(returns)
     schema = T.StructType().add("value", value_type).add("error", "string").add("kept", "boolean")
@@ -309,33 +288,60 @@ def python_rule(
     return Rule(column, F.arrow_udf(run, schema), description=description, returns=returns)
 
 
+ERRORS = "_rule_errors"
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Applies rules in the given order, all in one projection.
+    """Applies rules in the given order, each in a step of its own, so that the plan grows with
+    the number of rules. Spark merges the steps as far as no expression is worked out twice.
 
     With Python rules the result has a ``_rule_errors`` column: an array of messages, empty if
-    all went well.
+    all went well. Messages of an earlier pass stay in front, and ``*`` rules pass them over.
     """
-    changed: dict[str, Column] = {}
-    errors: list[Column] = []
     types = {field.name: field.dataType.simpleString() for field in df.schema.fields}
+    columns = [name for name in df.columns if name != ERRORS]
+    if any(rule.returns for rule in rules) and ERRORS not in df.columns:
+        df = df.withColumn(ERRORS, F.array().cast("array<string>"))
     for rule in rules:
-        for name in df.columns:
-            if rule.column not in ("*", name) or (rule.types and types[name] not in rule.types):
-                continue
-            before = changed.get(name, _col(name))
-            after = rule.apply(before)
-            if rule.returns:
-                label = f"{name}: " if not rule.description else f"{name} ({rule.description}): "
-                errors.append(F.concat(F.lit(label), after["error"]))
-                after = F.when(after["kept"], before.try_cast(rule.returns)).otherwise(
-                    after["value"]
-                )
-            if rule.condition is not None:
-                after = F.when(rule.condition(before), after).otherwise(before)
-            changed[name] = after
-    if errors:
-        changed["_rule_errors"] = F.array_compact(F.array(*errors))
-    return _replace(df, changed)
+        touched = [
+            name
+            for name in columns
+            if rule.column in ("*", name) and (not rule.types or types[name] in rule.types)
+        ]
+        if rule.returns:
+            for name in touched:
+                df = _apply_python(df, name, rule)
+        else:
+            df = _replace(df, {name: _ruled(name, rule) for name in touched})
+    return df
+
+
+def _ruled(name: str, rule: Rule) -> Column:
+    after = rule.apply(_col(name))
+    if rule.condition is None:
+        return after
+    return F.when(rule.condition(_col(name)), after).otherwise(_col(name))
+
+
+def _apply_python(df: DataFrame, name: str, rule: Rule) -> DataFrame:
+    label = f"{name}: " if not rule.description else f"{name} ({rule.description}): "
+    before, done = _col(name), F.col("_ruled")
+    held = before.try_cast(rule.returns)
+    lost = done["kept"] & before.isNotNull() & held.isNull()
+    message = F.concat(F.lit(label), done["error"])
+    changed = {
+        name: F.when(done["kept"], held).otherwise(done["value"]),
+        ERRORS: F.when(
+            done["error"].isNotNull(), F.array_append(F.col(ERRORS), message)
+        ).otherwise(F.col(ERRORS)),
+    }
+    if df.schema[name].dataType != T.DataType.fromDDL(rule.returns):
+        unparsed = f"{name}_unparsed"
+        text = F.when(lost, before.cast("string"))
+        if unparsed in df.columns:
+            text = F.coalesce(text, _col(unparsed))
+        changed[unparsed] = text
+    return _replace(df.withColumn("_ruled", rule.apply(before)), changed).drop("_ruled")
 
 
 def clean_table(
@@ -364,6 +370,9 @@ def clean_planets(df: DataFrame, types: Mapping[str, str] | None = None) -> Data
     """The default cleaning, then the rules for planet tables: masses and radii in units of
     Jupiter, standard method names, numeric coordinates. Missing columns are passed over.
 
+    ``types`` gives the types of text columns that are known; ``clean_known_planets`` has them for
+    the columns of the named datasets.
+
     ``disc_year`` is a whole year and none of the date layouts, so it stays a number.
     """
     df = clean_table(df, types=types)
@@ -372,3 +381,9 @@ def clean_planets(df: DataFrame, types: Mapping[str, str] | None = None) -> Data
     df = map_categories(df, "discoverymethod", METHOD_SPELLINGS)
     df = parse_dates(df, "disc_year")
     return numeric_coordinates(df)
+
+
+def clean_known_planets(df: DataFrame) -> DataFrame:
+    """``clean_planets`` with the declared types of the named datasets' columns: their cells need
+    not be read to find a type, and the schema does not depend on them."""
+    return clean_planets(df, types=COLUMN_TYPES)

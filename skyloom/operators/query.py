@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from typing import TYPE_CHECKING, Any
@@ -23,14 +26,33 @@ def all_of(*conditions: str | None) -> str:
     return " AND ".join(condition for condition in kept if condition)
 
 
-def open_range(column: str, lo: float | None = None, hi: float | None = None) -> str:
-    """``lo <= column <= hi``, where either end may be left out."""
+def open_range(column: str, lo: Any = None, hi: Any = None) -> str:
+    """``lo <= column <= hi``, where either end may be left out; the ends become SQL literals."""
     return all_of(
-        None if lo is None else f"{column} >= {lo}",
-        None if hi is None else f"{column} <= {hi}",
+        None if lo is None else f"{column} >= {literal(lo)}",
+        None if hi is None else f"{column} <= {literal(hi)}",
     )
 
 
+def literal(value: Any) -> str:
+    """A number, text, date, time or truth value as a SQL literal."""
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    if isinstance(value, dt.datetime):
+        kind = "TIMESTAMP" if value.tzinfo else "TIMESTAMP_NTZ"
+        return f"{kind} '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, (int, decimal.Decimal)):
+        return str(value)
+    if isinstance(value, float) and math.isfinite(value):
+        return repr(value) if "e" not in repr(value) else f"{value!r}D"
+    raise ValueError(f"no SQL literal for {value!r}")
+
+
 @dataclass(frozen=True)
 class CatalogQuery:
     """A query in progress. Every method returns a new query, so a base can be shared.
@@ -105,6 +127,15 @@ class CatalogQuery:
     def where_equal(self, column: str, value: Any) -> CatalogQuery:
         return self._extend("AND", f"{column} = {self._marks(1)[0]}", value)
 
+    def where_at_least(self, column: str, value: Any) -> CatalogQuery:
+        return self._extend("AND", f"{column} >= {self._marks(1)[0]}", value)
+
+    def where_at_most(self, column: str, value: Any) -> CatalogQuery:
+        return self._extend("AND", f"{column} <= {self._marks(1)[0]}", value)
+
+    def where_below(self, column: str, value: Any) -> CatalogQuery:
+        return self._extend("AND", f"{column} < {self._marks(1)[0]}", value)
+
     def where_like(
         self, column: str, pattern: str, case_insensitive: bool = True
     ) -> CatalogQuery:
@@ -137,7 +168,9 @@ class CatalogQuery:
     def where_spatial_circle(
         self, ra: float, dec: float, radius: float, zone_height: float | None = None
     ) -> CatalogQuery:
-        """Rows in a circle; ``zone_height`` as in ``skyloom.functions.sky``."""
+        """Rows in a circle; ``zone_height`` as in ``skyloom.functions.sky``, by default that of the
+        table if it is named already."""
+        zone_height = zone_height or self._zone_height()
         return self._extend("AND", sky.circle(ra, dec, radius, zone_height=zone_height))
 
     def where_spatial_box(
@@ -148,9 +181,13 @@ class CatalogQuery:
         height: float,
         zone_height: float | None = None,
     ) -> CatalogQuery:
-        """Rows in a box around a position."""
+        """Rows in a box around a position; ``zone_height`` as for a circle."""
+        zone_height = zone_height or self._zone_height()
         return self._extend("AND", sky.box(ra, dec, width, height, zone_height=zone_height))
 
+    def _zone_height(self) -> float | None:
+        return sky.zone_height(self.catalog.table(self.table).columns) if self.table else None
+
     def where_filters(self, filters: Mapping[str, Any] | None) -> CatalogQuery:
         """ANDs ``column: value`` as equality and ``column: [values]`` as membership."""
         query = self
@@ -207,23 +244,33 @@ class CatalogQuery:
         # The table is put in by formatting, so braces in the user's text are doubled.
         head, tail = (text.replace("{", "{{").replace("}", "}}") for text in (head, " ".join(clauses)))
         values = {f"v{i}": value for i, value in enumerate(self.bound)}
-        return source.sparkSession.sql(f"{head} FROM {{src}} {tail}", args=values, src=source)
+        name = self.table.replace("`", "``").replace("{", "{{").replace("}", "}}")
+        text = f"{head} FROM {{src}} AS `{name}` {tail}"
+        return source.sparkSession.sql(text, args=values, src=source)
 
     def _sort_keys(self, result: DataFrame) -> list[str]:
-        """The order asked for, then the other result columns.
+        """The order asked for, then what settles ties.
 
-        SQL leaves the order of ties open. Settling them makes a top-k repeatable, and it lets
-        range partitioning spread rows that share a frequent key. Equal rows of a full sort are
-        spread by the partition they come from.
+        SQL leaves the order of ties open. A top-k is made repeatable by the other result columns.
+        A full sort settles ties by a hash of them, so that its range sampling and comparisons do
+        not carry whole rows, and equal rows are spread by the partition they come from: range
+        partitioning can then spread rows that share a frequent key.
         """
         keys = [f"{key} {'ASC' if up else 'DESC'} NULLS LAST" for key, up in self.order]
+        asked = {key.strip("`").lower() for key, _ in self.order}
         names = [name.lower() for name in result.columns]
-        for field in result.schema.fields:
-            once = names.count(field.name.lower()) == 1
-            if once and not isinstance(field.dataType, _UNORDERED_TYPES):
-                keys.append(f"`{field.name.replace('`', '``')}` NULLS LAST")
-        aggregated = self.unique or self.keys or self.group_condition
-        if not self.top and not aggregated:
+        others = [
+            f"`{field.name.replace('`', '``')}`"
+            for field in result.schema.fields
+            if names.count(field.name.lower()) == 1
+            and field.name.lower() not in asked
+            and not isinstance(field.dataType, _UNORDERED_TYPES)
+        ]
+        if self.top:
+            return keys + [f"{name} NULLS LAST" for name in others]
+        if others:
+            keys.append(f"xxhash64({', '.join(others)})")
+        if not (self.unique or self.keys or self.group_condition):
             keys.append("spark_partition_id()")
         return keys
 

@@ -40,9 +40,9 @@ def planets_with_mass(
     """Default solutions with a mass, within a range; a largest mass of 0 means no bound."""
     query = _planets(catalog).where_has_mass().where_default_flag()
     if min_mass > 0:
-        query = query.and_where(f"pl_masse >= {min_mass}")
+        query = query.where_at_least("pl_masse", min_mass)
     if max_mass:
-        query = query.and_where(f"pl_masse <= {max_mass}")
+        query = query.where_at_most("pl_masse", max_mass)
     return query.limit(limit).to_df()
 
 

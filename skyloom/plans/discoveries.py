@@ -26,7 +26,7 @@ def nearby_confirmed(catalog: Catalog, distance: float = 50) -> CatalogQuery:
         .select(["pl_name", "hostname", "sy_dist", "pl_masse", "pl_rade"])
         .from_table(vocab.PLANETS)
         .where_confirmed()
-        .and_where(f"sy_dist < {distance}")
+        .where_below("sy_dist", distance)
         .where_default_flag()
         .order_by("sy_dist")
     )
@@ -55,7 +55,7 @@ def recent_transits(catalog: Catalog, since: int = 2020) -> CatalogQuery:
         .from_table(vocab.PLANETS)
         .where_confirmed()
         .where_discovery_method("Transit")
-        .and_where(f"disc_year >= {since}")
+        .where_at_least("disc_year", since)
         .where_default_flag()
         .order_by("disc_year", ascending=False)
     )

@@ -8,12 +8,14 @@ from typing import Any, NamedTuple, Protocol
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skyloom.operators.clean import clean_planets
+from skyloom.operators.clean import clean_known_planets, clean_name
 from skyloom.operators.query import CatalogQuery
 from skyloom.plans import datasets
 from skyloom.sources.catalog import Catalog
-from skyloom.storage import checkpointed
+from skyloom.storage import removed, scratch_path
+from skyloom.vocab import COLUMN_TYPES
 
 
 class Target(Protocol):
@@ -21,6 +23,9 @@ class Target(Protocol):
 
     def write(self, df: DataFrame, table: str) -> None: ...
 
+    #: Whether Spark reports what it observes in the rows while they are written there.
+    observes: bool
+
 
 class Loaded(NamedTuple):
     """One table written by a load."""
@@ -35,14 +40,16 @@ class Loaded(NamedTuple):
 class Loader:
     """Runs load jobs from a catalog into a target; every load replaces its table.
 
-    Limits and conditions see the raw rows; cleaning comes after them. ``max_records`` caps the
+    Limits and conditions see the raw rows; cleaning comes after them. Types of the named datasets'
+    columns are declared, so a load is one pass; only text columns of other names are read once more
+    to find theirs. ``max_records`` caps the
     named datasets when no limit is given.
     """
 
     catalog: Catalog
     target: Target
     max_records: int | None = None
-    clean: Callable[[DataFrame], DataFrame] | None = clean_planets
+    clean: Callable[[DataFrame], DataFrame] | None = clean_known_planets
 
     def load_exoplanets(
         self,
@@ -94,7 +101,7 @@ class Loader:
         limit: int | None = None,
     ) -> list[Loaded]:
         """Any DataFrame, catalogue query or SQL text; ``max_records`` does not apply."""
-        settle = bool(limit)
+        settle = True
         if isinstance(query, str):
             query = self.catalog.sql(query)
         elif isinstance(query, CatalogQuery):
@@ -123,13 +130,35 @@ class Loader:
     def _load(
         self, dataset: str, table: str, df: DataFrame, settle: int | bool | None = None
     ) -> Loaded:
-        if settle and self.clean:
-            # Finding types and writing both read the rows. Those of a limit could differ from
-            # one time to the next, and those of a shuffle would be computed twice.
-            df = checkpointed(df)
-        if self.clean:
-            df = self.clean(df)
-        # Counted while the rows are written, not by a second pass.
+        staged = None
+        if settle and self.clean and _has_open_types(df):
+            # Finding types and writing both read the rows. Those of a limit or a random expression
+            # could differ from one time to the next, and those of a shuffle would be computed
+            # twice. The files are split again when they are read, whatever wrote them.
+            staged = scratch_path(df.sparkSession, "staged")
+            df.write.parquet(staged)
+            df = df.sparkSession.read.schema(df.schema).parquet(staged)
+        try:
+            if self.clean:
+                df = self.clean(df)
+            return Loaded(dataset, table, self._written(df, table), self.target.location(table))
+        finally:
+            if staged:
+                removed(self.catalog.spark, staged)
+
+    def _written(self, df: DataFrame, table: str) -> int:
+        """Writes the rows and returns their number, counted on the way where that is reported."""
+        if not self.target.observes:
+            self.target.write(df, table)
+            return df.count()
         observed = Observation()
         self.target.write(df.observe(observed, F.count("*").alias("rows")), table)
-        return Loaded(dataset, table, observed.get.get("rows", 0), self.target.location(table))
+        return observed.get.get("rows", 0)
+
+
+def _has_open_types(df: DataFrame) -> bool:
+    """Whether a text column has no declared type."""
+    return any(
+        isinstance(f.dataType, T.StringType) and clean_name(f.name) not in COLUMN_TYPES
+        for f in df.schema.fields
+    )

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from urllib.parse import unquote, urlparse
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.functions.sky import ZONE
+from skyloom.functions.sky import zone_column
 
 FORMATS = {"parquet": "parquet", "csv": "csv", "jsonl": "json"}
 
@@ -19,26 +20,66 @@ def sky_layout(
 ) -> DataFrame:
     """Neighbours on the sky next to each other: declination zones, right ascension within.
 
-    Adds the zone number as ``sky_zone``. Rows at one position are spread over tasks by their
+    Adds the zone number in a column named after the zones' height. Rows at one position are spread over tasks by their
     input partition.
     """
+    name = zone_column(zone_height)
     zone = F.floor((F.col(dec) + 90.0) / F.lit(float(zone_height))).cast("int")
     return (
-        df.withColumn(ZONE, zone)
-        .repartitionByRange(ZONE, ra, dec, F.spark_partition_id())
-        .sortWithinPartitions(ZONE, ra)
+        df.withColumn(name, zone)
+        .repartitionByRange(name, ra, dec, F.spark_partition_id())
+        .sortWithinPartitions(name, ra)
     )
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The store of a path, and the path with its scheme and without ``.`` or a trailing slash."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return store, store.makeQualified(hadoop)
+
+
 def _refuse_own_source(df: DataFrame, path: str) -> None:
-    """An overwrite empties the path first, which would destroy rows still to be read."""
-    target = urlparse(path)
-    folder = target.path.rstrip("/") + "/"
-    for name in df.inputFiles():
-        source = urlparse(name)
-        same_store = not target.netloc or not source.netloc or target.netloc == source.netloc
-        if same_store and unquote(source.path).startswith((folder, unquote(folder))):
-            raise ValueError(f"cannot overwrite a path that is also read: {path}")
+    """Replacing files that the same rows come from would leave the DataFrame without a source.
+
+    Compared are the root folders of the scanned relations, not every file in them.
+    """
+    target = _file_system(df.sparkSession, path)[1].toString()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if not leaf.getClass().getSimpleName().startswith("LogicalRelation"):
+            continue
+        relation = leaf.relation()
+        if not relation.getClass().getSimpleName().startswith("HadoopFsRelation"):
+            continue
+        roots = relation.location().rootPaths()
+        for j in range(roots.size()):
+            source = roots.apply(j).toString()
+            if f"{source}/".startswith(f"{target}/") or f"{target}/".startswith(f"{source}/"):
+                raise ValueError(f"cannot overwrite a path that is also read: {path}")
+
+
+def _replaced(df: DataFrame, path: str, save) -> None:
+    """Saves to a folder beside ``path`` and puts it in place when all rows are there.
+
+    Until then the old files stay; a failed write removes what it has written.
+    """
+    store, target = _file_system(df.sparkSession, path)
+    mark = uuid.uuid4().hex[:12]
+    new, old = (target.suffix(f".{kind}-{mark}") for kind in ("new", "old"))
+    try:
+        save(new.toString())
+    except BaseException:
+        store.delete(new, True)
+        raise
+    moved = store.exists(target) and store.rename(target, old)
+    if not store.rename(new, target):
+        if moved:
+            store.rename(old, target)
+        raise OSError(f"cannot put the new files in place: {path}")
+    if moved:
+        store.delete(old, True)
 
 
 def write_files(
@@ -53,15 +94,17 @@ def write_files(
 
     ``batch_size`` caps the rows per file. ``sky_zone`` is the height in degrees of declination
     zones by which the table is partitioned; within them the files cover small patches, so that
-    searches by position skip most folders, files and row groups. NULLs are written to JSON
-    lines too.
+    searches by position skip most folders, files and row groups. The name of the partition
+    column holds the height. NULLs are written to JSON lines too.
+
+    The old files are replaced when the new ones are complete; a failed write leaves them.
     """
     if file_format not in FORMATS:
         raise ValueError(f"unsupported file format: {file_format}")
     _refuse_own_source(df, path)
-    writer = (sky_layout(df, sky_zone) if sky_zone else df).write.mode("overwrite")
+    writer = (sky_layout(df, sky_zone) if sky_zone else df).write
     if sky_zone:
-        writer = writer.partitionBy(ZONE)
+        writer = writer.partitionBy(zone_column(sky_zone))
     writer = writer.format(FORMATS[file_format])
     if file_format == "csv":
         writer = writer.option("header", True).option("quote", '"').option("escape", '"')
@@ -73,29 +116,55 @@ def write_files(
         writer = writer.option("compression", "snappy")
     if batch_size:
         writer = writer.option("maxRecordsPerFile", batch_size)
-    writer.save(path)
+    _replaced(df, path, writer.save)
 
 
-def read_files(spark: SparkSession, path: str, schema, file_format: str = "parquet") -> DataFrame:
-    """Reads back what ``write_files`` wrote."""
+def read_files(
+    spark: SparkSession,
+    path: str,
+    schema,
+    file_format: str = "parquet",
+    line_breaks: bool = True,
+) -> DataFrame:
+    """Reads back what ``write_files`` wrote.
+
+    Without ``line_breaks`` in its cells, a CSV file can be read by many tasks.
+    """
     reader = spark.read.schema(schema).format(FORMATS[file_format])
     if file_format == "csv":
         reader = (
             reader.option("header", True)
             .option("quote", '"')
             .option("escape", '"')
-            .option("multiLine", True)
+            .option("multiLine", line_breaks)
         )
     return reader.load(path)
 
 
 def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replaces a table of the Spark catalog; with ``path`` its files lie there."""
-    writer = df.write.mode("overwrite").format("parquet")
+    """Replaces a table of the Spark catalog; with ``path`` its files lie there.
+
+    The new rows are complete before the old table goes.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        places = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+        for row in places.select("data_type").collect():
+            _refuse_own_source(df, row[0])
     if path:
         _refuse_own_source(df, path)
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        _replaced(df, path, df.write.format("parquet").save)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path, "parquet")
+        return
+    staged = f"{name}_new_{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.format("parquet").saveAsTable(staged)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
 
 
 def write_jdbc(
@@ -108,10 +177,11 @@ def write_jdbc(
 ) -> None:
     """Replaces a table of a database, emptied in place where the database can do it.
 
-    At most ``connections`` tasks write at a time, to protect the server.
+    At most ``connections`` tasks write at a time, to protect the server. The rows are shuffled to
+    them, so that what comes before keeps its tasks.
     """
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.mode("overwrite")
         .option("truncate", True)
         .option("batchsize", batch_size)
@@ -129,6 +199,7 @@ class FileTarget:
     compression: str | None = None
     batch_size: int | None = None
     sky_zone: float | None = None
+    observes: ClassVar[bool] = True
 
     def location(self, table: str) -> str:
         return f"{self.base.rstrip('/')}/{self.dataset}/{table}"
@@ -150,6 +221,7 @@ class TableTarget:
 
     dataset: str = "catalogue"
     base: str | None = None
+    observes: ClassVar[bool] = True
 
     def location(self, table: str) -> str:
         return f"{self.dataset}.{table}"
@@ -169,6 +241,7 @@ class JdbcTarget:
     dataset: str = "catalogue"
     properties: Mapping[str, str] = field(default_factory=dict)
     batch_size: int = 1000
+    observes: ClassVar[bool] = False  # the rows are counted by a pass of their own
 
     def location(self, table: str) -> str:
         return f"{self.dataset}.{table}"

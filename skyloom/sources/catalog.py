@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skyloom.operators.profile import column_list, table_profile
 from skyloom.operators.query import CatalogQuery
+from skyloom.vocab import TABLE_NAMES
 
 
 class Catalog:
@@ -41,28 +43,58 @@ class Catalog:
             return self.spark.read.parquet(f"{self.base_path}/{name}")
         return self.spark.table(name)
 
-    def given(self) -> dict[str, DataFrame]:
-        """The given tables, all opened."""
-        return {name: self.table(name) for name in self.tables}
+    def names(self) -> list[str]:
+        """The given tables and the Parquet directories under ``base_path``; with neither, the known
+        catalogue tables that the session has. Only names are looked up, no table is opened."""
+        names = list(self.tables)
+        if self.base_path:
+            names += [name for name in self._stored() if name not in self.tables]
+        elif not names:
+            names = [name for name in TABLE_NAMES if self.spark.catalog.tableExists(name)]
+        return names
+
+    def _stored(self) -> list[str]:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.base_path)
+        store = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        if not store.exists(folder):
+            return []
+        found = [entry for entry in store.listStatus(folder) if entry.isDirectory()]
+        names = (entry.getPath().getName() for entry in found)
+        return sorted(name for name in names if not name.startswith(("_", ".")))
 
     def query(self) -> CatalogQuery:
         return CatalogQuery(self)
 
     def sql(self, text: str) -> DataFrame:
-        """Runs Spark SQL in which the given DataFrames are known by their names."""
-        for name, df in self.given().items():
+        """Runs Spark SQL in which the catalogue's tables are known by their names.
+
+        Regions of ``skyloom.functions.sky`` are SQL text and can stand in its conditions. Views of
+        the session that have the same names are as before afterwards.
+        """
+        words = set(re.findall(r"\w+", text))
+        tables = {name: self.table(name) for name in self.names() if set(name.split()) <= words}
+        views = self.spark._jsparkSession.sessionState().catalog()
+        before = {name: self.spark.table(name) for name in tables if views.getTempView(name).isDefined()}
+        for name, df in tables.items():
             df.createOrReplaceTempView(name)
-        return self.spark.sql(text)
+        try:
+            return self.spark.sql(text)
+        finally:
+            for name in tables:
+                if name in before:
+                    before[name].createOrReplaceTempView(name)
+                else:
+                    self.spark.catalog.dropTempView(name)
 
     def count_records(self, table: str, where: str | None = None) -> int:
         df = self.table(table)
         return (df.where(where) if where else df).count()
 
     def list_tables(self) -> DataFrame:
-        """Name, number of columns and number of rows of every given table."""
-        return table_profile(self.spark, self.given())
+        """Name, number of columns and number of rows of every table."""
+        return table_profile(self.spark, {name: self.table(name) for name in self.names()})
 
     def table_schema(self, name_pattern: str) -> DataFrame:
-        """Columns of the given tables whose name is LIKE the pattern."""
-        columns = column_list(self.spark, self.given())
+        """Columns of the tables whose name is LIKE the pattern."""
+        columns = column_list(self.spark, {name: self.table(name) for name in self.names()})
         return columns.where(F.col("table_name").like(name_pattern))

@@ -41,20 +41,6 @@ TABLE_NAMES = (
 # The tables the named datasets read.
 PLANETS, TOI, KOI, MICROLENSING = "ps", "toi", "cumulative", "ml"
 
-# Discovery methods and solution types.
-DISCOVERY_METHODS = (
-    "Radial Velocity",
-    "Transit",
-    "Imaging",
-    "Microlensing",
-    "Eclipse Timing Variations",
-    "Orbital Brightness Modulation",
-    "Pulsar Timing",
-    "Pulsation Timing Variations",
-    "Astrometry",
-)
-SOLUTION_TYPES = ("CONFIRMED", "CANDIDATE", "FALSE POSITIVE")
-
 # Columns of the named datasets.
 PLANET_COLUMNS = (
     "pl_name", "hostname", "discoverymethod", "disc_year",
@@ -83,6 +69,21 @@ MICROLENSING_COLUMNS = (
     "ra", "dec",
 )
 
+# The types of these columns where a source delivers them as text.
+COLUMN_TYPES = dict.fromkeys(
+    ("pl_name", "hostname", "discoverymethod", "soltype", "tfopwg_disp", "kepoi_name",
+     "koi_disposition"),
+    "string",
+) | dict.fromkeys(
+    ("disc_year", "default_flag", "sy_snum", "sy_pnum", "sy_mnum", "tic_id", "toipfx", "kepid"),
+    "bigint",
+) | dict.fromkeys(
+    ("toi", "pl_orbper", "pl_orbsmax", "pl_masse", "pl_rade", "pl_eqt", "st_teff", "st_rad",
+     "st_mass", "st_met", "st_tmag", "sy_dist", "koi_score", "koi_period", "koi_prad", "koi_teq",
+     "koi_slogg"),
+    "double",
+)
+
 # Text that stands for a missing cell, after trimming.
 NULL_TOKENS = ("", "null", "NULL", "nan", "NaN", "N/A", "n/a", "-", "--")
 

@@ -11,7 +11,7 @@ from skyloom.operators.profile import column_profile, table_profile
 from skyloom.plans import datasets, discoveries
 from skyloom.plans.load import Loader
 from skyloom.sinks import writers
-from skyloom.storage import checkpointed, scratch_path
+from skyloom.storage import checkpointed, removed, scratch_path
 
 import __spark_entry__ as entry
 
@@ -76,6 +76,77 @@ def test_a_table_is_never_its_own_source(spark, table, tmp_path):
     assert spark.table("sink_own.t").count() == 3
 
 
+def test_relative_paths_are_seen_through(spark, table, tmp_path):
+    folder = f"relative-{tmp_path.name}-{os.getpid()}"
+    absolute = os.path.join(os.getcwd(), folder)
+    try:
+        writers.write_files(table, folder)
+        assert spark.read.parquet(absolute).count() == 3
+        for source, target in ((absolute, folder), (folder, absolute), (folder, f"./{folder}/")):
+            with pytest.raises(ValueError, match="overwrite"):
+                writers.write_files(spark.read.parquet(source).where("n > 1"), target)
+        assert spark.read.parquet(absolute).count() == 3
+    finally:
+        removed(spark, folder)
+
+
+def test_a_failed_write_keeps_the_old_rows(spark, table, tmp_path):
+    path = str(tmp_path / "out")
+    failing = table.withColumn("n", F.when(F.col("n") == 3, F.raise_error(F.lit("stop"))).otherwise(F.col("n")))
+    target = writers.TableTarget("sink_failed", str(tmp_path / "base"))
+    plain = writers.TableTarget("sink_failed_plain")
+    writers.write_files(table, path)
+    target.write(table, "t")
+    plain.write(table, "t")
+    for write in (lambda: writers.write_files(failing, path), lambda: target.write(failing, "t"),
+                  lambda: plain.write(failing, "t")):
+        with pytest.raises(Exception, match="stop"):
+            write()
+    assert rows(spark.read.parquet(path)) == ROWS
+    assert rows(spark.table("sink_failed.t")) == rows(spark.table("sink_failed_plain.t")) == ROWS
+    assert sorted(os.listdir(tmp_path)) == ["base", "out"]
+    assert [t.name for t in spark.catalog.listTables("sink_failed_plain")] == ["t"]
+
+
+def test_loads_leave_nothing_behind_and_know_their_schema(spark, catalog, tmp_path):
+    def staged():
+        shared = spark.conf.get("spark.checkpoint.dir") + "/skyloom"
+        return {n for n in (os.listdir(shared) if os.path.isdir(shared) else []) if n.startswith("staged")}
+
+    loader = Loader(catalog, writers.FileTarget(str(tmp_path)))
+    before = staged()
+    (done,) = loader.load_custom_query("SELECT pl_name, '12' AS extra FROM ps", "open", limit=5)
+    assert done.rows == 5 and dict(spark.read.parquet(done.location).dtypes)["extra"] == "bigint"
+    (done,) = loader.load_tess_data(limit=5)
+    assert dict(spark.read.parquet(done.location).dtypes)["toi"] == "double"
+    odd = Catalog(spark, {"toi": catalog.table("toi").withColumn("toi", F.lit("odd"))})
+    (done,) = Loader(odd, writers.FileTarget(str(tmp_path))).load_tess_data()
+    loaded = spark.read.parquet(done.location)
+    assert dict(loaded.dtypes)["toi"] == "double"
+    assert loaded.where("toi IS NULL AND toi_unparsed = 'odd'").count() == done.rows > 0
+    assert staged() == before
+
+
+def test_catalog_on_a_path_and_views_of_the_user(spark, table, tmp_path):
+    for name in ("ps", "toi"):
+        table.write.parquet(f"{tmp_path}/{name}")
+    (tmp_path / "_logs").mkdir()
+    stored = Catalog(spark, base_path=str(tmp_path))
+    assert rows(stored.list_tables()) == [("ps", 5, 3), ("toi", 5, 3)]
+    assert stored.table_schema("p%").count() == 5
+    spark.range(1).createOrReplaceTempView("ps")
+    try:
+        assert stored.sql("SELECT n FROM ps").count() == 3
+        assert spark.table("ps").columns == ["id"]
+        assert "toi" not in [t.name for t in spark.catalog.listTables()]
+        assert Catalog(spark).names() == ["ps"]
+    finally:
+        spark.catalog.dropTempView("ps")
+    named = stored.query().select(["ps.n", "t"]).from_table("ps").where("ps.n > 1").order_by("ps.n")
+    assert [r.n for r in named.to_df().collect()] == [2, 3]
+    assert Catalog(spark, base_path=str(tmp_path / "nothing")).list_tables().count() == 0
+
+
 def test_catalog_table(spark, table, tmp_path):
     target = writers.TableTarget("sink_test", str(tmp_path))
     for _ in range(2):
@@ -89,8 +160,9 @@ def test_jdbc_options():
     """Without a database: the options that reach the writer."""
     df = mock.MagicMock()
     writers.JdbcTarget("jdbc:x", "cat", {"user": "u"}, batch_size=500).write(df, "t")
-    writer = df.coalesce.return_value.write.mode.return_value
-    df.coalesce.return_value.write.mode.assert_called_once_with("overwrite")
+    writer = df.repartition.return_value.write.mode.return_value
+    df.repartition.assert_called_once_with(8)
+    df.repartition.return_value.write.mode.assert_called_once_with("overwrite")
     options = [writer.option.call_args, writer.option.return_value.option.call_args]
     assert [o.args for o in options] == [("truncate", True), ("batchsize", 500)]
     writer.option.return_value.option.return_value.jdbc.assert_called_once_with(

@@ -5,6 +5,7 @@ import pytest
 from conftest import plan_text, settings
 from pyspark.sql import functions as F
 
+from skyloom import Catalog
 from skyloom.functions import sky
 from skyloom.operators.near import near_targets
 from skyloom.sinks.writers import write_files
@@ -156,6 +157,35 @@ def test_ranges_reach_the_scan(spark, stars, tmp_path):
         assert found(stored, zoned) == found(stars, plain)
 
 
+def test_a_wrong_zone_height_is_an_error(spark, stars, tmp_path):
+    path = str(tmp_path / "stars")
+    write_files(stars, path, sky_zone=7.5)
+    stored = spark.read.parquet(path)
+    assert sky.zone_height(stored.columns) == 7.5
+    assert sky.zone_height(stars.columns) is None
+    right = sky.circle(40, 20, 15, zone_height=sky.zone_height(stored.columns))
+    assert found(stored, right) == found(stars, sky.circle(40, 20, 15))
+    with pytest.raises(Exception, match="sky_zone_5"):
+        stored.where(sky.circle(40, 20, 15, zone_height=5)).count()
+    for height in (1e-5, 1 / 3, 5, 1e20):
+        assert sky.zone_height([sky.zone_column(height)]) == height
+    with pytest.raises(ValueError):
+        sky.zone_column(0)
+
+
+def test_queries_use_the_zones_of_their_table(spark, stars, tmp_path):
+    path = str(tmp_path / "stars")
+    write_files(stars, path, sky_zone=5)
+    catalog = Catalog(spark, {"stars": spark.read.parquet(path)})
+    query = catalog.query().select("id").from_table("stars")
+    for extend in (
+        lambda q: q.where_spatial_circle(40, 20, 15),
+        lambda q: q.where_spatial_box(40, 20, 9, 5),
+    ):
+        df = extend(query).to_df()
+        assert "PartitionFilters: [isnotnull(sky_zone_5" in plan_text(df)
+
+
 def test_zones_are_pruned_and_crowded_positions_spread(spark, tmp_path):
     rows = spark.range(0, 30000, 1, 8).select(
         "id",
@@ -171,7 +201,7 @@ def test_zones_are_pruned_and_crowded_positions_spread(spark, tmp_path):
         write_files(rows, path, sky_zone=10)
     stored = spark.read.parquet(path)
     assert stored.count() == 30000
-    crowded = stored.where("sky_zone = 10").groupBy("_metadata.file_path").count().collect()
+    crowded = stored.where("sky_zone_10 = 10").groupBy("_metadata.file_path").count().collect()
     assert len(crowded) > 1 and max(r["count"] for r in crowded) < 6000
 
 
