@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -71,7 +72,11 @@ def _replaced(df: DataFrame, path: str, save) -> None:
     try:
         save(new.toString())
     except BaseException:
-        store.delete(new, True)
+        for _ in range(20):  # other tasks of the failed job may still be writing there
+            store.delete(new, True)
+            time.sleep(0.1)
+            if not store.exists(new):
+                break
         raise
     moved = store.exists(target) and store.rename(target, old)
     if not store.rename(new, target):
