@@ -56,7 +56,7 @@ def fit(docs: DataFrame) -> Centroids:
     """Learns from ``text`` and ``lang`` of the rows that are not held out.
 
     Rows with a null language or a text without letters teach nothing. The frequencies come from
-    all other rows; the k-means from about ``SAMPLE`` rows a language, drawn by a hash of the id.
+    all other rows; the k-means from about ``SAMPLE`` ids a language at most, drawn by a hash.
     The model holds ``CENTROIDS * BUCKETS`` numbers a language.
     """
     spark = docs.sparkSession
@@ -123,6 +123,7 @@ def fit(docs: DataFrame) -> Centroids:
     found = (
         sample.select("text", "lang", draw.alias("draw"))
         .mapInArrow(vectors, "lang string, draw long, weights binary")
+        .dropDuplicates(["lang", "draw"])  # an id is drawn once, however often it is there
         .groupBy("lang")
         .applyInArrow(cluster, "lang string, centroid binary, floor double")
         .collect()

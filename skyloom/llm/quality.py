@@ -82,13 +82,16 @@ def _vectors(texts: pa.Array, idf: np.ndarray) -> Iterator[tuple[int, np.ndarray
 def fit(docs: DataFrame, labels: DataFrame) -> Neighbours | None:
     """Learns from the ``quality`` (0 or 1) of labelled documents that are not held out.
 
-    About ``SAMPLE`` labelled rows of each class are drawn by a hash of the id; votes are weighted
-    back to the classes' true shares. Null ids and labels teach nothing, a repeated label counts
-    again. None if no document has a label.
+    About ``SAMPLE`` labelled ids of each class are drawn by a hash of the id; votes are weighted
+    back to the classes' true shares. Null ids and labels teach nothing; an id with several labels
+    has the lowest. None if no document has a label.
     """
     spark = docs.sparkSession
-    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(
-        ~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)
+    known = (
+        labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
+        .where(~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+        .groupBy("doc_id")
+        .agg(F.min("quality").alias("quality"))
     )
     counts = {r[0]: r[1] for r in known.groupBy("quality").count().collect()}
     if not counts:
@@ -135,6 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Neighbours | None:
         .join(chosen.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
         .select("doc_id", "quality", "text")
         .mapInArrow(vectors, "doc_id long, quality int, vector binary")
+        .dropDuplicates(["doc_id"])  # one row of an id, however often it is there
         .collect()
     )
     if not sample:
