@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyloom import Catalog
 from skyloom.functions import sky
+from skyloom.operators import near
 from skyloom.operators.near import near_targets
 from skyloom.sinks.writers import write_files
 
@@ -234,6 +235,26 @@ def test_near_targets_separation_and_columns(spark):
         near_targets(rows, targets, 0, target_id="t")
 
 
+def test_near_targets_of_a_catalogue_with_the_same_names(spark):
+    rows = spark.createDataFrame(
+        [(1, "own", 0.5, 10.0, 0.0)], "id int, target_id string, Separation double, ra double, dec double"
+    )
+    targets = spark.createDataFrame([(7, 10.05, 0.0)], "target_id int, ra double, dec double")
+    pairs = near_targets(rows, targets, 0.2)
+    assert pairs.columns == ["target_id", "id", "ra", "dec", "separation"]
+    assert [p.target_id for p in pairs.collect()] == [7]
+
+
+@pytest.mark.parametrize("radius", [0.05, 5.0, 33.3, 120.0])
+def test_join_rows_are_counted_without_listing_them(spark, radius):
+    ra, dec = random_sky(80, 5)
+    rows = [(i, float(a), float(d)) for i, (a, d) in enumerate(zip(ra, dec))] + [(99, 0.0, 90.0)]
+    wanted = spark.createDataFrame(rows, "_target string, _ra0 double, _dec0 double")
+    listed = near._in_touched_cells(wanted, radius, radius)
+    size = listed.agg(F.sum(F.octet_length("_target") + near.ROW_BYTES)).first()[0]
+    assert near._join_bytes(wanted, radius, radius) == size
+
+
 def test_tiny_radius(spark):
     rows = spark.createDataFrame([(1, 10.0, 20.0), (2, 10.0000004, 20.0)], "id int, ra double, dec double")
     targets = spark.createDataFrame([(7, 10.0, 20.0)], "target_id int, ra double, dec double")
