@@ -69,8 +69,10 @@ WHOLE, DECIMAL, TEXT = 1, 2, 3
 
 def number_kind(c: Column) -> Column:
     """``WHOLE`` for text in the BIGINT range, ``DECIMAL`` for other numbers, else ``TEXT``."""
-    kind = F.when(to_bigint(c).isNotNull(), WHOLE).when(is_number(c), DECIMAL).otherwise(TEXT)
-    return F.when(c.isNotNull(), kind)
+    # Most text begins with a letter, which no number does.
+    lettered = F.substring(c, 1, 1).between("A", "z")
+    kind = F.when(lettered, TEXT).when(to_bigint(c).isNotNull(), WHOLE)
+    return F.when(c.isNotNull(), kind.when(is_number(c), DECIMAL).otherwise(TEXT))
 
 
 def to_bigint(c: Column) -> Column:
@@ -208,8 +210,7 @@ def map_text(c: Column, mapping: Mapping[str, Any]) -> Column:
         lookup.setdefault(key.lower(), value)
     if not lookup:
         return c
-    pairs = [
-        part for key, value in lookup.items() for part in (F.lit(key), F.lit(value).cast("string"))
-    ]
-    entries = F.create_map(*pairs)
-    return F.when(F.map_contains_key(entries, F.lower(c)), entries[F.lower(c)]).otherwise(c)
+    gone = [key for key, value in lookup.items() if value is None]
+    pairs = [F.lit(part) for pair in lookup.items() if pair[1] is not None for part in pair]
+    mapped = F.coalesce(F.create_map(*pairs)[F.lower(c)], c) if pairs else c
+    return F.when(~F.lower(c).isin(gone), mapped) if gone else mapped
