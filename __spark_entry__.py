@@ -315,6 +315,19 @@ def _(df):
     return query.where_spatial_box(40, 5, 20, 20).to_df()
 
 
+@on_catalog("sky_circle_sql", _cone_sql(PS_VECTORS, 217.42896, -62.67947, 12), "v_ps")
+def _(c):
+    return c.sql(
+        "SELECT pl_name AS key, ra, dec FROM ps"
+        " WHERE sky_circle(ra, dec, 217.42896D, -62.67947D, 12D)"
+    )
+
+
+@on_catalog("sky_box_sql", _box_sql(TOI_VECTORS, 40, 5, 20, 20), "v_toi")
+def _(c):
+    return c.sql("SELECT toi AS key, ra, dec FROM toi WHERE sky_box(ra, dec, 40D, 5D, 20D, 20D)")
+
+
 @on_view("sky_box", "v_toi", _box_sql(TOI_VECTORS, 40, 5, 20, 20))
 def _(df):
     return df.where(sky.box(40, 5, 20, 20)).select(F.col("toi").alias("key"), "ra", "dec")

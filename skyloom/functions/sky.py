@@ -19,6 +19,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 
+from pyspark.sql import SparkSession
+
 # The partition column of tables that are laid out by declination zone is named after this and
 # the height, with letters for the signs of a number.
 ZONE = "sky_zone_"
@@ -127,6 +129,46 @@ def circle(
     return f"({ranges} AND {within(ra, dec, number(ra0), number(dec0), radius)})"
 
 
+#: Regions as SQL functions. Spark puts their text in place of a call, so constant arguments are
+#: folded and the ranges reach the scan.
+FUNCTIONS = {
+    "sky_separation": (
+        "ra1 DOUBLE, dec1 DOUBLE, ra2 DOUBLE, dec2 DOUBLE",
+        "DOUBLE",
+        separation("ra1", "dec1", "ra2", "dec2"),
+    ),
+    "sky_circle": (
+        "ra DOUBLE, dec DOUBLE, ra0 DOUBLE, dec0 DOUBLE, radius DOUBLE",
+        "BOOLEAN",
+        f"dec BETWEEN dec0 - radius - {number(PAD)} AND dec0 + radius + {number(PAD)}"
+        f" AND {_haversine('ra', 'dec', 'ra0', 'dec0')}"
+        " <= pow(sin(radians(least(radius, 180D)) / 2), 2)",
+    ),
+    "sky_box": (
+        "ra DOUBLE, dec DOUBLE, ra0 DOUBLE, dec0 DOUBLE, width DOUBLE, height DOUBLE",
+        "BOOLEAN",
+        "cos(radians(dec)) * cos(radians(ra - ra0)) * cos(radians(dec0))"
+        " + sin(radians(dec)) * sin(radians(dec0)) > 0"
+        " AND abs(cos(radians(dec)) * sin(radians(ra - ra0))) <= tan(radians(width) / 2)"
+        " * (cos(radians(dec)) * cos(radians(ra - ra0)) * cos(radians(dec0))"
+        " + sin(radians(dec)) * sin(radians(dec0)))"
+        " AND abs(sin(radians(dec)) * cos(radians(dec0))"
+        " - cos(radians(dec)) * cos(radians(ra - ra0)) * sin(radians(dec0)))"
+        " <= tan(radians(height) / 2)"
+        " * (cos(radians(dec)) * cos(radians(ra - ra0)) * cos(radians(dec0))"
+        " + sin(radians(dec)) * sin(radians(dec0)))",
+    ),
+}
+
+
+def register_functions(spark: SparkSession) -> None:
+    """Makes ``sky_separation``, ``sky_circle`` and ``sky_box`` known to the session's SQL; functions
+    of these names that are there already stay."""
+    for name, (arguments, kind, text) in FUNCTIONS.items():
+        if not spark.catalog.functionExists(name):
+            spark.sql(f"CREATE TEMPORARY FUNCTION {name}({arguments}) RETURNS {kind} RETURN {text}")
+
+
 def near_object(
     ra0: float,
     dec0: float,

@@ -138,6 +138,9 @@ class Loader:
             staged = scratch_path(df.sparkSession, "staged")
             df.write.parquet(staged)
             df = df.sparkSession.read.schema(df.schema).parquet(staged)
+        elif settle:
+            # What a limit has gathered in one task is dealt out again if it is much.
+            df = df.hint("rebalance")
         try:
             if self.clean:
                 df = self.clean(df)

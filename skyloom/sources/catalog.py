@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyloom.functions import sky
 from skyloom.operators.profile import column_list, table_profile
 from skyloom.operators.query import CatalogQuery
 from skyloom.vocab import TABLE_NAMES
@@ -68,9 +69,11 @@ class Catalog:
     def sql(self, text: str) -> DataFrame:
         """Runs Spark SQL in which the catalogue's tables are known by their names.
 
-        Regions of ``skyloom.functions.sky`` are SQL text and can stand in its conditions. Views of
-        the session that have the same names are as before afterwards.
+        ``sky_separation``, ``sky_circle`` and ``sky_box`` can be called in it, and regions of
+        ``skyloom.functions.sky`` are SQL text that can stand in its conditions. Views of the session
+        that have the tables' names are as before afterwards.
         """
+        sky.register_functions(self.spark)
         words = set(re.findall(r"\w+", text))
         tables = {name: self.table(name) for name in self.names() if set(name.split()) <= words}
         views = self.spark._jsparkSession.sessionState().catalog()

@@ -158,6 +158,19 @@ def test_ranges_reach_the_scan(spark, stars, tmp_path):
         assert found(stored, zoned) == found(stars, plain)
 
 
+def test_sql_functions(spark, stars, tmp_path):
+    path = str(tmp_path / "stars")
+    stars.write.parquet(path)
+    catalog = Catalog(spark, {"stars": spark.read.parquet(path)})
+    circle = catalog.sql("SELECT id, ra, dec FROM stars WHERE sky_circle(ra, dec, 40D, 20D, 15D)")
+    assert "GreaterThanOrEqual(dec,4.99" in plan_text(circle)
+    assert {r.id for r in circle.collect()} == found(stars, sky.circle(40, 20, 15))
+    box = catalog.sql("SELECT id FROM stars WHERE sky_box(ra, dec, 358D, -60D, 30D, 12D)")
+    assert {r.id for r in box.collect()} == found(stars, sky.box(358, -60, 30, 12))
+    apart = catalog.sql("SELECT sky_separation(359.95D, 0D, 0.05D, 0D) AS d").first().d
+    assert abs(apart - 0.1) < 1e-9
+
+
 def test_a_wrong_zone_height_is_an_error(spark, stars, tmp_path):
     path = str(tmp_path / "stars")
     write_files(stars, path, sky_zone=7.5)
