@@ -71,6 +71,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(text.cast("binary")) % 4 == 2
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """A column name like ``name`` that none of the columns has."""
+    taken = {column.lower() for column in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``node, component``: the smallest node reachable, for every node of an edge in ``a, b``.
 

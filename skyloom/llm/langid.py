@@ -196,11 +196,12 @@ def identify(docs: DataFrame) -> DataFrame:
     A row's ``lang``, ``source`` and ``doc_id`` take no part in its prediction. Rows with a null or
     repeated ``doc_id`` are rows like others. Other columns are left out. An empty table gives none.
     """
-    found = docs.select("doc_id", held_out().alias("held_out"), predictions(docs, fit(docs)).alias("_p"))
-    return found.select("doc_id", "held_out", "_p.*")
+    found = predictions(docs, fit(docs)).alias("found")
+    return docs.select("doc_id", held_out().alias("held_out"), found).select(
+        "doc_id", "held_out", "found.*"
+    )
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents that are not rejected, with their columns as they are."""
-    marked = docs.withColumn("_language", predictions(docs, fit(docs)))
-    return marked.where(~F.col("_language.rejected")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.where(~predictions(docs, fit(docs))["rejected"])

@@ -10,7 +10,6 @@ nothing a later batch says about it matters. Runs gather in levels; whenever a l
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -18,9 +17,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from skyloom.llm.common import SPACES
+from skyloom.llm.common import SPACES, free_name
 from skyloom.storage import scratch_path, written
 
 #: A null id counts as the smallest of all.
@@ -159,15 +157,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, **runs)
     passed = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     doc = F.coalesce(F.col("d.doc_id").cast("long"), F.lit(_NO_ID))
     joined = docs.alias("d").join(doomed.alias("x"), doc == F.col("x.doc"), "left")
+    result = free_name("cut", passed)
     done = joined.select(
-        *(F.col(f"d.`{c}`") for c in passed), cut(F.col("d.text"), F.col("x.keys")).alias("_cut")
+        *(F.col(f"d.`{c}`") for c in passed), cut(F.col("d.text"), F.col("x.keys")).alias(result)
     )
-    done = done.select(*(F.col(f"`{c}`") for c in passed), "_cut.*")
+    done = done.select(*(F.col(f"`{c}`") for c in passed), f"{result}.*")
     order = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return done.select(*(F.col(f"`{c}`") for c in order), "n_lines", "n_dropped")
-
-
-@F.arrow_udf(T.StringType())
-def sha256_hex(texts: pa.Array) -> pa.Array:
-    """SHA-256 of the text in UTF-8, lower-case hex."""
-    return pa.array([hashlib.sha256((t or "").encode()).hexdigest() for t in texts.to_pylist()])

@@ -13,15 +13,16 @@ and kept in a table of bounded size.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
@@ -74,8 +75,9 @@ class PieceTable:
         self.sizes = [len(text) for text in self.texts]
         self.characters = {piece for piece in self.ids if len(piece) == 1}
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[str, str]] = {}
-        self.older_words: dict[str, tuple[str, str]] = {}
+        self.end = array("i", [self.end_id]).tobytes()
+        self.words: dict[str, tuple[bytes, str]] = {}
+        self.older_words: dict[str, tuple[bytes, str]] = {}
 
     def _merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
         """BPE by its definition, for short texts: the pieces, and the halves of the last merge."""
@@ -198,13 +200,11 @@ class PieceTable:
 
     def encode(self, text: str) -> list[int]:
         """The ids as the library gives them with an end id."""
-        ids = [i for word in self._words(text) for i in self.word_ids(word)]
-        return [*ids, self.end_id]
+        return np.frombuffer(self.encode_and_decode(text)[0], np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes in a row are read as UTF-8, the first space mark goes."""
-        text = self._surface(ids)
-        return text.removeprefix(" ")
+        return self._surface(ids).removeprefix(" ")
 
     def _surface(self, ids: list[int]) -> str:
         if self.byte_of.keys().isdisjoint(ids) and self.silent.isdisjoint(ids):
@@ -223,12 +223,12 @@ class PieceTable:
             parts.append(raw.decode("utf-8", "replace"))
         return "".join(parts).replace(MARK, " ")
 
-    def _kept(self, word: str) -> tuple[str, str]:
-        """Decimal ids and text of a word, from the table of frequent words."""
+    def _kept(self, word: str) -> tuple[bytes, str]:
+        """Ids, as bytes of 32-bit integers, and their text, from the table of frequent words."""
         found = self.older_words.get(word)
         if found is None:
             ids = self.word_ids(word)
-            found = " ".join(map(str, ids)), self._surface(ids)
+            found = array("i", ids).tobytes(), self._surface(ids)
         if len(word) <= 64:
             if len(self.words) >= self.kept_words:
                 self.older_words = self.words.copy()
@@ -243,17 +243,16 @@ class PieceTable:
         spaced = MARK + text.replace(" ", " " + MARK).replace("\n", " \n ") if text else ""
         return spaced.split(" ")
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the decimal ids, SHA-256 of the decoded text."""
+    def encode_and_decode(self, text: str) -> tuple[bytes, str]:
+        """The ids with an end id, as bytes of 32-bit integers, and the text they stand for.
+
+        A word's ids are decoded when the word is met first. No character's bytes are parted by the
+        end of a word, so the words' texts make up the text of all ids.
+        """
         get, keep = self.words.get, self._kept
         found = [get(word) or keep(word) for word in self._parts(text) if word]
-        numbers = " ".join([*(ids for ids, _ in found), str(self.end_id)])
-        decoded = "".join([surface for _, surface in found]).removeprefix(" ")
-        return (
-            numbers.count(" ") + 1,
-            hashlib.sha256(numbers.encode()).hexdigest(),
-            hashlib.sha256(decoded.encode()).hexdigest(),
-        )
+        ids = b"".join([*(packed for packed, _ in found), self.end])
+        return ids, "".join([surface for _, surface in found]).removeprefix(" ")
 
 
 @lru_cache(2)
@@ -262,47 +261,28 @@ def piece_table(model_path: str) -> PieceTable:
     return PieceTable(model_path)
 
 
-def encoded(text: Column, model_path: str) -> Column:
-    """``ids, decoded`` of each text: the ids with an end id, and the text they stand for.
-
-    Null and empty texts have the end id alone and decode to an empty text. ``model_path`` is
-    opened on the executors, which all need the file there.
-    """
+def encode(docs: DataFrame, model_path: str) -> DataFrame:
+    """``doc_id, ids, decoded`` of every whole text: the ids with an end id, and the text they give.
 
-    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
-    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = piece_table(model_path)
-        for part in parts:
-            ids = [pieces.encode(t or "") for t in part.to_pylist()]
-            texts = [pieces.decode(i) for i in ids]
-            yield pa.StructArray.from_arrays(
-                [pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())],
-                ["ids", "decoded"],
-            )
-
-    return run(text)
-
-
-def encoding_digests(docs: DataFrame, model_path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every whole text.
-
-    As ``encoded``, but with what a comparison needs in place of the ids. One row per input row;
+    Null and empty texts have the end id alone and decode to an empty text. One row per input row;
     repeated ids, a null id and other columns make no difference. An empty table gives no rows.
+    ``model_path`` is opened on the executors, which all need the file there.
     """
 
-    @F.arrow_udf("struct<n_tokens: long, ids_sha256: string, decoded_sha256: string>")
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = piece_table(model_path)
+        table = piece_table(model_path)
         for part in parts:
-            rows = [pieces.digest(t or "") for t in part.to_pylist()]
-            counts, ids, texts = zip(*rows) if rows else ((), (), ())
+            found = [table.encode_and_decode(text.as_py() or "") for text in part]
+            sizes = [len(ids) // 4 for ids, _ in found]
+            numbers = np.frombuffer(b"".join([ids for ids, _ in found]), np.int32)
+            offsets = np.cumsum([0, *sizes], dtype=np.int32)
             yield pa.StructArray.from_arrays(
                 [
-                    pa.array(counts, pa.int64()),
-                    pa.array(ids, pa.string()),
-                    pa.array(texts, pa.string()),
+                    pa.ListArray.from_arrays(offsets, pa.array(numbers)),
+                    pa.array([text for _, text in found], pa.string()),
                 ],
-                ["n_tokens", "ids_sha256", "decoded_sha256"],
+                ["ids", "decoded"],
             )
 
-    return docs.select("doc_id", run("text").alias("_digest")).select("doc_id", "_digest.*")
+    return docs.select("doc_id", run("text").alias("_encoded")).select("doc_id", "_encoded.*")

@@ -214,5 +214,4 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents with a good score, with their columns as they are."""
-    scored = docs.withColumn("_quality", scores(docs, fit(docs, labels)))
-    return scored.where(F.col("_quality") >= GOOD).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.where(scores(docs, fit(docs, labels)) >= GOOD)

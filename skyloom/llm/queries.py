@@ -69,7 +69,7 @@ LINES_SQL = f"""
 def _(spark, sf_dir):
     done = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return done.select(
-        "doc_id", "n_lines", "n_dropped", lines.sha256_hex("text").alias("kept_sha256")
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
 
 
@@ -86,7 +86,14 @@ def _(spark, sf_dir):
 @query("op9_piece_encoding")
 def _(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.encoding_digests(table(spark, sf_dir, "documents"), path)
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), path)
+    numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(numbers, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 @query("op10_page_text")

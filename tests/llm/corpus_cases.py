@@ -9,7 +9,7 @@ DOCUMENT_SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long,"
     # names that the operators use for columns of their own
     " bucket long, rep long, component_id string, kept string, n_lines string, n_dropped string,"
-    " score string, lang_pred string, draw string, ids string, doc string, key string, batch string"
+    " score string, lang_pred string, draw string, ids string, cut string, found string, key string"
 )
 _CLASHES = (7, 7, *("clash",) * 11)
 
