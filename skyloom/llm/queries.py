@@ -102,7 +102,46 @@ def _(spark, sf_dir):
     return done.withColumn("n_chars", F.length("text").cast("long"))
 
 
-@query("op1_near_dedup")
+#: All pairs that share a shingle, and what is reachable by their links.
+NEAR_SQL = f"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(
+            string_split_regex(
+                translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'),
+            lambda w: w <> '') AS w
+        FROM documents
+    ),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+            WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(
+                generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')))
+            END AS s
+        FROM words
+    ),
+    sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles FROM sets),
+    items AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+        FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+    ),
+    links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * common >= 75 * (x.n_shingles + y.n_shingles - common)
+    ),
+    ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION
+        SELECT r.a, w.b FROM reached r JOIN ways w ON r.b = w.a
+    ),
+    lowest AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+    SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept
+    FROM sizes JOIN lowest USING (doc_id)
+"""
+
+
+@query("op1_near_dedup", NEAR_SQL)
 def _(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
