@@ -38,7 +38,15 @@ def written(df: DataFrame, label: str, **write_options) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends there, columns stay prunable."""
     path = scratch_path(df.sparkSession, label)
     df.write.options(**write_options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``written`` gave; nothing may read them any more."""
+    for table in tables:
+        removed(table.sparkSession, table.written_to)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
