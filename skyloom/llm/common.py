@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.storage import written
+from skyloom.storage import discard, written
 
 #: White space that the contracts strip and split at.
 SPACES = " \t\n\x0b\x0c\r"
@@ -86,7 +86,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     each component is a star. A round is two aggregations and two joins by node; minima are
     combined before the shuffle and a hub's edges are spread by the skew join. Rounds grow with
     the logarithm of the longest path. Every round is written to the shared folder, so a lost
-    executor costs one round. Loops and repeated edges are harmless, an empty table gives none.
+    executor costs one round, and discarded after the next. Loops and repeated edges are harmless, an
+    empty table gives none.
     """
     links = edges.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
@@ -98,36 +99,37 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         ).first()
         if now[0] == 0 or now == before:
             break
-        before = now
-        links = written(_small_star(_large_star(links)).distinct(), "links")
+        before, links = now, _star_round(links)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     members = links.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     roots = links.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
-    return members.unionByName(roots)
+    found = written(members.unionByName(roots), "components")
+    discard(links)
+    return found
 
 
-def _large_star(links: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked with the node's smallest neighbour or itself.
+def _star_round(links: DataFrame) -> DataFrame:
+    """First every larger neighbour of a node is linked with the node's smallest neighbour or itself,
+    then a node and its smaller neighbours with the smallest of them.
 
-    The minima are written so that both sides of the join are shuffled for it: only then is a hub
-    split by the skew join. The same holds in the other half of the round.
+    The minima are written, so that both sides of a join are shuffled for it: only then is a hub
+    split by the skew join.
     """
     both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
-    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-    return (
-        both.where(F.col("v") > F.col("u"))
-        .join(least, "u")
-        .select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+    nearest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    nearest = written(nearest, "least")
+    large = both.where(F.col("v") > F.col("u")).join(nearest, "u")
+    large = written(
+        large.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "links"
     )
-
-
-def _small_star(links: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are linked with the smallest of them."""
-    least = written(links.groupBy("hi").agg(F.min("lo").alias("m")), "least")
-    moved = links.join(least, "hi").where(F.col("lo") != F.col("m"))
-    return moved.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(
-        least.select("hi", F.col("m").alias("lo"))
+    lowest = written(large.groupBy("hi").agg(F.min("lo").alias("m")), "least")
+    moved = large.join(lowest, "hi").where(F.col("lo") != F.col("m"))
+    small = moved.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(
+        lowest.select("hi", F.col("m").alias("lo"))
     )
+    small = written(small.distinct(), "links")
+    discard(links, nearest, large, lowest)
+    return small

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import SPACES, free_name
-from skyloom.storage import scratch_path, written
+from skyloom.storage import discard, scratch_path, written
 
 #: A null id counts as the smallest of all.
 _NO_ID = -(2**63)
@@ -39,13 +39,16 @@ def repeated_lines(
     runs = LineRuns(min_docs, fanout)
     for number in range(batches):
         runs.add(lines.where(F.col("batch") == number).drop("batch"))
-    return (
+    doomed = (
         lines.drop("batch")
         .join(runs.settled(), "key")
         .where(F.col("doc") < F.col("last_doc"))
         .groupBy("doc")
         .agg(F.collect_set("key").alias("keys"))
     )
+    doomed = written(doomed, "lines-doomed")
+    discard(lines, *(run for level in runs.levels for run in level))
+    return doomed
 
 
 class LineRuns:
@@ -72,6 +75,7 @@ class LineRuns:
             if level + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[level + 1].append(self._sorted(_merged(self.levels[level]), level + 1))
+            discard(*self.levels[level])
             self.levels[level] = []
             level += 1
 
@@ -120,7 +124,9 @@ def _line_table(docs: DataFrame, min_chars: int, batches: int) -> DataFrame:
     lines = docs.select(doc, F.col("text")).mapInArrow(keys, "key binary, doc long")
     path = scratch_path(spark, "lines")
     lines.withColumn("batch", batch).write.partitionBy("batch").parquet(path)
-    return spark.read.schema("key binary, doc long, batch int").parquet(path)
+    table = spark.read.schema("key binary, doc long, batch int").parquet(path)
+    table.written_to = path
+    return table
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, **runs) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm import shingles
 from skyloom.llm.common import components, sorted_groups
-from skyloom.storage import written
+from skyloom.storage import discard, written
 
 #: Up to so many ids of documents to read again are sent to all executors (8 bytes each).
 BROADCAST_IDS = 4_000_000
@@ -45,7 +45,7 @@ def near_duplicates(
     itself. Null, empty and blank texts have no shingles and are linked with nothing. Rows that
     share a ``doc_id`` are one document, linked through any of their texts; each row comes back. A
     null ``doc_id`` has null in ``component_id`` and ``kept``. Other columns are left out. An empty
-    table gives no rows.
+    table gives no rows. The result is read from a table in the shared folder; all else is discarded.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(_signatures(docs, words, bands, rows), "minhash")
@@ -65,24 +65,27 @@ def near_duplicates(
     sets = _sets(docs, members.select(F.col("rep").alias("doc_id")).distinct(), words)
     stars = members.where("rep <> pivot").select("rep", "pivot").distinct()
     links = written(_confirmed(stars, sets, percent), "minhash-links")
-    more = _within_buckets(members, classes, sets, components(links), percent)
-    links = links.unionByName(written(more, "minhash-links"))
+    known = components(links)
+    more = written(_within_buckets(members, classes, sets, known, percent), "minhash-links")
     copies = (
         signed.join(classes.select("class", "rep"), "class")
         .where("doc_id <> rep")
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     )
-    groups = components(links.unionByName(copies))
+    groups = components(links.unionByName(more).unionByName(copies))
     found = signed.select("doc_id", "n_shingles").join(
         groups.withColumnRenamed("node", "doc_id"), "doc_id", "left"
     )
     component = F.coalesce("component", "doc_id")
-    return found.select(
+    found = found.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         (F.col("doc_id") == component).alias("kept"),
     )
+    found = written(found, "near-duplicates")
+    discard(signed, classes, members, sets, links, known, more, groups)
+    return found
 
 
 def _signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
@@ -119,9 +122,8 @@ def _signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``doc_id, shingles`` of the wanted documents, worked out again from their texts."""
-    wanted = written(wanted, "minhash-wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    ids = written(wanted, "minhash-wanted")
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,10 +134,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, lists], ["doc_id", "shingles"])
 
     chosen = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
-    return written(
-        chosen.mapInArrow(read, "doc_id long, shingles array<long>").where("size(shingles) > 0"),
-        "minhash-sets",
-    )
+    sets = chosen.mapInArrow(read, "doc_id long, shingles array<long>")
+    sets = written(sets.where("size(shingles) > 0"), "minhash-sets")
+    discard(ids)
+    return sets
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

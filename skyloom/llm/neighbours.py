@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import components, sorted_groups
 from skyloom.llm.embeddings import usable_vectors
 from skyloom.llm.shingles import mix
-from skyloom.storage import written
+from skyloom.storage import discard, written
 
 #: A bucket is searched in blocks of about so many classes; classes a bucket has on average.
 BLOCK, BUCKET = 1024, 64
@@ -114,25 +114,29 @@ def near_vectors(
         ),
         "vector-crowded",
     )
-    if crowded.count() <= BROADCAST_BUCKETS:
-        crowded = F.broadcast(crowded)
-    found = written(_search(keyed, crowded, kind, threshold), "vector-links")
+    sent = F.broadcast(crowded) if crowded.count() <= BROADCAST_BUCKETS else crowded
+    found = written(_search(keyed, sent, kind, threshold), "vector-links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     owners = coded.join(classes.select("vector", "rep", "weight"), "vector", "left")
     owners = owners.select("vec_id", "rep", "weight")
     edges = found.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(
         owners.where("vec_id <> rep").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
     )
-    groups = components(edges).withColumnRenamed("node", "vec_id")
-    joined = owners.join(counts, "rep", "left").join(groups, "vec_id", "left")
+    groups = components(edges)
+    joined = owners.join(counts, "rep", "left").join(
+        groups.withColumnRenamed("node", "vec_id"), "vec_id", "left"
+    )
     component = F.coalesce("component", "vec_id")
     links = F.coalesce("links", F.lit(0)) + F.coalesce(F.col("weight") - 1, F.lit(0))
-    return joined.select(
+    joined = joined.select(
         "vec_id",
         links.cast("long").alias("n_links"),
         component.alias("component_id"),
         (F.col("vec_id") == component).alias("kept"),
     )
+    joined = written(joined, "near-vectors")
+    discard(coded, classes, keyed, crowded, found, groups)
+    return joined
 
 
 def _coded(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.embeddings import usable_vectors
-from skyloom.storage import written
+from skyloom.storage import discard, written
 
 #: Vectors in a block, queries in a group, vectors that are looked at together in a task.
 BLOCK, GROUP, STEP = 4096, 1024, 512
@@ -96,11 +96,14 @@ def top_products(
         .applyInArrow(search, "query_id long, query long, vec_id long, score long")
     )
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
-    return (
+    found = (
         found.withColumn("rank", F.row_number().over(best).cast("int"))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+    found = written(found, "top-products")
+    discard(own, ordered, asked, bounds)
+    return found
 
 
 def _whole(rows: DataFrame, id_column: str, vector_column: str, scale: float) -> DataFrame:
