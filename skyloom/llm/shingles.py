@@ -10,7 +10,7 @@ import pyarrow as pa
 from skyloom.llm.common import SPACES
 
 #: Texts are worked on together up to about so many bytes.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
