@@ -162,6 +162,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, **runs)
 
     passed = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     doc = F.coalesce(F.col("d.doc_id").cast("long"), F.lit(_NO_ID))
+    # Repeated keys make the files of these lists far smaller than the lists, so their size on disk
+    # is no ground for sending them to all executors.
+    doomed = doomed.hint("merge")
     joined = docs.alias("d").join(doomed.alias("x"), doc == F.col("x.doc"), "left")
     result = free_name("cut", passed)
     done = joined.select(
