@@ -74,7 +74,7 @@ def near_duplicates(
     )
     groups = components(links.unionByName(more).unionByName(copies))
     found = signed.select("doc_id", "n_shingles").join(
-        groups.withColumnRenamed("node", "doc_id"), "doc_id", "left"
+        groups.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left"
     )
     component = F.coalesce("component", "doc_id")
     found = found.select(
@@ -160,7 +160,8 @@ def _within_buckets(
     members: DataFrame, classes: DataFrame, sets: DataFrame, known: DataFrame, percent: int
 ) -> DataFrame:
     """Links ``a, b`` between different known components within a bucket."""
-    known = known.select(F.col("node").alias("rep"), "component")
+    # Sent to all executors at small sizes only, this would hide what the join costs at others.
+    known = known.select(F.col("node").alias("rep"), "component").hint("merge")
     placed = members.join(known, "rep", "left").select(
         "bucket", "rep", "members", F.coalesce("component", "rep").alias("component")
     )
