@@ -4,7 +4,8 @@ A text is a vector of hashed n-grams of its letters, weighted by TF-IDF, at leng
 frequencies are counted over all texts to learn from. Each language gets a few centroids by
 spherical k-means over a bounded sample of its texts. A text belongs to the language of the centroid
 with the largest cosine, and is rejected if it is much further from that centroid than the sampled
-texts of its language are.
+texts of its language are, or than their beginnings of its own length are, or if its runs of letters
+are much shorter than theirs (hex dumps, whose letters stand alone between digits).
 """
 
 from __future__ import annotations
@@ -26,20 +27,28 @@ UNDETERMINED = "und"
 BUCKETS, ORDERS = 4096, (1, 2, 3)
 #: Texts sampled from each language for the k-means, centroids of each, rounds.
 SAMPLE, CENTROIDS, ROUNDS = 1000, 4, 12
-#: A text is rejected below this part of the first percentile of the sample's cosines.
-REJECT_BELOW = 0.2
+#: A text is rejected below these parts of the first percentile of the sample's cosines, mean runs.
+REJECT_BELOW, REJECT_RUNS = 0.6, 0.5
+#: Short texts have small cosines: the floor is at most this part of the fifth percentile of the
+#: cosines of the sample's beginnings of so many letters. Runs count from ``LEAST_LETTERS`` on.
+REJECT_SHORT, BEGINNINGS, LEAST_LETTERS = 0.5, (2, 4, 8, 16, 32, 64, 128, 256, 512), 16
 
 _LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
 class Centroids:
-    """Languages in order of name, with their centroids, and the least cosine to be accepted."""
+    """Languages in order of name, with their centroids, and what a text needs to be accepted.
+
+    ``floors`` has the least cosine of a language (a row) for texts of less than two letters and of
+    at least each number in ``BEGINNINGS``; ``runs`` the least mean run of letters.
+    """
 
     languages: list[str]
     owner: np.ndarray
     vectors: np.ndarray
     floors: np.ndarray
+    runs: np.ndarray
     idf: np.ndarray
 
 
@@ -48,15 +57,41 @@ def has_letter(text: str | None) -> bool:
 
 
 def _letter_counts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    for first, counts, _, _ in _measured(texts):
+        yield first, counts
+
+
+def _measured(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of texts: the first one's number, n-gram counts, bytes of letters, mean run of those."""
     for first, data, offsets in ngrams.small_blocks(texts):
-        yield first, ngrams.ngram_counts(ngrams.LETTERS[data], offsets, ORDERS, BUCKETS)
+        data = ngrams.LETTERS[data]
+        letter = data != 32
+        begins = letter.copy()
+        begins[1:] &= ~letter[:-1]
+        inner = offsets[:-1][offsets[:-1] < offsets[1:]]
+        begins[inner] = letter[inner]
+        letters, runs = (
+            np.diff(np.concatenate([[0], np.cumsum(marks)])[offsets]) for marks in (letter, begins)
+        )
+        counts = ngrams.ngram_counts(data, offsets, ORDERS, BUCKETS)
+        yield first, counts, letters, letters / np.maximum(runs, 1)
+
+
+def _beginning(text: str, letters: int) -> str | None:
+    """The text up to so many bytes of letters, None if it has no more than those."""
+    head = text[: 16 * letters + 256].encode("utf-8", "replace")
+    places = np.flatnonzero(ngrams.LETTERS[np.frombuffer(head, np.uint8)] != 32)
+    if len(places) <= letters:
+        return None
+    return head[: places[letters - 1] + 1].decode("utf-8", "ignore")
 
 
 def fit(docs: DataFrame) -> Centroids:
     """Learns from ``text`` and ``lang`` of the rows that are not held out.
 
     Rows with a null language or a text without letters teach nothing. The frequencies come from
-    all other rows; the k-means from about ``SAMPLE`` ids a language at most, drawn by a hash.
+    all other rows; the k-means and the floors from about ``SAMPLE`` ids a language at most, drawn by
+    a hash.
     The model holds ``CENTROIDS * BUCKETS`` numbers a language.
     """
     spark = docs.sparkSession
@@ -64,7 +99,8 @@ def fit(docs: DataFrame) -> Centroids:
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         empty = np.zeros(0)
-        return Centroids([], empty.astype(int), np.zeros((0, BUCKETS)), empty, np.ones(BUCKETS))
+        vectors = np.zeros((0, BUCKETS))
+        return Centroids([], empty.astype(int), vectors, empty, empty, np.ones(BUCKETS))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS + 1, np.int64)
@@ -111,12 +147,10 @@ def fit(docs: DataFrame) -> Centroids:
         weights = np.frombuffer(raw, np.float16).reshape(-1, BUCKETS).astype(np.float32)
         rows = ngrams.unit_rows(weights * shared_idf.value)
         centroids = spherical_means(rows, CENTROIDS, ROUNDS)
-        floor = REJECT_BELOW * float(np.percentile((rows @ centroids.T).max(axis=1), 1))
         return pa.table(
             {
                 "lang": [table["lang"][0].as_py()] * len(centroids),
                 "centroid": [c.astype(np.float32).tobytes() for c in centroids],
-                "floor": [floor] * len(centroids),
             }
         )
 
@@ -125,18 +159,76 @@ def fit(docs: DataFrame) -> Centroids:
         .mapInArrow(vectors, "lang string, draw long, weights binary")
         .dropDuplicates(["lang", "draw"])  # an id is drawn once, however often it is there
         .groupBy("lang")
-        .applyInArrow(cluster, "lang string, centroid binary, floor double")
+        .applyInArrow(cluster, "lang string, centroid binary")
         .collect()
     )
     found.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
     languages = sorted({r["lang"] for r in found})
-    return Centroids(
-        languages,
-        np.array([languages.index(r["lang"]) for r in found], int),
-        np.array([np.frombuffer(r["centroid"], np.float32) for r in found]).reshape(-1, BUCKETS),
-        np.array([r["floor"] for r in found]),
-        idf,
+    owner = np.array([languages.index(r["lang"]) for r in found], int)
+    vectors = np.array([np.frombuffer(r["centroid"], np.float32) for r in found])
+    vectors = vectors.reshape(-1, BUCKETS)
+    drawn = sample.select("text", "lang", draw.alias("draw"))
+    floors, runs = _floors(drawn, languages, owner, vectors, idf)
+    return Centroids(languages, owner, vectors, floors, runs, idf)
+
+
+def _floors(
+    sample: DataFrame, languages: list[str], owner: np.ndarray, vectors: np.ndarray, idf: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """``floors`` and ``runs`` of the model, from a row for each sampled text and beginning."""
+    shared = sample.sparkSession.sparkContext.broadcast((languages, owner, vectors, idf))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages, owner, vectors, idf = shared.value
+        for batch in batches:
+            whole = [t.as_py() for t in batch["text"]]
+            for size in (0, *BEGINNINGS):
+                heads = [_beginning(t, size) if size else t for t in whole if has_letter(t)]
+                own = batch.filter(pa.array([has_letter(t) for t in whole]))
+                own = own.filter(pa.array([h is not None for h in heads], pa.bool_()))
+                heads = pa.array([h for h in heads if h is not None], pa.string())
+                for first, counts, letters, runs in _measured(heads):
+                    part = own.slice(first, len(counts))
+                    cosines = ngrams.tf_idf(counts, idf) @ vectors.T
+                    theirs = np.array([languages.index(v.as_py()) for v in part["lang"]], int)
+                    cosines[owner[None, :] != theirs[:, None]] = -1
+                    yield pa.record_batch(
+                        [
+                            part["lang"],
+                            part["draw"],
+                            pa.array([size] * len(part), pa.int64()),
+                            pa.array(cosines.max(axis=1).astype(float)),
+                            pa.array(letters, pa.int64()),
+                            pa.array(runs, pa.float64()),
+                        ],
+                        ["lang", "draw", "size", "cosine", "letters", "runs"],
+                    )
+
+    rows = (
+        sample.mapInArrow(
+            measure, "lang string, draw long, size long, cosine double, letters long, runs double"
+        )
+        .groupBy("lang", "draw", "size")  # an id is drawn once, however often it is there
+        .agg(F.min(F.struct("cosine", "letters", "runs")).alias("least"))
+        .select("lang", "size", "least.*")
+        .collect()
     )
+    floors = np.zeros((len(languages), len(BEGINNINGS) + 1))
+    least = np.zeros(len(languages))
+    for k, lang in enumerate(languages):
+        own = [r for r in rows if r["lang"] == lang]
+        top = REJECT_BELOW * np.percentile([r["cosine"] for r in own if not r["size"]], 1)
+        short = 0.0
+        for n, size in enumerate(BEGINNINGS, 1):
+            cosines = [r["cosine"] for r in own if r["size"] == size]
+            if cosines:
+                short = max(short, REJECT_SHORT * np.percentile(cosines, 5))
+            else:
+                short = top  # no sampled text is as long
+            floors[k, n] = min(top, short)
+        runs = [r["runs"] for r in own if not r["size"] and r["letters"] >= LEAST_LETTERS]
+        least[k] = REJECT_RUNS * np.percentile(runs, 1) if runs else 0.0
+    return floors, least
 
 
 def spherical_means(rows: np.ndarray, count: int, rounds: int) -> np.ndarray:
@@ -173,15 +265,19 @@ def predictions(docs: DataFrame, model: Centroids) -> Column:
             languages = [UNDETERMINED] * len(part)
             scores, rejected = np.zeros(len(part)), np.ones(len(part), bool)
             lettered = [has_letter(text.as_py()) for text in part]
-            for first, counts in _letter_counts(part) if model.languages else ():
+            for first, counts, letters, runs in _measured(part) if model.languages else ():
+                size = np.searchsorted(BEGINNINGS, letters, side="right")
                 cosines = ngrams.tf_idf(counts, model.idf) @ model.vectors.T
                 best = cosines.argmax(axis=1)
                 for i, k in enumerate(best.tolist()):
                     if lettered[first + i]:
                         score = float(min(max(cosines[i, k], 0.0), 1.0))
-                        languages[first + i] = model.languages[model.owner[k]]
+                        own = model.owner[k]
+                        languages[first + i] = model.languages[own]
                         scores[first + i] = score
-                        rejected[first + i] = score < model.floors[k]
+                        rejected[first + i] = score < model.floors[own, size[i]] or (
+                            letters[i] >= LEAST_LETTERS and runs[i] < model.runs[own]
+                        )
             yield pa.StructArray.from_arrays(
                 [pa.array(languages), pa.array(scores), pa.array(rejected)],
                 ["lang_pred", "score", "rejected"],

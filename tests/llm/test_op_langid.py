@@ -1,3 +1,6 @@
+import base64
+import random
+
 from corpus_cases import documents, held_out, odd_texts
 
 from skyloom.llm import langid
@@ -41,6 +44,36 @@ def test_odd_texts_and_rejection(spark):
     assert found[2003]["rejected"] and found[2003]["lang_pred"] in ("en", "de")
 
 
+FOREIGN = {
+    "it": "La mattina presto il vecchio pescatore scese lungo la strada verso il porto, dove le barche"
+    " dormivano ancora sotto la nebbia. Non aveva fretta, perché sapeva che il mare non aspetta.",
+    "pl": "Wczesnym rankiem stary rybak zszedł drogą do portu, gdzie łodzie jeszcze spały pod mgłą. Nie"
+    " spieszył się, ponieważ wiedział, że morze na nikogo nie czeka i że każdy dzień coś przynosi.",
+    "fi": "Varhain aamulla vanha kalastaja käveli tietä pitkin satamaan, jossa veneet nukkuivat vielä"
+    " sumun alla. Hänellä ei ollut kiirettä, sillä hän tiesi, ettei meri odota ketään.",
+}
+
+
+def test_latin_script_of_no_learned_language_goes(spark):
+    rng = random.Random(3)
+
+    def words(letters):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 10))) for _ in range(60))
+
+    noise = bytes(rng.getrandbits(8) for _ in range(400))
+    gone = [*FOREIGN.values(), words("abcdefghijklmnopqrstuvwxyz"), words("bcdfghjklmnpqrstvwxz")]
+    gone += [noise.hex(), noise.hex(" "), noise.hex(" ", 4), base64.b64encode(noise).decode()]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(-1 - i, text, None) for i, text in enumerate(gone)]
+    every = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    found = {r["doc_id"]: r["rejected"] for r in langid.identify(every).collect()}
+    assert [i for i in range(len(gone)) if not found[-1 - i]] == []
+    own = [r for r in docs.where("length(text) > 0 AND lang IS NOT NULL").collect() if held_out(r["doc_id"])]
+    assert sum(found[r["doc_id"]] for r in own) <= 0.002 * len(own)
+    short = [r for r in own if 10 <= len(r["text"]) < 60]
+    assert short and sum(found[r["doc_id"]] for r in short) <= 0.01 * len(short)
+
+
 def test_held_out_rows_teach_nothing(spark):
     away = [i for i in range(200) if held_out(i)]
     rows = learned(spark) + [(1000 + i, "une autre langue", "fr") for i in range(200)
