@@ -9,7 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import langid, licenses, lines, minhash, neighbours, packing, pages, pieces, quality, topk
+from skyloom.llm import (
+    decontaminate, divergence, langid, licenses, lines, minhash, neighbours, packing, pages, pieces,
+    quality, topk, whitening,
+)
 from skyloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,4 +222,127 @@ def _(spark, sf_dir):
     return licenses.license_passages(table(spark, sf_dir, "documents"))
 
 
+DIVERGENCE_SQL = f"""
+    WITH docs AS (
+        SELECT coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+            coalesce(source, '') AS source, row_number() OVER () AS doc
+        FROM documents
+    ),
+    words AS (
+        SELECT doc, lang, source, unnest(regexp_extract_all(
+            translate(text, '{_UPPER}', '{_LOWER}'),
+            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM docs
+    ),
+    kept AS (
+        SELECT lang, term, count(*) AS n FROM words
+        GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+    ),
+    langs AS (SELECT lang, count(*) AS size, sum(n) AS total FROM kept GROUP BY lang),
+    counts AS (
+        SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term)
+        GROUP BY ALL
+    ),
+    sources AS (
+        SELECT lang, source, coalesce(sum(n), 0) AS total
+        FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source)
+        GROUP BY ALL
+    ),
+    shares AS (
+        SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+            1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (s.total + l.size) AS p,
+            1 + 1000000000::HUGEINT * (k.n + 1) // (l.total + l.size) AS lang_p
+        FROM sources s JOIN kept k USING (lang) JOIN langs l USING (lang)
+            LEFT JOIN counts c ON (c.lang, c.source, c.term) = (s.lang, s.source, k.term)
+    ),
+    sums AS (
+        SELECT a.lang, a.source, b.source AS item,
+            sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+    ),
+    rows AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums s ON (s.lang, s.source, s.item) = (a.lang, a.source, b.source)
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - lang_p) * (p - lang_p) // lang_p
+        FROM shares WHERE n > 0 AND p > lang_p
+    )
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+        CAST(row_number() OVER (
+            PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM rows QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def _(spark, sf_dir):
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op12_whitening")
+def _(spark, sf_dir):
+    done = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # NULL where the exact number does not fit; the operator has it in full.
+    return done.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+_ITEM_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+#: Every window of the items looked up among all runs of its length in the documents.
+LEAKS_SQL = f"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_ITEM_WORD}') AS w
+        FROM documents
+    ),
+    items AS (
+        SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_ITEM_WORD}') AS w
+        FROM benchmark
+    ),
+    windows AS (
+        SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS words
+        FROM (
+            SELECT *, unnest(generate_series(1, len(w) - size + 1)) AS i
+            FROM (SELECT *, least(len(w), 10) AS size FROM items WHERE len(w) > 0)
+        )
+    ),
+    runs AS (
+        SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS words
+        FROM (
+            SELECT *, unnest(generate_series(1, len(w) - size + 1)) AS i
+            FROM words JOIN (SELECT DISTINCT size FROM windows) ON len(w) >= size
+        )
+    ),
+    found AS (SELECT doc_id, size, i, item_id FROM runs JOIN windows USING (size, words)),
+    hit AS (
+        SELECT doc_id, count(DISTINCT place) AS n_hit
+        FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS place FROM found)
+        GROUP BY doc_id
+    ),
+    held AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+        coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AS contaminated
+    FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
+"""
+
+
+@query("op13_decontamination", LEAKS_SQL)
+def _(spark, sf_dir):
+    done = decontaminate.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return done.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -1,0 +1,115 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from corpus_cases import documents, odd_texts
+
+from skyloom.llm import divergence
+from skyloom.llm.queries import ORACLE_SQL, QUERIES
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute(rows, min_docs=3, top=200):
+    """Rows ``(text, lang, source)`` in the dense way, with Python's whole numbers."""
+    docs = [(Counter(TERM.findall(lowered(t))), lang or "", source or "") for t, lang, source in rows]
+    result = []
+    for lang in {lang for _, lang, _ in docs}:
+        own = [(words, source) for words, at, source in docs if at == lang]
+        holders = Counter(term for words, _ in own for term in words)
+        kept = sorted(t for t, n in holders.items() if n >= min_docs)
+        counts = defaultdict(Counter)
+        for words, source in own:
+            counts[source].update(words)
+        whole = sum(counts.values(), Counter())
+
+        def shares(count):
+            total = sum(count[t] for t in kept) + len(kept)
+            return {t: 1 + 10**9 * (count[t] + 1) // total for t in kept}
+
+        p = {source: shares(count) for source, count in counts.items()}
+        q = shares(whole)
+        for source in counts:
+            pairs = [
+                (-sum((p[source][t] - p[x][t]) ** 2 // p[x][t] for t in kept), x)
+                for x in counts if x != source
+            ]
+            terms = [
+                (-((p[source][t] - q[t]) ** 2 // q[t]), t)
+                for t in kept if counts[source][t] and p[source][t] > q[t]
+            ]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                result += [(lang, source, part, x, -v, i + 1) for i, (v, x) in enumerate(found)]
+    return sorted(result)
+
+
+def table(spark, rows):
+    full = [(i, t, lang, source, "clash", "clash", "clash") for i, (t, lang, source) in enumerate(rows)]
+    return spark.createDataFrame(
+        full, "doc_id long, text string, lang string, source string, n string, p string, tile string"
+    )
+
+
+def found(spark, rows, **options):
+    done = divergence.source_divergence(table(spark, rows), **options)
+    assert done.columns == ["lang", "source", "part", "item", "value", "rank"]
+    return sorted(map(tuple, done.collect()))
+
+
+def drawn(count, sources, seed=0):
+    rng = random.Random(seed)
+    vocabulary = [f"{a}{b}" for a in ["Ab", "cé", "日本", "x"] for b in "abcdefghij"]
+    rows = []
+    for i in range(count):
+        source = f"s{min(rng.randrange(sources * 2), sources - 1)}"  # one holds half
+        words = rng.choices(vocabulary, weights=range(1, 41), k=rng.randrange(30))
+        rows.append((" 1,".join(words), rng.choice(["en", "fr"]), source))
+    return rows + rows[: count // 2] + [(rows[0][0], "en", f"s{i}") for i in range(sources)]
+
+
+@pytest.mark.parametrize("tile, block, pairs", [(64, 250_000, 1 << 20), (2, 10, 1)])
+def test_against_brute_force(spark, monkeypatch, tile, block, pairs):
+    monkeypatch.setattr(divergence, "TILE", tile)
+    monkeypatch.setattr(divergence, "BLOCK", block)
+    monkeypatch.setattr(divergence, "PAIRS", pairs)
+    rows = drawn(120, 5)
+    assert found(spark, rows) == brute(rows)
+    assert found(spark, rows, terms=3) == brute(rows, top=3)
+
+
+def test_odd_rows(spark):
+    rows = [(text, None, None) for _, text in odd_texts()]
+    rows += [("a b", "en", "one"), ("a b", "en", "two"), ("b", "en", None), ("a a", "en", "two"),
+             (None, "en", "empty"), (None, "nothing", "a"), ("", "nothing", "b"), ("alone x", "lone", "s")]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert found(spark, []) == []
+
+
+def test_clashing_columns(spark):
+    rows = [(i, text, "en") for i, text in odd_texts()]
+    done = divergence.source_divergence(documents(spark, rows)).collect()
+    assert sorted(map(tuple, done)) == brute([(text, lang, None) for _, text, lang in rows])
+
+
+def test_shares_of_huge_counts(spark):
+    for count, total in ((10**13, 3 * 10**13 + 7), (0, 9 * 10**15 - 1), (5, 6), (123456789012, 999999999989)):
+        row = spark.createDataFrame([(count, total)], "n long, total long")
+        share = row.select(divergence._share("n", "total")).first()[0]
+        assert share == 1 + 10**9 * (count + 1) // total
+
+
+def test_query_against_sql(spark):
+    from check_oracle import difference, duckdb_connection
+
+    sf_dir = "/root/testdata/sf0.001"
+    mine = QUERIES["op11_source_divergence"](spark, sf_dir).toArrow()
+    theirs = duckdb_connection(sf_dir).execute(ORACLE_SQL["op11_source_divergence"]).to_arrow_table()
+    assert difference(mine, theirs) == ""

@@ -1,0 +1,128 @@
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from skyloom.llm import whitening
+from skyloom.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<double>, component string, n string, width string, numbers string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, *("clash",) * 4) for i, v in rows], SCHEMA)
+
+
+def usable(vector):
+    return bool(vector) and all(x is not None and math.isfinite(x) for x in vector)
+
+
+def brute(rows, components=4):
+    """By numpy's eigenvectors of the whole covariance; vectors must be of one length."""
+    rows = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if usable(v)]
+    fit = sorted({tuple(v) for _, v in rows})
+    n, width = len(fit), len(fit[0])
+    sums = [sum(v[d] for v in fit) for d in range(width)]
+    x = np.array([[float(Fraction(n * v[d] - sums[d], n)) for d in range(width)] for v in fit])
+    values, vectors = np.linalg.eigh(x.T @ x / n)
+    order = np.argsort(-values)[:components]
+    order = [k for k in order if values[k] > 1e-12 * values.max()]
+    result = {}
+    for row, (i, v) in enumerate(rows):
+        deviation = sum((n * a - s) ** 2 for a, s in zip(v, sums))
+        centred = np.array([float(Fraction(n * a - s, n)) for a, s in zip(v, sums)])
+        for c, k in enumerate(order):
+            result.setdefault((i, c + 1), []).append(
+                (n, deviation, centred @ vectors[:, k] / math.sqrt(values[k]), values[k] / values.sum())
+            )
+    return result
+
+
+def check(spark, rows, close=1e-7):
+    done = whitening.whiten(table(spark, rows))
+    assert done.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    done = done.collect()
+    wanted = brute(rows)
+    assert len(done) == sum(map(len, wanted.values()))
+    signs = {}
+    for r in done:
+        n, deviation, whitened, explained = wanted[r["vec_id"], r["component"]][0]
+        assert (r["n"], int(r["deviation"])) == (n, deviation)
+        assert abs(r["explained"] / explained - 1) < 1e-9
+        assert 0 <= r["identity_error"] < 1e-9
+        if abs(whitened) > 1e-6:
+            signs.setdefault(r["component"], set()).add(np.sign(whitened) == np.sign(r["whitened"]))
+        assert abs(abs(r["whitened"]) - abs(whitened)) < close
+    assert all(len(s) == 1 for s in signs.values())  # one sign for all rows
+
+
+def clouds(seed, count, width, decay=0.8):
+    rng = np.random.default_rng(seed)
+    rows = rng.standard_normal((count, width)) * decay ** np.arange(width) + rng.standard_normal(width)
+    return [(i, row.tolist()) for i, row in enumerate(rows @ np.linalg.qr(rng.standard_normal((width, width)))[0])]
+
+
+@pytest.mark.parametrize("seed, count, width, decay", [(0, 300, 8, 0.8), (1, 500, 48, 0.97), (2, 40, 24, 0.5)])
+def test_against_brute_force(spark, seed, count, width, decay):
+    check(spark, clouds(seed, count, width, decay))
+
+
+def test_copies_count_once_in_the_fit(spark):
+    rows = clouds(3, 60, 6)
+    check(spark, rows + [(1000 + i, rows[0][1]) for i in range(200)] + rows[:20] + [(None, rows[5][1])])
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    odd = [(900, None), (901, []), (902, [1.0, None, 0.0]), (903, [nan, 0.0, 1.0]), (904, [0.0, inf, 1.0])]
+    check(spark, clouds(4, 30, 3) + odd + [(905, [0.0, -0.0, 0.0]), (906, [1e-300, -1e-300, 0.0])])
+
+
+def test_few_vectors_and_few_directions(spark):
+    flat = [(i, [float(i), 2.0 * i, 1.0, float(i % 3)]) for i in range(12)]
+    check(spark, flat)
+    check(spark, [(1, [0.0] * 9), (2, [1.0] * 9)])
+    assert whitening.whiten(table(spark, [(1, [0.5, 1.0]), (2, [0.5, 1.0])])).count() == 0
+    assert whitening.whiten(table(spark, [(1, [0.5])])).count() == 0
+    assert whitening.whiten(table(spark, [(1, None), (2, [])])).count() == 0
+    assert whitening.whiten(table(spark, [])).count() == 0
+
+
+def test_equal_eigenvalues_are_all_found(spark):
+    # The corners of a box: every direction has the same spread, so one starting vector meets one value.
+    rows = [(i, [float(i >> d & 1) for d in range(5)] + [0.0]) for i in range(32)]
+    done = whitening.whiten(table(spark, rows)).collect()
+    assert len(done) == 32 * 4
+    assert all(abs(r["explained"] - 0.2) < 1e-12 and r["identity_error"] < 1e-12 for r in done)
+
+
+def test_lengths_have_fits_of_their_own(spark):
+    short, long = clouds(5, 20, 3), clouds(6, 30, 5)
+    done = whitening.whiten(table(spark, short + [(100 + i, v) for i, v in long])).collect()
+    assert {(r["n"], r["vec_id"] < 100) for r in done} == {(20, True), (30, False)}
+
+
+def test_numbers_beyond_64_bits_stay_exact(spark):
+    rows = [(i, [x * 1e15, 1e300 if i == 3 else 0.25, -1.0 * i]) for i, (x, *_) in
+            enumerate(v for _, v in clouds(7, 12, 3))]
+    done = whitening.whiten(table(spark, rows[:3] + rows[4:])).collect()
+    wanted = brute(rows[:3] + rows[4:])
+    for r in done:
+        assert int(r["deviation"]) == wanted[r["vec_id"], 1][0][1]
+
+
+def test_query(spark):
+    done = QUERIES["op12_whitening"](spark, "/root/testdata/sf0.001")
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table("/root/testdata/sf0.001/embeddings.parquet").to_pylist()
+    wanted = brute([(r["vec_id"], r["embedding"]) for r in rows])
+    assert dict(done.dtypes)["deviation"] == "bigint"
+    done = done.collect()
+    assert len(done) == len(wanted)
+    for r in done:
+        n, deviation, whitened, explained = wanted[r["vec_id"], r["component"]][0]
+        assert (r["n"], r["deviation"]) == (n, deviation)
+        assert abs(abs(r["whitened"]) - abs(whitened)) < 1e-8
+        assert abs(r["explained"] / explained - 1) < 1e-9 and r["identity_error"] < 1e-4
