@@ -38,7 +38,7 @@ def brute(rows, items, window=10):
                 if found:
                     hit |= set(range(i, i + size))
                     held |= found
-        result.append((doc_id, len(words), len(hit), sorted(str(i) for i in held if i is not None), hit))
+        result.append((doc_id, len(words), len(hit), sorted(str(i) for i in held if i is not None), sorted(hit)))
     return result
 
 
@@ -46,10 +46,9 @@ def check(spark, rows, items, window=10, **options):
     done = decontaminate.decontaminate(
         documents(spark, rows), items_table(spark, items), window=window, **options
     ).collect()
-    order = lambda r: (str(r[0]), *r[1:])
     wanted = brute(rows, items, window)
     mine = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"],
-             {w for p in r["passages"] for w in range(p["begin"], p["begin"] + p["words"])}) for r in done]
+             [w for p in r["passages"] for w in range(p["begin"], p["begin"] + p["words"])]) for r in done]
     assert sorted(map(str, mine)) == sorted(map(str, wanted))
     return done
 
