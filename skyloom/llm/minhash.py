@@ -55,16 +55,18 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
         "minhash-classes",
     )
-    buckets = classes.select("rep", F.explode("bands").alias("bucket"))
+    buckets = classes.select("rep", "class", F.explode("bands").alias("bucket"))
     pivots = (
         buckets.groupBy("bucket")
-        .agg(F.min("rep").alias("pivot"), F.count("*").alias("members"))
+        .agg(F.min(F.struct("rep", "class")).alias("pivot"), F.count("*").alias("members"))
         .where("members > 1")
     )
     members = written(buckets.join(pivots, "bucket"), "minhash-members")
-    sets = _sets(docs, members.select(F.col("rep").alias("doc_id")).distinct(), words)
-    stars = members.where("rep <> pivot").select("rep", "pivot").distinct()
-    links = written(_confirmed(stars, sets, percent), "minhash-links")
+    sets = _sets(docs, members.select("rep", "class").distinct(), words)
+    stars = members.where("rep <> pivot.rep").select(
+        "rep", "class", F.col("pivot.rep").alias("pivot"), F.col("pivot.class").alias("pivot_class")
+    )
+    links = written(_confirmed(stars.distinct(), sets, percent), "minhash-links")
     known = components(links)
     more = written(_within_buckets(members, classes, sets, known, percent), "minhash-links")
     copies = (
@@ -98,11 +100,8 @@ def _signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame
                 sizes = np.diff(starts)
                 sketch = shingles.sketches(sets, starts, bands * rows)
                 keys = shingles.band_keys(sketch, bands).view(np.int64)
-                classes = shingles.digests(sets, starts)
+                classes = _classes(sets, starts)
                 empty = pa.array(sizes == 0)
-                classes = pa.FixedSizeBinaryArray.from_buffers(
-                    pa.binary(16), len(sizes), [None, pa.py_buffer(classes.tobytes())]
-                ).cast(pa.binary())
                 lists = pa.ListArray.from_arrays(
                     np.arange(len(sizes) + 1, dtype=np.int32) * bands, keys.reshape(-1)
                 )
@@ -120,35 +119,46 @@ def _signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame
     return docs.mapInArrow(sign, "doc_id long, n_shingles long, class binary, bands array<long>")
 
 
+def _classes(sets: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """16 bytes that tell sets apart."""
+    return pa.FixedSizeBinaryArray.from_buffers(
+        pa.binary(16), len(starts) - 1, [None, pa.py_buffer(shingles.digests(sets, starts).tobytes())]
+    ).cast(pa.binary())
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``doc_id, shingles`` of the wanted documents, worked out again from their texts."""
-    ids = written(wanted, "minhash-wanted")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    """``class, shingles`` of the wanted ``rep, class``, worked out again from their texts."""
+    classes = written(wanted, "minhash-wanted")
+    ids = classes.select(F.col("rep").alias("doc_id")).distinct()
+    wanted = F.broadcast(ids) if classes.count() <= BROADCAST_IDS else ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in shingles.text_blocks(batch["text"]):
                 sets, starts = shingles.shingle_sets(data, offsets, words)
                 lists = pa.ListArray.from_arrays(starts.astype(np.int32), sets.view(np.int64))
-                ids = batch["doc_id"][first : first + len(starts) - 1]
-                yield pa.RecordBatch.from_arrays([ids, lists], ["doc_id", "shingles"])
-
-    chosen = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
-    sets = chosen.mapInArrow(read, "doc_id long, shingles array<long>")
-    sets = written(sets.where("size(shingles) > 0"), "minhash-sets")
-    discard(ids)
+                yield pa.RecordBatch.from_arrays([_classes(sets, starts), lists], ["class", "shingles"])
+
+    chosen = docs.join(wanted, "doc_id", "left_semi").select("text")
+    sets = chosen.mapInArrow(read, "class binary, shingles array<long>")
+    # Rows that repeat a document hold its set again, or that of a class that another one stands for.
+    own = sets.where("size(shingles) > 0").dropDuplicates(["class"])
+    sets = written(
+        own.join(classes.select("class").hint("merge"), "class", "left_semi"), "minhash-sets"
+    )
+    discard(classes)
     return sets
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``rep, pivot`` whose sets are similar enough, as ``a, b``."""
-    own = sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("own"))
-    other = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("other"))
+    """The pairs ``rep, pivot`` whose classes' sets are similar enough, as ``a, b``."""
+    own = sets.select("class", F.col("shingles").alias("own"))
+    other = sets.select(F.col("class").alias("pivot_class"), F.col("shingles").alias("other"))
     common = F.size(F.array_intersect("own", "other"))
     union = F.size("own") + F.size("other") - common
     return (
-        pairs.join(own, "rep")
-        .join(other, "pivot")
+        pairs.join(own, "class")
+        .join(other, "pivot_class")
         .where(100 * F.least(F.size("own"), F.size("other"))
                >= percent * F.greatest(F.size("own"), F.size("other")))
         .where(100 * common >= percent * union)
@@ -163,7 +173,7 @@ def _within_buckets(
     # Sent to all executors at small sizes only, this would hide what the join costs at others.
     known = known.select(F.col("node").alias("rep"), "component").hint("merge")
     placed = members.join(known, "rep", "left").select(
-        "bucket", "rep", "members", F.coalesce("component", "rep").alias("component")
+        "bucket", "rep", "class", "members", F.coalesce("component", "rep").alias("component")
     )
     divided = (
         placed.groupBy("bucket")
@@ -171,9 +181,9 @@ def _within_buckets(
         .where("low < high")
         .select("bucket")
     )
-    rows = placed.join(divided, "bucket").join(classes.select("rep", "bands"), "rep")
+    rows = placed.join(divided, "bucket").join(classes.select("class", "bands"), "class")
     chunks = F.ceil(F.col("members") / BLOCK).cast("int")
-    chunk = F.pmod(F.xxhash64("rep"), chunks).cast("int")
+    chunk = F.pmod(F.xxhash64("class"), chunks).cast("int")
     rows = rows.withColumn("chunk", chunk).withColumn(
         "other", F.explode(F.sequence(F.lit(0), chunks - 1))
     )
@@ -181,10 +191,10 @@ def _within_buckets(
     rows = (
         rows.withColumn("x", F.least("chunk", "other"))
         .withColumn("y", F.greatest("chunk", "other"))
-        .join(sets.select(F.col("doc_id").alias("rep"), "shingles"), "rep")
+        .join(sets, "class")
         .select(*keys, "chunk", "rep", "component", "bands", "shingles")
         .repartition(*keys)
-        .sortWithinPartitions(*keys, "rep")
+        .sortWithinPartitions(*keys, "rep", "class")
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

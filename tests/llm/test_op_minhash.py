@@ -51,6 +51,19 @@ def test_an_id_with_several_texts_links_through_any(spark):
     assert {k: r["component_id"] for k, r in found.items()} == {1: 1, 5: 1, 7: 1}
 
 
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_ids_with_differing_texts_in_divided_buckets(spark, monkeypatch, seed):
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    rng = random.Random(seed)
+    shared = " ".join(f"s{i}" for i in range(200))
+    rows = [(i, f"{shared} " + " ".join(f"o{i}x{j}" for j in range(60))) for i in range(5)]
+    texts = edited_copies(40, words=40, seed=seed, share=0.3)
+    rows += [(i, rng.choice(texts)) for i in range(5)]
+    rows += [(10 + i // 2, text) for i, text in enumerate(texts)] + rows[:3]
+    rng.shuffle(rows)
+    check(spark, rows)
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(documents(spark, [])).count() == 0
 
