@@ -127,7 +127,7 @@ def test_empty_tables(spark):
 
 def brute_top(rows, k=5):
     rows = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows
-            if i is not None and usable(v) and all(abs(256 * x) <= 2**28 for x in v)]
+            if i is not None and usable(v)]
     rows = list({(i, tuple(v)): (i, v) for i, v in rows}.values())
     result = []
     for q, v in rows:
@@ -135,7 +135,9 @@ def brute_top(rows, k=5):
             scored = sorted(
                 (-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q and len(w) == len(v)
             )
-            result += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+            result += [
+            (q, n + 1, i, min(max(-s, -(2**63)), 2**63 - 1)) for n, (s, i) in enumerate(scored[:k])
+        ]
     return sorted(result)
 
 
@@ -150,6 +152,19 @@ def test_top_of_odd_vectors(spark):
     assert top(spark, odd_vectors()) == brute_top(odd_vectors())
 
 
+@pytest.mark.parametrize("scale", [1e6, 1e9, 3e15, 1e30])
+def test_top_of_large_numbers(spark, monkeypatch, scale):
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    monkeypatch.setattr(topk, "STEP", 8)
+    rows = [(50, [2e6, 1.0]), (51, [1.5e6, 1.0]), (52, [1.0, 1.0]), (100, [3.0, 1.0])]
+    assert top(spark, rows) == brute_top(rows)
+    rng = np.random.default_rng(4)
+    rows = clusters(6, groups=15, size=10, dims=6)
+    rows += [(1000 + i, (scale * rng.standard_normal(6)).astype(np.float32).tolist()) for i in range(60)]
+    rows += [(2000 + i, [-0.0, 0.0, scale, -scale, 0.0, 1.0]) for i in range(5)]
+    assert top(spark, rows) == brute_top(rows)
+
+
 def test_top_against_brute_force_with_ties(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 60)
     monkeypatch.setattr(topk, "STEP", 16)
