@@ -91,7 +91,8 @@ def fit(docs: DataFrame) -> Centroids:
 
     Rows with a null language or a text without letters teach nothing. The frequencies come from
     all other rows; the k-means and the floors from about ``SAMPLE`` ids a language at most, drawn by
-    a hash.
+    a hash. An id with several rows, like all rows without an id, teaches the k-means by the one whose
+    weights come first.
     The model holds ``CENTROIDS * BUCKETS`` numbers a language.
     """
     spark = docs.sparkSession
@@ -157,7 +158,8 @@ def fit(docs: DataFrame) -> Centroids:
     found = (
         sample.select("text", "lang", draw.alias("draw"))
         .mapInArrow(vectors, "lang string, draw long, weights binary")
-        .dropDuplicates(["lang", "draw"])  # an id is drawn once, however often it is there
+        .groupBy("lang", "draw")  # an id is drawn once, however often it is there
+        .agg(F.min("weights").alias("weights"))
         .groupBy("lang")
         .applyInArrow(cluster, "lang string, centroid binary")
         .collect()

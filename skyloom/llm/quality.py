@@ -84,7 +84,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Neighbours | None:
 
     About ``SAMPLE`` labelled ids of each class are drawn by a hash of the id; votes are weighted
     back to the classes' true shares. Null ids and labels teach nothing; an id with several labels
-    has the lowest. None if no document has a label.
+    has the lowest, one with several texts the one whose vector comes first. None if no document has a label.
     """
     spark = docs.sparkSession
     known = (
@@ -138,7 +138,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Neighbours | None:
         .join(chosen.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
         .select("doc_id", "quality", "text")
         .mapInArrow(vectors, "doc_id long, quality int, vector binary")
-        .dropDuplicates(["doc_id"])  # one row of an id, however often it is there
+        .groupBy("doc_id", "quality")  # one row of an id, however often it is there
+        .agg(F.min("vector").alias("vector"))
         .collect()
     )
     if not sample:
@@ -204,7 +205,7 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document.
 
     Labels, ``lang``, ``source`` and ``doc_id`` take no part in a score. Rows with a null or repeated
-    ``doc_id`` are rows like others. Other columns are left out. An empty table gives no rows.
+    ``doc_id`` are rows like others; what is learned from a repeated id is stated at ``fit``. Other columns are left out. An empty table gives no rows.
     """
     found = docs.select(
         "doc_id", held_out().alias("held_out"), scores(docs, fit(docs, labels)).alias("score")

@@ -94,3 +94,14 @@ def test_kept_rows_keep_their_columns(spark):
     kept = langid.keep_identified(docs)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in learned(spark)}
+
+
+def test_repeated_and_null_ids_give_one_model_for_any_partitioning(spark):
+    rows = learned(spark) + [(i, text[5:], lang) for i, text, lang in learned(spark)[:20]]
+    rows += [(None, f"the dog {i} and the fox " * (1 + i % 3), "en") for i in range(20)]
+    rows += [(3000 + i, text) for i, (_, text, _) in enumerate(learned(spark)[::7])]
+    found = []
+    for parts in (1, 3, 7):
+        done = langid.identify(documents(spark, rows).repartition(parts)).collect()
+        found.append(sorted(map(str, ((r["doc_id"], r["lang_pred"], round(r["score"], 5)) for r in done))))
+    assert found[0] == found[1] == found[2]
