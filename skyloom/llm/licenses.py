@@ -5,7 +5,7 @@ out. Of the template's words, so many are taken as anchors, rarest in the text f
 covering passage must hold one; each of their places proposes a window. In a window, words that occur
 once there and once in the template are matched, the longest increasing subsequence of the matches
 is kept, and the gaps between them are aligned the same way. Gaps without such words are aligned by
-their common ends and, if short, by their longest common subsequence.
+their common ends and their longest common subsequence, which piles up the places of equal words.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from pyspark.sql import DataFrame
 from skyloom.llm.license_texts import TEMPLATES
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
-#: Gaps without words unique to both sides are aligned in full up to so many word pairs.
-FULL_GAP = 4096
 
 
 def words_of(text: str) -> list[str]:
@@ -50,23 +48,25 @@ def increasing(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _common_subsequence(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
-    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            if a[i] == b[j]:
-                table[i][j] = table[i + 1][j + 1] + 1
+    places: dict[str, list[int]] = {}
+    for j in range(len(b) - 1, -1, -1):
+        places.setdefault(b[j], []).append(j)
+    tops: list[int] = []
+    ends: list[tuple] = []  # place in a, place in b and the pair before, of each pile's last pair
+    for i, word in enumerate(a):
+        for j in places.get(word, ()):  # falling, so a place of a is used once
+            pile = bisect_left(tops, j)
+            pair = (i, j, ends[pile - 1] if pile else None)
+            if pile == len(tops):
+                tops.append(j)
+                ends.append(pair)
             else:
-                table[i][j] = max(table[i + 1][j], table[i][j + 1])
-    pairs, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            pairs.append((i, j))
-            i, j = i + 1, j + 1
-        elif table[i + 1][j] >= table[i][j + 1]:
-            i += 1
-        else:
-            j += 1
-    return pairs
+                tops[pile], ends[pile] = j, pair
+    pairs, pair = [], ends[-1] if ends else None
+    while pair:
+        pairs.append(pair[:2])
+        pair = pair[2]
+    return pairs[::-1]
 
 
 def align(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
@@ -91,7 +91,7 @@ def align(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
             pairs += chain
             for (i, j), (p, q) in zip([(a0 - 1, b0 - 1), *chain], [*chain, (a1, b1)]):
                 work.append((i + 1, p, j + 1, q))
-        elif (a1 - a0) * (b1 - b0) <= FULL_GAP:
+        else:
             found = _common_subsequence(a[a0:a1], b[b0:b1])
             pairs += [(a0 + i, b0 + j) for i, j in found]
     return sorted(pairs)
@@ -156,16 +156,19 @@ class Scanner:
                 break
             anchors.append(word)
             spare -= counts[word]
-        first_place = {w: template.index(w) for w in anchors}
-        starts = set()
+        starts: dict[int, int] = {}  # with the last place of a word that proposes it
         for word in anchors:
             shifts = [i for i, w in enumerate(template) if w == word]
             for place in places.get(word, ()):
-                starts.update(max(place - t, 0) for t in shifts or [first_place[word]])
-        done = -1
-        for start in sorted(starts):
-            if start <= done:
+                for t in shifts:
+                    start = max(place - t, 0)
+                    starts[start] = max(starts.get(start, 0), place)
+        done = tried = -1
+        for start, place in sorted(starts.items()):
+            start = max(start, done + 1)
+            if place <= done or start == tried:
                 continue
+            tried = start
             begin = max(start - slack, done + 1, 0)
             window = words[begin : start + size + slack]
             pairs = align(template, window)

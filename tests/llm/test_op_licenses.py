@@ -89,3 +89,45 @@ def test_query_finds_all_planted_lines(spark):
     )
     found = QUERIES["op8_license_scan"](spark, sf_dir).collect()
     assert sorted((r["doc_id"], r["license_id"]) for r in found) == wanted
+
+
+def test_long_templates_of_few_words():
+    rng = random.Random(4)
+    template = [f"w{rng.randrange(70)}" for _ in range(700)]
+    edited = [w if rng.random() > 0.05 else "other" for w in template]
+    pairs = licenses.align(template, edited)
+    assert len(pairs) == longest_common(template, edited)
+    scanner = licenses.Scanner({"long": " ".join(template)}, 0.85)
+    text = "before it " * 30 + " ".join(edited) + " and after" * 30
+    assert [(n, c >= 0.9) for n, c, _, _ in scanner.scan(text)] == [("long", True)]
+
+
+def test_a_gap_of_equal_words_is_aligned_in_full():
+    pairs = licenses.align(["a", "b"] * 60 + ["c"] * 90, ["b", "a", "a"] * 50 + ["d"] + ["c"] * 80)
+    assert len(pairs) >= longest_common(["a", "b"] * 60 + ["c"] * 90, ["b", "a", "a"] * 50 + ["d"] + ["c"] * 80)
+
+
+def test_copies_that_follow_at_once_and_miss_their_front():
+    rest = " ".join(MIT.split()[5:])
+    assert [n for n, _ in scan(f"{MIT} {rest}")] == ["MIT", "MIT"]
+    assert [n for n, _ in scan(f"{MIT} {rest} {rest} {MIT}")] == ["MIT"] * 4
+
+
+def test_planted_copies_against_a_plain_search():
+    """Disjoint copies with edits: found where the longest common subsequence covers the template."""
+    rng = random.Random(6)
+    template = licenses.words_of(MIT)
+    scanner = licenses.Scanner({"MIT": MIT}, 0.85)
+    for _ in range(30):
+        copies, text, at = [], [], []
+        for _ in range(rng.randrange(1, 4)):
+            text += [f"own{rng.randrange(999)}" for _ in range(rng.randrange(200, 300))]
+            share = rng.choice([0.0, 0.05, 0.12, 0.3])
+            copy = [w if rng.random() >= share else "edited" for w in template]
+            copies.append(longest_common(template, copy) / len(template))
+            at.append(len(text))
+            text += copy
+        found = scanner.scan(" ".join(text))
+        sure = [c for c in copies if c >= 0.88]
+        able = [c for c in copies if c >= 0.85]
+        assert len(sure) <= len(found) <= len(able)
