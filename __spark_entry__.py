@@ -328,6 +328,14 @@ def _(c):
     return c.sql("SELECT toi AS key, ra, dec FROM toi WHERE sky_box(ra, dec, 40D, 5D, 20D, 20D)")
 
 
+@on_catalog("sky_polygon_sql", _convex_sql(PS_VECTORS, FIELD), "v_ps")
+def _(c):
+    corners = ", ".join(f"named_struct('ra', {ra}D, 'dec', {dec}D)" for ra, dec in FIELD)
+    return c.sql(
+        f"SELECT pl_name AS key, ra, dec FROM ps WHERE sky_polygon(ra, dec, array({corners}))"
+    )
+
+
 @on_view("sky_box", "v_toi", _box_sql(TOI_VECTORS, 40, 5, 20, 20))
 def _(df):
     return df.where(sky.box(40, 5, 20, 20)).select(F.col("toi").alias("key"), "ra", "dec")
@@ -662,6 +670,27 @@ def _(df):
     return clean.convert_numeric(clean.standardize_nulls(text))
 
 
+@on_view(
+    "convert_numeric_exact",
+    "v_long",
+    "SELECT o_orderkey, CAST(source_id AS DECIMAL(20, 0)) AS source_id,"
+    " CAST(short_id AS BIGINT) AS short_id, CAST(mixed AS DECIMAL(18, 2)) AS mixed,"
+    " CAST(measure AS DOUBLE) AS measure, CAST(fine AS DECIMAL(21, 21)) AS fine, endless FROM v_long",
+)
+def _(df):
+    return clean.convert_numeric(df)
+
+
+@on_view(
+    "convert_numeric_declared",
+    "v_long",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(mixed AS DECIMAL(17, 1)) END AS mixed,"
+    " CASE WHEN o_orderkey % 3 = 2 THEN mixed END AS mixed_unparsed FROM v_long",
+)
+def _(df):
+    return clean.convert_numeric(df.select("o_orderkey", "mixed"), types={"mixed": "decimal(17,1)"})
+
+
 @on_view(
     "convert_units",
     "v_ps",
@@ -863,6 +892,33 @@ register("read_csv", ML_SQL, "v_ml")(_delimited(landing.read_csv, ","))
 register("read_tsv", ML_SQL, "v_ml")(_delimited(landing.read_tsv, "\t"))
 
 
+@register(
+    "read_json_rest",
+    "SELECT toi, pl_rade, tic_id % 5 < 3 AS has_rest,"
+    " CASE WHEN tic_id % 5 < 3 THEN CAST(tic_id AS BIGINT) END AS tic,"
+    " CASE WHEN tic_id % 5 < 3 THEN st_tmag END AS bright,"
+    " CASE WHEN tic_id % 5 < 3 AND tic_id % 2 = 0 THEN tfopwg_disp END AS note FROM v_toi",
+    "v_toi",
+)
+def _(spark, sf_dir):
+    """Fields outside the schema, some nested and some not there, come back from one VARIANT column."""
+    df = view(spark, sf_dir, "v_toi")
+    some = F.col("tic_id") % 5 < 3
+    star = F.struct(F.col("tic_id").alias("tic"), F.array("st_tmag").alias("bright"))
+    note = F.when(some & (F.col("tic_id") % 2 == 0), F.col("tfopwg_disp"))
+    path = scratch_path(spark, "rest")
+    df.select("toi", "pl_rade", F.when(some, star).alias("star"), note.alias("note")).write.json(path)
+    read = landing.read_json(spark, path, "toi string, pl_rade double", rest="_rest")
+    return read.select(
+        "toi",
+        "pl_rade",
+        F.col("_rest").isNotNull().alias("has_rest"),
+        F.expr("variant_get(_rest, '$.star.tic', 'bigint')").alias("tic"),
+        F.expr("variant_get(_rest, '$.star.bright[0]', 'double')").alias("bright"),
+        F.expr("variant_get(_rest, '$.note', 'string')").alias("note"),
+    )
+
+
 @register("read_votable_rows", KEPLER_SQL, "v_cumulative")
 def _(spark, sf_dir):
     df = view(spark, sf_dir, "v_cumulative").select(*vocab.KEPLER_COLUMNS)

@@ -86,6 +86,19 @@ SELECT s_suppkey AS target_id,
        (s_suppkey * CAST(83.7 AS DOUBLE)) % CAST(360 AS DOUBLE) AS ra,
        ((s_suppkey * CAST(41.3 AS DOUBLE)) % CAST(180 AS DOUBLE)) - CAST(90 AS DOUBLE) AS dec
 FROM supplier
+""",
+    ),
+    "v_long": (
+        "orders",
+        """
+SELECT o_orderkey,
+       concat('12345678901', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS source_id,
+       concat('10000000', lpad(CAST(o_orderkey AS STRING), 10, '0')) AS short_id,
+       CASE o_orderkey % 3 WHEN 0 THEN '9007199254740993' WHEN 1 THEN '1.5' ELSE concat('-', o_orderkey, '.250') END AS mixed,
+       CASE o_orderkey % 2 WHEN 0 THEN concat(o_orderkey, '.125') ELSE '2.5e-3' END AS measure,
+       concat('0.1', lpad(CAST(o_orderkey AS STRING), 19, '0'), '7') AS fine,
+       concat('1', lpad(CAST(o_orderkey AS STRING), 40, '0')) AS endless
+FROM orders
 """,
     ),
     "v_raw": (

@@ -63,16 +63,67 @@ def is_number(c: Column) -> Column:
     return strip(c).rlike(NUMBER)
 
 
-#: Kinds of text, from the narrowest type that holds it to the widest.
-WHOLE, DECIMAL, TEXT = 1, 2, 3
+#: What a cell holds, as bits: a whole number in the BIGINT range, a longer one, another number,
+#: something else; whether a number has more digits than any DOUBLE is sure to keep, or a power of
+#: ten; and whether it would come back from a DOUBLE as another number.
+WHOLE, LONG, FRACTION, TEXT, SUSPECT, INEXACT = 1, 2, 4, 8, 16, 32
+#: Up to so many digits of any number survive in a DOUBLE.
+SAFE_DIGITS = 15
+#: The most digits of a DECIMAL.
+DECIMAL_DIGITS = 38
 
 
-def number_kind(c: Column) -> Column:
-    """``WHOLE`` for text in the BIGINT range, ``DECIMAL`` for other numbers, else ``TEXT``."""
+def number_kind(text: Column) -> Column:
+    """The bits of a cell without white space at its ends, but for ``INEXACT``; NULL has none.
+
+    Bits of several cells are joined with OR.
+    """
     # Most text begins with a letter, which no number does.
-    lettered = F.substring(c, 1, 1).between("A", "z")
-    kind = F.when(lettered, TEXT).when(to_bigint(c).isNotNull(), WHOLE)
-    return F.when(c.isNotNull(), kind.when(is_number(c), DECIMAL).otherwise(TEXT))
+    lettered = F.substring(text, 1, 1).between("A", "z")
+    short = F.length(text) <= SAFE_DIGITS
+    whole = F.when(short, WHOLE)
+    whole = whole.when(text.try_cast("bigint").isNotNull(), WHOLE | SUSPECT).otherwise(LONG | SUSPECT)
+    powered = text.contains("e") | text.contains("E")
+    fraction = F.when(short & ~powered, FRACTION).otherwise(FRACTION | SUSPECT)
+    kind = F.when(lettered, TEXT).when(text.rlike(INTEGER), whole)
+    return F.when(text.isNotNull(), kind.when(text.rlike(NUMBER), fraction).otherwise(TEXT))
+
+
+def number_parts(text: Column) -> tuple[Column, Column, Column]:
+    """All digits of a number's text, how many of them stand behind the point, and the power of ten."""
+    after = F.regexp_extract(text, r"[.]([0-9]*)", 1)
+    power = F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1)
+    # A power too long for a number is beyond all types anyway.
+    far = F.when(power.startswith("-"), -(10**9)).otherwise(10**9)
+    power = F.when(power == "", 0).otherwise(F.coalesce(power.try_cast("int"), far))
+    digits = F.concat(F.regexp_extract(text, r"^[+-]?([0-9]*)", 1), after)
+    return digits, F.length(after), power
+
+
+def number_digits(digits: Column, places: Column, power: Column) -> tuple[Column, Column]:
+    """The digits without zeros at both ends, and the power of ten of the last one."""
+    kept = F.rtrim(digits, F.lit("0"))
+    last = power - places + F.length(digits) - F.length(kept)
+    kept = F.ltrim(kept, F.lit("0"))
+    return kept, F.when(kept == "", 0).otherwise(last)
+
+
+def exact_type(bits: int | None, before: int = 0, after: int = 0) -> str:
+    """The narrowest type that holds all cells of a column without losing a digit.
+
+    ``bits`` are those of ``number_kind`` with ``INEXACT``, ``before`` and ``after`` the most digits on
+    either side of the point that a cell needs. BIGINT holds whole numbers in its range, DOUBLE numbers that all come back
+    from it, DECIMAL the others up to its digits; text stays for everything else.
+    """
+    if not bits or bits & TEXT:
+        return "string"
+    if not bits & (LONG | FRACTION):
+        return "bigint"
+    if bits & FRACTION and not bits & INEXACT:
+        return "double"
+    if before + after <= DECIMAL_DIGITS:
+        return f"decimal({max(before + after, 1)},{after})"
+    return "string"
 
 
 def to_bigint(c: Column) -> Column:
@@ -87,6 +138,20 @@ def to_double(c: Column) -> Column:
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
+def to_decimal(c: Column, kind: str) -> Column:
+    """Decimal numbers that a DECIMAL type holds to the last digit, else NULL.
+
+    So is text of more than 38 characters with a power of ten.
+    """
+    digits, scale = map(int, re.findall(r"\d+", kind))
+    text = strip(c)
+    value = text.try_cast(kind)
+    plain = text.rlike(rf"^[+-]?([0-9]+[.]?[0-9]{{0,{scale}}}|[.][0-9]{{1,{max(scale, 1)}}})0*$")
+    finest = text.try_cast(f"decimal({DECIMAL_DIGITS},{DECIMAL_DIGITS - digits + scale})")
+    same = (F.length(text) <= DECIMAL_DIGITS) & (value == finest)
+    return F.when(plain, value).when(text.rlike(NUMBER) & same, value)
+
+
 def coordinate_to_double(c: Column) -> Column:
     """Text made of digits, points and minus signs as a number, else NULL."""
     return F.when(c.rlike(COORDINATE), c.try_cast("double"))

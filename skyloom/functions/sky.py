@@ -129,6 +129,112 @@ def circle(
     return f"({ranges} AND {within(ra, dec, number(ra0), number(dec0), radius)})"
 
 
+#: Vertices of a polygon that the enclosing ranges of the SQL function look at; polygons with more
+#: are tested without ranges.
+RANGED_VERTICES = 24
+
+
+def _function_ranges(reach: str) -> str:
+    """Ranges for SQL functions, around ``ra0`` and ``dec0`` (``reach`` degrees).
+
+    The conditions hold constants only when a function is called with constants, so Spark works
+    them out while it plans, and what is left are plain comparisons of ``dec``, ``ra`` and ``zone``.
+    """
+    reach, pad = f"({reach})", number(PAD)
+    south, north = f"(dec0 - {reach} - {pad})", f"(dec0 + {reach} + {pad})"
+    turn = f"(degrees(asin(sin(radians({reach})) / cos(radians(dec0)))) + {pad})"
+    middle = "(ra0 - 360 * floor(ra0 / 360))"
+    west, east = f"({middle} - {turn})", f"({middle} + {turn})"
+    zones = " AND ".join(
+        f"zone {sign} CAST(floor(({edge} + 90) / zone_height) AS INT)"
+        for sign, edge in ((">=", south), ("<=", north))
+    )
+    return (
+        f"CASE WHEN zone_height IS NULL THEN true ELSE {zones} END"
+        f" AND dec >= {south} AND dec <= {north}"
+        f" AND CASE WHEN abs(dec0) + {reach} >= 90 THEN true"
+        f" WHEN {west} < 0 THEN ra <= {east} OR ra >= {west} + 360"
+        f" WHEN {east} >= 360 THEN ra <= {east} - 360 OR ra >= {west}"
+        f" ELSE (ra >= {west} AND ra <= {east}) OR ra < 0 OR ra >= 360 END"
+    )
+
+
+#: Where a SQL function's table keeps its zones; ``zone => sky_zone_10, zone_height => 10``.
+_ZONE_ARGUMENTS = "zone INT DEFAULT NULL, zone_height DOUBLE DEFAULT NULL"
+
+_BOX_AHEAD = (
+    "(cos(radians(dec)) * cos(radians(ra - ra0)) * cos(radians(dec0))"
+    " + sin(radians(dec)) * sin(radians(dec0)))"
+)
+
+
+def _polygon_function() -> str:
+    """The text of ``sky_polygon``: the vertices are projected on the plane that touches the sphere
+    at the first one's side of the polygon, their middle, as ``polygon`` does."""
+    corners = "transform(vertices, v -> named_struct(" + ", ".join(
+        f"'{axis}', {text}"
+        for axis, text in (
+            ("x", "cos(radians(v.dec)) * cos(radians(v.ra))"),
+            ("y", "cos(radians(v.dec)) * sin(radians(v.ra))"),
+            ("z", "sin(radians(v.dec))"),
+        )
+    ) + "))"
+    total = (
+        f"aggregate({corners}, named_struct('x', 0D, 'y', 0D, 'z', 0D), (t, v) ->"
+        " named_struct('x', t.x + v.x, 'y', t.y + v.y, 'z', t.z + v.z))"
+    )
+    # Unit vectors of the middle, east and north; the middle's own are bound once for each row.
+    frame = (
+        f"transform(array({total}), t -> named_struct("
+        "'ra0', degrees(atan2(t.y, t.x)), 'dec0', degrees(atan2(t.z, sqrt(t.x * t.x + t.y * t.y)))))"
+    )
+
+    def flat(ra: str, dec: str) -> str:
+        turn = f"radians({ra} - m.ra0)"
+        ahead = (
+            f"(cos(radians({dec})) * cos({turn}) * cos(radians(m.dec0))"
+            f" + sin(radians({dec})) * sin(radians(m.dec0)))"
+        )
+        north = (
+            f"(sin(radians({dec})) * cos(radians(m.dec0))"
+            f" - cos(radians({dec})) * cos({turn}) * sin(radians(m.dec0)))"
+        )
+        return (
+            f"named_struct('h', {ahead}, 'x', cos(radians({dec})) * sin({turn}) / {ahead},"
+            f" 'y', {north} / {ahead})"
+        )
+
+    outline = f"transform(vertices, v -> {flat('v.ra', 'v.dec')})"
+    crossed = (
+        "aggregate(sequence(0, size(o) - 1), 0, (n, i) -> n +"
+        " IF((o[i].y > p.y) <> (o[(i + 1) % size(o)].y > p.y) AND"
+        " p.x < o[i].x + (p.y - o[i].y) * (o[(i + 1) % size(o)].x - o[i].x)"
+        " / (o[(i + 1) % size(o)].y - o[i].y), 1, 0)) % 2 = 1"
+    )
+    return (
+        f"exists({frame}, m -> exists(array({flat('ra', 'dec')}), p -> p.h > 0 AND"
+        f" exists(array({outline}), o -> size(o) >= 3 AND"
+        f" IF(exists(o, v -> v.h < 1e-6), raise_error('the polygon does not fit in a hemisphere'),"
+        f" {crossed}))))"
+    )
+
+
+def _polygon_ranges() -> str:
+    """A cap around the first vertex that reaches all others holds the polygon, if it is no wider
+    than a hemisphere."""
+    ra0, dec0 = "get(vertices, 0).ra", "get(vertices, 0).dec"
+    spans = [
+        _haversine(f"get(vertices, {i}).ra", f"get(vertices, {i}).dec", ra0, dec0)
+        for i in range(RANGED_VERTICES)
+    ]
+    reach = f"2 * degrees(asin(least(1D, sqrt(greatest({', '.join(spans)})))))"
+    ranges = _function_ranges("REACH").replace("ra0", f"({ra0})").replace("dec0", f"({dec0})")
+    return (
+        f"CASE WHEN size(vertices) > {RANGED_VERTICES} OR {reach} >= 89 THEN true"
+        f" ELSE {ranges.replace('REACH', reach)} END"
+    )
+
+
 #: Regions as SQL functions. Spark puts their text in place of a call, so constant arguments are
 #: folded and the ranges reach the scan.
 FUNCTIONS = {
@@ -138,32 +244,39 @@ FUNCTIONS = {
         separation("ra1", "dec1", "ra2", "dec2"),
     ),
     "sky_circle": (
-        "ra DOUBLE, dec DOUBLE, ra0 DOUBLE, dec0 DOUBLE, radius DOUBLE",
+        f"ra DOUBLE, dec DOUBLE, ra0 DOUBLE, dec0 DOUBLE, radius DOUBLE, {_ZONE_ARGUMENTS}",
         "BOOLEAN",
-        f"dec BETWEEN dec0 - radius - {number(PAD)} AND dec0 + radius + {number(PAD)}"
+        f"{_function_ranges('radius')}"
         f" AND {_haversine('ra', 'dec', 'ra0', 'dec0')}"
         " <= pow(sin(radians(least(radius, 180D)) / 2), 2)",
     ),
     "sky_box": (
-        "ra DOUBLE, dec DOUBLE, ra0 DOUBLE, dec0 DOUBLE, width DOUBLE, height DOUBLE",
+        "ra DOUBLE, dec DOUBLE, ra0 DOUBLE, dec0 DOUBLE, width DOUBLE, height DOUBLE,"
+        f" {_ZONE_ARGUMENTS}",
         "BOOLEAN",
-        "cos(radians(dec)) * cos(radians(ra - ra0)) * cos(radians(dec0))"
-        " + sin(radians(dec)) * sin(radians(dec0)) > 0"
-        " AND abs(cos(radians(dec)) * sin(radians(ra - ra0))) <= tan(radians(width) / 2)"
-        " * (cos(radians(dec)) * cos(radians(ra - ra0)) * cos(radians(dec0))"
-        " + sin(radians(dec)) * sin(radians(dec0)))"
+        _function_ranges("degrees(atan(hypot(tan(radians(width) / 2), tan(radians(height) / 2))))")
+        + f" AND {_BOX_AHEAD} > 0"
+        " AND abs(cos(radians(dec)) * sin(radians(ra - ra0)))"
+        f" <= tan(radians(width) / 2) * {_BOX_AHEAD}"
         " AND abs(sin(radians(dec)) * cos(radians(dec0))"
         " - cos(radians(dec)) * cos(radians(ra - ra0)) * sin(radians(dec0)))"
-        " <= tan(radians(height) / 2)"
-        " * (cos(radians(dec)) * cos(radians(ra - ra0)) * cos(radians(dec0))"
-        " + sin(radians(dec)) * sin(radians(dec0)))",
+        f" <= tan(radians(height) / 2) * {_BOX_AHEAD}",
+    ),
+    "sky_polygon": (
+        "ra DOUBLE, dec DOUBLE, vertices ARRAY<STRUCT<ra: DOUBLE, dec: DOUBLE>>,"
+        f" {_ZONE_ARGUMENTS}",
+        "BOOLEAN",
+        f"{_polygon_ranges()} AND {_polygon_function()}",
     ),
 }
 
 
 def register_functions(spark: SparkSession) -> None:
-    """Makes ``sky_separation``, ``sky_circle`` and ``sky_box`` known to the session's SQL; functions
-    of these names that are there already stay."""
+    """Makes ``sky_separation``, ``sky_circle``, ``sky_box`` and ``sky_polygon`` known to the session's
+    SQL; functions of these names that are there already stay.
+
+    On tables with declination zones, ``zone => sky_zone_10, zone_height => 10`` as last arguments let
+    a region open the folders of its zones only."""
     for name, (arguments, kind, text) in FUNCTIONS.items():
         if not spark.catalog.functionExists(name):
             spark.sql(f"CREATE TEMPORARY FUNCTION {name}({arguments}) RETURNS {kind} RETURN {text}")

@@ -87,17 +87,70 @@ def standardize_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> Da
 
 
 def numeric_types(df: DataFrame, columns: Iterable[str] | None = None) -> dict[str, str]:
-    """The type that holds every cell of each text column: bigint, double or string.
+    """The type that holds every cell of each text column exactly: bigint, double, a decimal or string.
 
-    One aggregate over the columns, combined before its shuffle, whose result is a single row. A
-    column without any value stays text.
+    One aggregate over the columns, combined before its shuffle, whose result is a single row.
+    Columns of numbers that neither bigint nor double holds to the last digit are read once more
+    for the digits they need (``cells.exact_type``). A column without any value stays text.
     """
     names = _string_columns(df, columns)
     if not names:
         return {}
-    widest = [F.max(cells.number_kind(_col(name))).alias(f"kind_{i}") for i, name in enumerate(names)]
-    kinds = {cells.WHOLE: "bigint", cells.DECIMAL: "double"}
-    return {name: kinds.get(kind, "string") for name, kind in zip(names, df.agg(*widest).first())}
+    # A step of its own, so that no expression is worked out twice in a row.
+    texts = df.select(*(cells.strip(_col(name)).alias(f"text_{i}") for i, name in enumerate(names)))
+    kinds = [F.bit_or(cells.number_kind(F.col(name))).alias(name) for name in texts.columns]
+    bits = texts.agg(*kinds).first()
+    types = dict(zip(names, map(cells.exact_type, bits)))
+    long = [
+        i for i, found in enumerate(bits)
+        if found and found & cells.SUSPECT and types[names[i]] in ("double", DIGITS_UNKNOWN)
+    ]
+    if long:
+        for i, found in zip(long, _digits_needed(texts.select(*(f"text_{i}" for i in long)))):
+            types[names[i]] = cells.exact_type(bits[i] | found[0], *found[1:])
+    return types
+
+
+#: What ``exact_type`` says of a column of long numbers before their digits are known.
+DIGITS_UNKNOWN = cells.exact_type(cells.LONG)
+
+
+def _digits_needed(texts: DataFrame) -> list[tuple[int, int, int]]:
+    """For each column of numbers ``INEXACT`` or 0, and the most digits before and after the point."""
+    names = texts.columns
+    sides = texts.select(
+        *names, *(F.col(name).try_cast("double").cast("string").alias(f"held_{name}") for name in names)
+    )
+    both = sides.columns
+    for step, inputs in ((cells.number_parts, 1), (cells.number_digits, 3)):
+        columns = []
+        for name in both:
+            read = [F.col(name)] if inputs == 1 else [F.col(f"{name}_{k}") for k in range(inputs)]
+            columns += [part.alias(f"{name}_{k}") for k, part in enumerate(step(*read))]
+        sides = sides.select(*columns)
+    found = []
+    for name in names:
+        digits, last = F.col(f"{name}_0"), F.col(f"{name}_1")
+        held = (digits == F.col(f"held_{name}_0")) & (last == F.col(f"held_{name}_1"))
+        found += [
+            F.max(F.when(~held, cells.INEXACT).otherwise(0)),
+            F.max(F.greatest(F.length(digits) + last, F.lit(0))),
+            F.max(F.greatest(-last, F.lit(0))),
+        ]
+    row = sides.agg(*(most.alias(f"most_{i}") for i, most in enumerate(found))).first()
+    return [tuple(row[i : i + 3]) for i in range(0, len(row), 3)]
+
+
+def _converter(kind: str, proven: bool = False) -> Callable[[Column], Column] | None:
+    """How text becomes a type; None for types that text is left for.
+
+    ``proven`` types are known to hold every cell of their column.
+    """
+    if kind.startswith("decimal"):
+        if proven:
+            return lambda cell: cells.strip(cell).try_cast(kind)
+        return lambda cell: cells.to_decimal(cell, kind)
+    return {"bigint": cells.to_bigint, "double": cells.to_double}.get(kind)
 
 
 def convert_numeric(
@@ -105,7 +158,8 @@ def convert_numeric(
     columns: Iterable[str] | None = None,
     types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Text columns that hold numbers only become BIGINT or DOUBLE.
+    """Text columns that hold numbers only become BIGINT, DOUBLE or DECIMAL, whichever keeps every
+    digit of every cell; columns that none of them holds stay text.
 
     ``types`` names the result type of columns that are known beforehand, which saves reading
     them for it; their cells that do not fit are kept in ``<column>_unparsed``.
@@ -113,16 +167,15 @@ def convert_numeric(
     names = _string_columns(df, columns)
     known = {name: kind for name, kind in (types or {}).items() if name in names}
     found = numeric_types(df, [name for name in names if name not in known])
-    convert = {"bigint": cells.to_bigint, "double": cells.to_double}
     changed = {
-        name: _whole(name, convert[kind](_col(name)))
+        name: _whole(name, convert(_col(name)))
         for name, kind in found.items()
-        if kind in convert
+        if (convert := _converter(kind, proven=True))
     }
     df = _replace(df, changed)
     for name, kind in known.items():
-        if kind in convert:
-            df = _split(df, name, convert[kind](_col(name)))
+        if convert := _converter(kind):
+            df = _split(df, name, convert(_col(name)))
     return df
 
 
@@ -354,8 +407,8 @@ def clean_table(
 ) -> DataFrame:
     """The default cleaning: names, null markers and numbers, then further rules.
 
-    ``types`` gives the type (bigint, double, string) of text columns that are known, which
-    saves the pass that finds it out.
+    ``types`` gives the type (bigint, double, decimal(p,s), string) of text columns that are known,
+    which saves the pass that finds it out.
     """
     if names:
         df = normalize_names(df)

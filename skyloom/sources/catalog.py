@@ -69,7 +69,7 @@ class Catalog:
     def sql(self, text: str) -> DataFrame:
         """Runs Spark SQL in which the catalogue's tables are known by their names.
 
-        ``sky_separation``, ``sky_circle`` and ``sky_box`` can be called in it, and regions of
+        ``sky_separation``, ``sky_circle``, ``sky_box`` and ``sky_polygon`` can be called in it, and regions of
         ``skyloom.functions.sky`` are SQL text that can stand in its conditions. Views of the session
         that have the tables' names are as before afterwards.
         """

@@ -17,6 +17,9 @@ CORRUPT = "_corrupt_record"
 REASON = "_reject_reason"
 REJECTED = "_rejected_text"
 
+#: The elements of a body with all their keys.
+KEYS = "array<map<string,variant>>"
+
 Paths = str | list[str]
 
 
@@ -28,15 +31,30 @@ def _schema(schema: str | T.StructType) -> T.StructType:
 
 
 def read_json(
-    spark: SparkSession, path: Paths, schema: str | T.StructType, whole_file: bool = False
+    spark: SparkSession,
+    path: Paths,
+    schema: str | T.StructType,
+    whole_file: bool = False,
+    rest: str | None = None,
 ) -> DataFrame:
     """Rows of JSON responses; a response that cannot be read fails the job.
 
     A line holds an array of objects or one object. With ``whole_file`` a file holds one array
     that may be spread over lines. See ``read_bodies`` for input that may contain errors.
+
+    Keys that the schema does not name are left out, or gathered in a VARIANT column named ``rest``
+    as ``parse_bodies`` does, which also reads numbers in quotes as numbers.
     """
-    reader = spark.read.schema(_schema(schema)).option("mode", "FAILFAST")
-    return reader.option("multiLine", whole_file).json(path)
+    if rest is None:
+        reader = spark.read.schema(_schema(schema)).option("mode", "FAILFAST")
+        return reader.option("multiLine", whole_file).json(path)
+    text = F.trim("body")
+    listed = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
+    bodies = read_bodies(spark, path, whole_file).where(text != "").select(listed.alias("body"))
+    parsed = parse_bodies(bodies, schema, rest=rest)
+    message = F.concat_ws(": ", F.lit("cannot be read"), REASON, F.substring(REJECTED, 1, 200))
+    good = F.when(F.col(REASON).isNotNull(), F.raise_error(message)).otherwise(True)
+    return parsed.where(good).drop(REASON, REJECTED)
 
 
 def read_bodies(spark: SparkSession, path: Paths, whole_file: bool = False) -> DataFrame:
@@ -44,7 +62,9 @@ def read_bodies(spark: SparkSession, path: Paths, whole_file: bool = False) -> D
     return spark.read.text(path, wholetext=whole_file).withColumnRenamed("value", "body")
 
 
-def parse_bodies(df: DataFrame, schema: str | T.StructType, body: str = "body") -> DataFrame:
+def parse_bodies(
+    df: DataFrame, schema: str | T.StructType, body: str = "body", rest: str | None = None
+) -> DataFrame:
     """Rows of JSON array bodies, with everything that could not be used marked and kept.
 
     Good rows have the columns of the schema and no ``_reject_reason``. A body that is not a
@@ -52,6 +72,11 @@ def parse_bodies(df: DataFrame, schema: str | T.StructType, body: str = "body")
     ``not_json`` or ``not_a_list``; an element that is null or has a cell that does not fit its
     type gives one row with the element and the reason ``bad_value``. An empty array gives no
     row. Other columns of the input are carried along.
+
+    With ``rest`` every key that the schema does not name is kept with its value, nested or not,
+    in one VARIANT column of that name, NULL where there is none; of a key that is there twice the
+    last value counts. ``variant_get(rest, '$.key', 'type')`` reads one of them. The body is parsed
+    twice then. The text of a rejected element has those keys too.
     """
     fields = _schema(schema).fields
     # Cells are read as text first: a typed reader would turn a bad cell into a silent NULL.
@@ -59,18 +84,23 @@ def parse_bodies(df: DataFrame, schema: str | T.StructType, body: str = "body")
     text = F.trim(F.col(body))
     element = F.from_json(F.col(body), texts)
     other = [name for name in df.columns if name != body]
-    opened = df.select(
+    elements = df.select(
         *other,
         F.coalesce(F.col(body), F.lit("")).alias("_body"),
         F.when(text.startswith("["), element).alias("_elements"),
-    ).select(
-        *other,
-        # Not an array: one row without an element. An empty array: no row.
-        F.explode(
-            F.coalesce(F.col("_elements"), F.array(F.lit(None).cast(texts.elementType)))
-        ).alias("_element"),
-        F.when(F.col("_elements").isNull(), F.col("_body")).alias("_body"),
+        *([F.from_json(F.col(body), KEYS).alias("_keys")] if rest else []),
     )
+    # Not an array: one row without an element. An empty array: no row.
+    opened = F.coalesce(F.col("_elements"), F.array(F.lit(None).cast(texts.elementType)))
+    if rest:
+        keys = F.coalesce(F.col("_keys"), F.array().cast(KEYS))
+        opened = F.arrays_zip(opened.alias("_element"), keys.alias("_keys"))
+    bodies = F.when(F.col("_elements").isNull(), F.col("_body")).alias("_body")
+    if rest:
+        opened = elements.select(*other, F.explode(opened).alias("_both"), bodies)
+        opened = opened.select(*other, "_both._element", "_both._keys", "_body")
+    else:
+        opened = elements.select(*other, F.explode(opened).alias("_element"), bodies)
     bad_body = F.col("_body").isNotNull()
     bad_value = F.col("_element").isNull()
     values: list[Column] = []
@@ -87,10 +117,28 @@ def parse_bodies(df: DataFrame, schema: str | T.StructType, body: str = "body")
         .when(bad_value, "bad_value")
     )
     element_text = F.coalesce(F.to_json("_element"), F.lit("null"))
+    if rest:
+        keys = _last_of_each(F.col("_keys"))
+        element_text = F.coalesce(F.to_json(F.to_variant_object(keys)), element_text)
+        unnamed = F.map_filter(keys, lambda key, _: ~key.isin([field.name for field in fields]))
+        kept = ~bad_body & ~bad_value & (F.size(unnamed) > 0)
+        values.append(F.when(kept, F.to_variant_object(unnamed)).alias(rest))
     rejected = F.when(bad_body, F.col("_body")).when(bad_value, element_text)
     return opened.select(*other, *values, reason.alias(REASON), rejected.alias(REJECTED))
 
 
+def _last_of_each(keys: Column) -> Column:
+    """A map in which every key is there once, with its last value."""
+    once = F.array_distinct(F.map_keys(keys))
+
+    def last(key: Column) -> Column:
+        entries = F.filter(F.map_entries(keys), lambda entry: entry["key"] == key)
+        return F.element_at(entries, -1)["value"]
+
+    single = F.size(once) == F.size(keys)
+    return F.when(single, keys).otherwise(F.map_from_arrays(once, F.transform(once, last)))
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     """The good rows of ``parse_bodies``."""
     return parsed.where(F.col(REASON).isNull()).drop(REASON, REJECTED)

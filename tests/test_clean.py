@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 import time
+from decimal import Decimal
 
 import pytest
 from conftest import plan_text, settings
@@ -175,7 +176,7 @@ def test_column_types_are_found_exactly(spark):
     df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
     expected = {
         "empty": "string", "whole": "bigint", "mixed": "double", "gaps": "bigint",
-        "text": "string", "huge": "double", "late": "string",
+        "text": "string", "huge": "decimal(20,0)", "late": "string",
     }
     assert clean.numeric_types(df) == expected
     kinds = dict(clean.convert_numeric(df).dtypes)
@@ -183,6 +184,80 @@ def test_column_types_are_found_exactly(spark):
     assert clean.convert_numeric(df).select("whole").collect()[1][0] == 2
 
 
+EXACT = {
+    "long": (["12345678901234567891", "-1"], "decimal(20,0)"),
+    "mixed": (["9007199254740993", "1.5"], "decimal(17,1)"),
+    "whole": (["9223372036854775807", "-9223372036854775808"], "bigint"),
+    "beyond": (["9223372036854775808", "0"], "decimal(19,0)"),
+    "doubles": (["0.1", "1e300", "-2.5E-3", "123456789012345", ".5", "5.", "+7"], "double"),
+    "shortest": (["0.30000000000000004", "1.7976931348623157e308"], "double"),
+    "fine": (["0.12345678901234567890", "3"], "decimal(20,19)"),
+    "power": (["1.5e20", "12345678901234567891.25"], "decimal(23,2)"),
+    "zeros": (["000000000000000000000000000000000000000000001.50", "0e5", "-0.0"], "double"),
+    "padded": (["00000000000000000000000000000000000000000000012"], "bigint"),
+    "endless": (["1" * 39], "string"),
+    "wide": (["1e300", "12345678901234567891"], "string"),
+    "overflow": (["1e400"], "string"),
+    "underflow": (["1e-400", "1"], "string"),
+    "far": (["1e99999999999999999999"], "string"),
+    "most": (["9" * 38], "decimal(38,0)"),
+}
+
+
+@pytest.mark.parametrize("name", EXACT)
+def test_every_digit_is_kept(spark, name):
+    cells_of, kind = EXACT[name]
+    df = texts(spark, cells_of + [None])
+    done = clean.convert_numeric(df)
+    assert dict(done.dtypes)["c"] == kind
+    found = values(done)
+    assert found[-1] is None
+    for cell, value in zip(cells_of, found):
+        if kind == "string":
+            assert value == cell
+        elif kind == "double":
+            assert value == float(cell) and Decimal(repr(value)) == Decimal(cell)
+        else:
+            assert Decimal(value) == Decimal(cell)
+
+
+def test_types_of_random_numbers(spark):
+    random.seed(11)
+    for _ in range(12):
+        cells_of = []
+        for _ in range(random.randrange(1, 5)):
+            digits = "".join(random.choice("0123456789") for _ in range(random.randrange(1, 24)))
+            place = random.randrange(len(digits) + 1)
+            point = random.choice([digits, f"{digits[:place]}.{digits[place:]}"])
+            power = random.choice(["", "", "", f"e{random.randrange(-12, 12)}"])
+            cells_of.append(random.choice(["", "-", "+"]) + point + power)
+        df = texts(spark, cells_of)
+        done = clean.convert_numeric(df)
+        kind = dict(done.dtypes)["c"]
+        for cell, value in zip(cells_of, values(done)):
+            if kind == "string":
+                break
+            assert Decimal(repr(value) if kind == "double" else value) == Decimal(cell), kind
+        exact = [Decimal(c) for c in cells_of]
+        whole = all(c.lstrip("+-").isdigit() for c in cells_of)
+        if whole and all(-(2**63) <= d < 2**63 for d in exact):
+            assert kind == "bigint"
+        elif not whole and all(Decimal(repr(float(d))) == d for d in exact):
+            assert kind == "double"
+        else:
+            before = max(max(d.adjusted() + 1, 0) if d else 0 for d in exact)
+            after = max(max(-d.normalize().as_tuple().exponent, 0) if d else 0 for d in exact)
+            wanted = f"decimal({max(before + after, 1)},{after})" if before + after <= 38 else "string"
+            assert kind == wanted
+
+
+def test_declared_decimals_keep_what_does_not_fit(spark):
+    df = texts(spark, ["1.25", "1.255", "12345.5", "x", "125e-2", "1.2500", None])
+    done = clean.convert_numeric(df, types={"c": "decimal(5,2)"})
+    assert values(done) == [Decimal("1.25"), None, None, None, Decimal("1.25"), Decimal("1.25"), None]
+    assert values(done, "c_unparsed") == [None, "1.255", "12345.5", "x", None, None, None]
+
+
 def test_a_late_text_keeps_the_column(spark):
     rows = spark.range(5000).select(F.when(F.col("id") < 4999, "7").otherwise("x").alias("c"))
     assert clean.numeric_types(rows) == {"c": "string"}

@@ -1,4 +1,7 @@
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from skyloom.sources import landing
 
@@ -142,3 +145,46 @@ def test_votable(spark, tmp_path):
 def test_one_column_votable(spark, tmp_path):
     path = land(tmp_path / "w", x__xml="<TABLEDATA><TR><TD>7</TD></TR><TR><TD>8</TD></TR></TABLEDATA>")
     assert rows(landing.read_votable_rows(spark, path, ["n"])) == [("7",), ("8",)]
+
+
+REST_BODIES = [
+    '[{"a": "1", "x": "abc", "y": {"z": [1, 2]}, "b.c": null}, {"a": 2}, {"a": 3, "x": 5, "x": 12345678901234567890123}]',
+    '[{"a": "no", "x": 1}, null, {"x": "01"}]',
+    "[]", "broken", '{"a": 9, "w": true}',
+]
+
+
+def _rest(row):
+    return None if row["_rest"] is None else json.loads(row["text"])
+
+
+def test_keys_outside_the_schema_are_kept(spark):
+    df = spark.createDataFrame([(i, body) for i, body in enumerate(REST_BODIES)], "body_id int, body string")
+    parsed = landing.parse_bodies(df, "a bigint", rest="_rest").withColumn("text", F.to_json("_rest"))
+    good = [r for r in parsed.collect() if r[landing.REASON] is None]
+    assert [(r["a"], _rest(r)) for r in good if r["body_id"] == 0] == [
+        (1, {"x": "abc", "y": {"z": [1, 2]}, "b.c": None}), (2, None), (3, {"x": 12345678901234567890123}),
+    ]
+    assert [(r["a"], _rest(r)) for r in good if r["body_id"] == 1] == [(None, {"x": "01"})]
+    bad = {(r[landing.REASON], r[landing.REJECTED]) for r in parsed.collect() if r[landing.REASON]}
+    assert bad == {("bad_value", '{"a":"no","x":1}'), ("bad_value", "null"), ("not_json", "broken"),
+                   ("not_a_list", REST_BODIES[4])}
+    plain = landing.parse_bodies(df, "a bigint")
+    assert sorted(map(str, plain.select("a", landing.REASON).collect())) == sorted(
+        map(str, parsed.select("a", landing.REASON).collect()))
+
+
+def test_json_with_rest(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1, "b": {"c": "d"}}, {"a": 2}]\n\n{"a": 3, "e": [1.5]}\n')
+    read = landing.read_json(spark, str(tmp_path / "a.json"), "a int", rest="more")
+    assert dict(read.dtypes) == {"a": "int", "more": "variant"}
+    read.write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    rows = stored.select("a", F.expr("variant_get(more, '$.b.c', 'string')"), F.to_json("more")).collect()
+    assert sorted(map(tuple, rows)) == [(1, "d", '{"b":{"c":"d"}}'), (2, None, None), (3, None, '{"e":[1.5]}')]
+    (tmp_path / "b.json").write_text('[{"a": 1,\n "b": 2}, {"a": 4}]')
+    whole = landing.read_json(spark, str(tmp_path / "b.json"), "a int", whole_file=True, rest="more")
+    assert sorted((r[0], r[1]) for r in whole.select("a", F.to_json("more")).collect()) == [(1, '{"b":2}'), (4, None)]
+    (tmp_path / "c.json").write_text('[{"a": "x"}]')
+    with pytest.raises(Exception, match="cannot be read: bad_value"):
+        landing.read_json(spark, str(tmp_path / "c.json"), "a int", rest="more").collect()

@@ -171,6 +171,66 @@ def test_sql_functions(spark, stars, tmp_path):
     assert abs(apart - 0.1) < 1e-9
 
 
+def _corners(vertices):
+    return "array(" + ", ".join(f"struct({ra}D, {dec}D)" for ra, dec in vertices) + ")"
+
+
+def test_sql_functions_push_their_ranges(spark, stars, tmp_path):
+    path = str(tmp_path / "stars")
+    write_files(stars, path, sky_zone=5)
+    catalog = Catalog(spark, {"stars": spark.read.parquet(path)})
+    regions = [
+        ("sky_circle(ra, dec, 40, 5, 2{})", sky.circle(40, 5, 2), True),
+        ("sky_circle(ra, dec, -320.0, 5, 2{})", sky.circle(40, 5, 2), True),
+        ("sky_circle(ra, dec, 0.1D, 89.9D, 3D{})", sky.circle(0.1, 89.9, 3), False),
+        ("sky_circle(ra, dec, 359, 0, 5{})", sky.circle(359, 0, 5), True),
+        ("sky_circle(ra, dec, 1, 0, 5{})", sky.circle(1, 0, 5), True),
+        ("sky_circle(ra, dec, 1, 0, 180{})", sky.circle(1, 0, 180), False),
+        ("sky_box(ra, dec, 358D, -60D, 30D, 12D{})", sky.box(358, -60, 30, 12), True),
+        *((f"sky_polygon(ra, dec, {_corners(v)}{{}})", sky.polygon(v), k != 2) for k, v in enumerate(CONVEX)),
+    ]
+    for text, region, ra_is_bounded in regions:
+        plain = catalog.sql(f"SELECT id FROM stars WHERE {text.format('')}")
+        zoned = text.format(", zone => sky_zone_5, zone_height => 5")
+        zoned = catalog.sql(f"SELECT id FROM stars WHERE {zoned}")
+        plan = plan_text(plain)
+        assert "Than" in plan.split("PushedFilters")[1].split("\n")[0]
+        assert ("OrEqual(ra," in plan) == ra_is_bounded, text
+        assert "sky_zone_5#" in plan_text(zoned).split("PartitionFilters")[1].split("\n")[0]
+        expected = found(stars, region)
+        assert {r.id for r in plain.collect()} == {r.id for r in zoned.collect()} == expected, text
+
+
+def test_sql_functions_of_columns(spark, stars):
+    catalog = Catalog(spark, {"stars": stars})
+    rows = catalog.sql(
+        "SELECT id, ra0, sky_circle(ra, dec, ra0, 20D, 15D) AS c, sky_box(ra, dec, ra0, 20D, 9D, 7D) AS b,"
+        " sky_polygon(ra, dec, array(named_struct('ra', ra0, 'dec', 10D),"
+        " named_struct('ra', ra0 + 9, 'dec', 12D), named_struct('ra', ra0, 'dec', 30D))) AS p"
+        " FROM stars CROSS JOIN VALUES (40D), (357D) AS v(ra0)"
+    ).collect()
+    for ra0 in (40, 357):
+        regions = {
+            "c": sky.circle(ra0, 20, 15),
+            "b": sky.box(ra0, 20, 9, 7),
+            "p": sky.polygon([(ra0, 10), (ra0 + 9, 12), (ra0, 30)]),
+        }
+        for name, region in regions.items():
+            assert {r.id for r in rows if r.ra0 == ra0 and r[name]} == found(stars, region)
+
+
+def test_many_and_concave_corners(spark, stars):
+    catalog = Catalog(spark, {"stars": stars})
+    outline = [(10, 0), (50, 0), (50, 10), (20, 10), (20, 40), (10, 40)]
+    star = [(200 + (30 if k % 2 else 12) * math.cos(k * math.pi / 20), 20 * math.sin(k * math.pi / 20)) for k in range(40)]
+    for corners in (outline, star):
+        rows = catalog.sql(f"SELECT id FROM stars WHERE sky_polygon(ra, dec, {_corners(corners)})")
+        assert {r.id for r in rows.collect()} == found(stars, sky.polygon(corners))
+    with pytest.raises(Exception, match="hemisphere"):
+        wide = _corners([(0, -20), (170, -20), (85, 60), (180, 80), (270, -60)])
+        catalog.sql(f"SELECT id FROM stars WHERE sky_polygon(ra, dec, {wide})").collect()
+
+
 def test_a_wrong_zone_height_is_an_error(spark, stars, tmp_path):
     path = str(tmp_path / "stars")
     write_files(stars, path, sky_zone=7.5)
