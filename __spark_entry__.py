@@ -18,9 +18,11 @@ from sample_views import VIEWS
 from skyloom import Catalog, run_spec, vocab
 from skyloom.functions import cells, sky
 from skyloom.operators import clean
+from skyloom.operators.limits import counted_limit
 from skyloom.operators.near import near_targets
 from skyloom.operators.profile import column_profile, table_profile
 from skyloom.operators.query import all_of, open_range
+from skyloom.operators.regions import within_polygons
 from skyloom.plans import datasets, discoveries
 from skyloom.plans.load import Loader
 from skyloom.sinks import writers
@@ -346,6 +348,40 @@ def _(df):
     return df.where(sky.polygon(FIELD)).select(F.col("pl_name").alias("key"), "ra", "dec")
 
 
+POLYGON_SQL = """
+    , corners AS (
+        SELECT target_id, k, (ra + dra + 360) % 360 AS ra, dec + ddec AS dec
+        FROM v_targets, (VALUES (0, -9, -7), (1, 11, -6), (2, 8, 9), (3, -6, 8)) AS o(k, dra, ddec)
+        WHERE abs(dec) < 70
+    ),
+    places AS (
+        SELECT *, cos(radians(dec)) * cos(radians(ra)) AS x, cos(radians(dec)) * sin(radians(ra)) AS y,
+            sin(radians(dec)) AS z FROM corners
+    ),
+    sides AS (
+        SELECT a.target_id, a.k, a.y * b.z - a.z * b.y AS nx, a.z * b.x - a.x * b.z AS ny,
+            a.x * b.y - a.y * b.x AS nz
+        FROM places a JOIN places b ON a.target_id = b.target_id AND b.k = (a.k + 1) % 4
+    )
+    SELECT CAST(target_id AS BIGINT) AS region_id, key, ra, dec
+    FROM (SELECT * FROM {vectors}) v JOIN sides s ON x * nx + y * ny + z * nz > 0
+    GROUP BY target_id, key, ra, dec HAVING count(*) = 4
+"""
+
+
+@register("sky_polygon_table", POLYGON_SQL.format(vectors=TOI_VECTORS), "v_targets", "v_toi")
+def _(spark, sf_dir):
+    """Convex fields around all targets but those near the poles, against all objects of interest."""
+    targets = view(spark, sf_dir, "v_targets").where("abs(dec) < 70")
+    corners = ", ".join(
+        f"struct((ra + {dra} + 360) % 360 AS ra, dec + {ddec} AS dec)"
+        for dra, ddec in ((-9, -7), (11, -6), (8, 9), (-6, 8))
+    )
+    fields = targets.selectExpr("CAST(target_id AS BIGINT) AS region_id", f"array({corners}) AS vertices")
+    found = within_polygons(view(spark, sf_dir, "v_toi").select("toi", "ra", "dec"), fields)
+    return found.select("region_id", F.col("toi").alias("key"), "ra", "dec")
+
+
 @on_view("sky_near_object", "v_ps", _cone_sql(PS_VECTORS, 137.50776405, -28.196601125, 0.1))
 def _(df):
     region = sky.near_object(137.50776405, -28.196601125)
@@ -1124,6 +1160,23 @@ _load(
 )
 
 
+@register(
+    "load_custom_counted",
+    "SELECT least(count(*), 12345) AS rows, least(count(*), 12345) AS known FROM v_ps WHERE pl_rade > 1",
+    "v_ps",
+)
+def _(spark, sf_dir):
+    """A limit taken file by file: so many rows come back, and all of them are rows of the table."""
+    path = scratch_path(spark, "counted")
+    df = view(spark, sf_dir, "v_ps").select("pl_name", "hostname", "pl_rade")
+    df.repartition(16, "hostname").write.parquet(path)
+    wanted = spark.read.parquet(path).where("pl_rade > 1")
+    some = counted_limit(wanted, 12345, gathered=0)
+    known = df.where("pl_rade > 1").select("pl_name").distinct().withColumn("known", F.lit(1))
+    counts = some.join(known, "pl_name", "left")
+    return counts.agg(F.count("*").alias("rows"), F.count("known").alias("known"))
+
+
 @register(
     "load_all",
     " UNION ALL ".join(

@@ -337,18 +337,11 @@ def _unit(ra0: float, dec0: float) -> tuple[float, float, float]:
     return math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d)
 
 
-def polygon(
+def flattened(
     vertices: Sequence[tuple[float, float]],
-    ra: str = "ra",
-    dec: str = "dec",
-    zone_height: float | None = None,
-) -> str:
-    """Rows inside a simple polygon with great-circle sides that fits in a hemisphere.
-
-    Points are projected on the plane that touches the sphere at the polygon's middle, where
-    great circles are straight lines; a point is inside if a ray from it crosses the outline
-    an odd number of times. Points exactly on the outline may fall on either side.
-    """
+) -> tuple[float, float, list[tuple[float, float]], float]:
+    """The middle of a polygon, its vertices on the plane that touches the sphere there, and how far
+    the polygon reaches from it."""
     if len(vertices) < 3:
         raise ValueError("a polygon needs at least 3 vertices")
     for vertex in vertices:
@@ -371,16 +364,38 @@ def polygon(
         north = math.sin(d) * cos0 - math.cos(d) * math.cos(turn) * sin0
         flat.append((east / ahead, north / ahead))
         reach = max(reach, math.degrees(math.atan(math.hypot(*flat[-1]))))
+    return ra0, dec0, flat, reach
 
-    crossings = []
-    for (x1, y1), (x2, y2) in zip(flat, flat[1:] + flat[:1]):
+
+def crossing_lines(
+    flat: Sequence[tuple[float, float]],
+) -> list[tuple[float, float, float, float, float]]:
+    """Lowest and highest y, a point and the slope (x by y) of the sides that a level ray can cross."""
+    lines = []
+    for (x1, y1), (x2, y2) in zip(flat, [*flat[1:], flat[0]]):
         if y1 != y2:
-            low, high = sorted((y1, y2))
-            slope = (x2 - x1) / (y2 - y1)
-            crossings.append(
-                f"IF(p.y >= {number(low)} AND p.y < {number(high)}"
-                f" AND p.x < {number(x1)} + (p.y - {number(y1)}) * {number(slope)}, 1, 0)"
-            )
+            lines.append((min(y1, y2), max(y1, y2), x1, y1, (x2 - x1) / (y2 - y1)))
+    return lines
+
+
+def polygon(
+    vertices: Sequence[tuple[float, float]],
+    ra: str = "ra",
+    dec: str = "dec",
+    zone_height: float | None = None,
+) -> str:
+    """Rows inside a simple polygon with great-circle sides that fits in a hemisphere.
+
+    Points are projected on the plane that touches the sphere at the polygon's middle, where
+    great circles are straight lines; a point is inside if a ray from it crosses the outline
+    an odd number of times. Points exactly on the outline may fall on either side.
+    """
+    ra0, dec0, flat, reach = flattened(vertices)
+    crossings = [
+        f"IF(p.y >= {number(low)} AND p.y < {number(high)}"
+        f" AND p.x < {number(x1)} + (p.y - {number(y1)}) * {number(slope)}, 1, 0)"
+        for low, high, x1, y1, slope in crossing_lines(flat)
+    ]
     if not crossings:
         return "false"
     ahead, east, north = _tangent_parts(ra0, dec0, ra, dec)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from skyloom.functions import sky
+from skyloom.operators import limits
 
 if TYPE_CHECKING:
     from skyloom.sources.catalog import Catalog
@@ -237,7 +238,15 @@ class CatalogQuery:
         if self.order:
             clauses.append(f"ORDER BY {', '.join(self._sort_keys(result))}")
             result = self._run(source, clauses)
-        return result.limit(self.top) if self.top else result
+        if not self.top:
+            return result
+        if self.order or self.top <= limits.GATHERED or not limits.rows_of_one_table(result):
+            return result.limit(self.top)
+        # The rows bring their places along, so that the limit can be taken where they are stored.
+        every = any(item.strip() == "*" or item.strip().endswith(".*") for item in self.items)
+        places = () if every else (limits.FILE, limits.ROW)
+        placed = replace(self, items=(*self.items, *places))._run(limits.with_places(source), clauses)
+        return limits.taken(placed, self.top)
 
     def _run(self, source: DataFrame, clauses: list[str]) -> DataFrame:
         head = f"SELECT {'DISTINCT ' if self.unique else ''}{', '.join(self.items)}"

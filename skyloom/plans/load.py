@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom.operators.clean import clean_known_planets, clean_name
+from skyloom.operators.limits import counted_limit
 from skyloom.operators.query import CatalogQuery
 from skyloom.plans import datasets
 from skyloom.sources.catalog import Catalog
@@ -107,7 +108,7 @@ class Loader:
         elif isinstance(query, CatalogQuery):
             settle = bool(limit or query.top or query.unique or query.keys)
             query = query.to_df()
-        df = query.limit(limit) if limit else query
+        df = counted_limit(query, limit) if limit else query
         return [self._load("custom", table, df, settle)]
 
     def load_all_datasets(
@@ -139,7 +140,7 @@ class Loader:
             df.write.parquet(staged)
             df = df.sparkSession.read.schema(df.schema).parquet(staged)
         elif settle:
-            # What a limit has gathered in one task is dealt out again if it is much.
+            # What a small limit has gathered in one task is dealt out again.
             df = df.hint("rebalance")
         try:
             if self.clean:

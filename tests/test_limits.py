@@ -1,0 +1,82 @@
+import pytest
+from conftest import plan_text
+from pyspark.sql import functions as F
+
+from skyloom import Catalog
+from skyloom.operators import limits
+from skyloom.operators.limits import counted_limit
+from skyloom.plans.load import Loader
+from skyloom.sinks.writers import FileTarget
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("rows") / "t")
+    rows = spark.range(5000).select("id", (F.col("id") % 7).alias("k"), F.col("id").cast("string").alias("name"))
+    rows.repartition(9, "id").write.option("parquet.block.size", 4096).parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("count", [1, 2, 555, 556, 2500, 4999, 5000, 5001, 10**9])
+def test_the_right_number_of_stored_rows(spark, stored, count):
+    df = counted_limit(spark.read.parquet(stored), count, gathered=0)
+    rows = [r.id for r in df.collect()]
+    assert len(rows) == len(set(rows)) == min(count, 5000)
+    assert df.columns == ["id", "k", "name"]
+    assert "SinglePartition" not in plan_text(df) and "Exchange" not in plan_text(df)
+    assert sorted(rows) == sorted(r.id for r in df.collect())
+
+
+@pytest.mark.parametrize("count", [1, 700, 713, 714, 715, 2000])
+def test_filtered_rows(spark, stored, count):
+    df = spark.read.parquet(stored).where("k = 3 AND name <> '10'").select(F.col("id").alias("i"), "k")
+    wanted = {r.i for r in df.collect()}
+    rows = [r.i for r in counted_limit(df, count, gathered=0).collect()]
+    assert len(rows) == len(set(rows)) == min(count, len(wanted)) and set(rows) <= wanted
+    assert "SinglePartition" not in plan_text(counted_limit(df, count, gathered=0))
+
+
+def test_files_beyond_the_limit_are_not_opened(spark, stored):
+    few = counted_limit(spark.read.parquet(stored), 600, gathered=0)
+    files = {r[0] for r in few.select(F.input_file_name()).distinct().collect()}
+    assert len(files) == 2
+    assert few.rdd.getNumPartitions() < spark.read.parquet(stored).rdd.getNumPartitions() + 2
+
+
+def test_rows_from_elsewhere_use_the_plain_limit(spark, stored, tmp_path):
+    rows = spark.read.parquet(stored)
+    shuffled = rows.groupBy("k").count()
+    assert counted_limit(shuffled, 3, gathered=0).count() == 3
+    assert counted_limit(rows.unionByName(rows), 7000, gathered=0).count() == 7000
+    assert counted_limit(rows.where(F.rand(1) < 0.9), 100, gathered=0).count() == 100
+    rows.write.csv(str(tmp_path / "csv"))
+    assert counted_limit(spark.read.csv(str(tmp_path / "csv")), 1234, gathered=0).count() == 1234
+    assert counted_limit(spark.range(100).toDF("x"), 10, gathered=0).count() == 10
+    joined = rows.join(rows.select("id", F.col("k").alias("j")), "id")
+    assert counted_limit(joined, 10, gathered=0).count() == 10
+    assert counted_limit(rows.limit(0), 10, gathered=0).count() == 0
+
+
+def test_an_empty_table(spark, tmp_path):
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    assert counted_limit(spark.read.parquet(str(tmp_path / "none")), 10, gathered=0).count() == 0
+
+
+def test_loads_use_it(spark, stored, tmp_path, monkeypatch):
+    monkeypatch.setattr(counted_limit, "__defaults__", (0,))
+    monkeypatch.setattr(limits, "GATHERED", 0)
+    catalog = Catalog(spark, {"t": spark.read.parquet(stored)})
+    query = catalog.query().select("*").from_table("t").where("k < 5").limit(1000)
+    for items in ("*", ["name", "id + 1 AS more"], ["t.*"]):
+        df = query.select(items).to_df()
+        assert "Exchange" not in plan_text(df) and len(df.collect()) == 1000
+        assert "_skyloom_file" not in df.columns
+        files = df.select(F.input_file_name()).distinct().count()
+        assert files < 9
+    assert query.select("count(*) AS n").to_df().first().n > 1000
+    assert query.distinct("k").to_df().count() == 5
+    assert query.order_by("id").to_df().count() == 1000
+    assert counted_limit(catalog.sql("SELECT * FROM t"), 77).count() == 77
+    loader = Loader(catalog, FileTarget(str(tmp_path / "out")))
+    assert loader.load_custom_query(spark.read.parquet(stored), "a", limit=1200)[0].rows == 1200
+    assert loader.load_custom_query(query, "b")[0].rows == 1000
