@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import importlib
+import struct
 import sys
 import uuid
 from collections.abc import Callable
 from functools import partial
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ from skyloom.operators.regions import within_polygons
 from skyloom.plans import datasets, discoveries
 from skyloom.plans.load import Loader
 from skyloom.sinks import writers
-from skyloom.sources import landing
+from skyloom.sources import landing, votable
 from skyloom.storage import scratch_path
 
 CATALOG_VIEWS = {"ps": "v_ps", "toi": "v_toi", "cumulative": "v_cumulative", "ml": "v_ml"}
@@ -966,6 +968,80 @@ def _(spark, sf_dir):
     return text.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields))
 
 
+#: Columns of the typed VOTable queries: FIELD attributes, and how a row is packed into a stream.
+VOTABLE_FIELDS = (
+    ("kepid", 'datatype="long"', "q"),
+    ("kepoi_name", 'datatype="char" arraysize="*"', None),
+    ("koi_score", 'datatype="double" unit="1"', "d"),
+    ("koi_teq", 'datatype="int" unit="K"', "i"),
+    ("pair", 'datatype="double" arraysize="2"', "2d"),
+)
+TYPED_SQL = (
+    "SELECT CAST(kepid AS BIGINT) AS kepid, kepoi_name, koi_score, koi_teq,"
+    " koi_period AS first, koi_prad AS second FROM v_cumulative"
+)
+
+
+def _votable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "v_cumulative").select(
+        F.col("kepid").cast("bigint").alias("kepid"), "kepoi_name", "koi_score", "koi_teq",
+        F.array("koi_period", F.col("koi_prad").cast("double")).alias("pair"),
+        F.pmod("kepid", F.lit(5)).alias("file"),
+    )
+
+
+def _typed_votable(rows: DataFrame, data: str, serialization: str) -> DataFrame:
+    """Rows with their ``text`` landed as VOTable files and read again by what their fields say."""
+    fields = "".join(f'<FIELD name="{name}" {facts}/>' for name, facts, _ in VOTABLE_FIELDS)
+    head = f'<VOTABLE xmlns="http://www.ivoa.net/xml/VOTable/v1.3"><RESOURCE><TABLE>{fields}<DATA>'
+    body = rows.groupBy("file").agg(F.expr(data).alias("body"))
+    path = scratch_path(rows.sparkSession, "votable")
+    text = F.concat(F.lit(head), "body", F.lit("</DATA></TABLE></RESOURCE></VOTABLE>"))
+    body.select(text).repartition(5).write.text(path)
+    found = votable.read_votable(rows.sparkSession, path, serialization)
+    second = F.col("pair")[1]
+    return found.select(
+        "kepid", "kepoi_name", "koi_score", "koi_teq", F.col("pair")[0].alias("first"), second.alias("second")
+    )
+
+
+@register("read_votable", TYPED_SQL, "v_cumulative")
+def _(spark, sf_dir):
+    rows = _votable_rows(spark, sf_dir)
+    cells_of = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name, _, _ in VOTABLE_FIELDS[:-1]]
+    cells_of.append(F.array_join(F.col("pair").cast("array<string>"), " "))
+    tds = [F.concat(F.lit("<TD>"), cell, F.lit("</TD>")) for cell in cells_of]
+    rows = rows.select("file", F.concat(F.lit("<TR>"), *tds, F.lit("</TR>")).alias("text"))
+    data = "concat('<TABLEDATA>', array_join(collect_list(text), ''), '</TABLEDATA>')"
+    return _typed_votable(rows, data, "tabledata")
+
+
+@register("read_votable_binary", TYPED_SQL, "v_cumulative")
+def _(spark, sf_dir):
+    def packed(batches):
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                flags = sum(1 << 7 - i for i, (name, _, _) in enumerate(VOTABLE_FIELDS) if row[name] is None)
+                parts = [bytes([flags])]
+                for name, _, code in VOTABLE_FIELDS:
+                    if code is None:
+                        text = row[name].encode()
+                        parts.append(struct.pack(">i", len(text)) + text)
+                    else:
+                        cell = row[name] if isinstance(row[name], list) else [row[name] or 0]
+                        parts.append(struct.pack(f">{code}", *cell))
+                rows.append(b"".join(parts).hex())
+            yield pa.record_batch([batch["file"], pa.array(rows)], ["file", "text"])
+
+    rows = _votable_rows(spark, sf_dir)
+    kind = rows.schema["file"].dataType.simpleString()
+    rows = rows.mapInArrow(packed, f"file {kind}, text string")
+    stream = "base64(unhex(array_join(collect_list(text), '')))"
+    data = f"concat('<BINARY2><STREAM encoding=\"base64\">', {stream}, '</STREAM></BINARY2>')"
+    return _typed_votable(rows, data, "binary2")
+
+
 @register(
     "votable_fields",
     "SELECT concat('c', p_partkey) AS name, p_type AS datatype,"
