@@ -28,6 +28,7 @@ from skyloom.operators.regions import within_polygons
 from skyloom.plans import datasets, discoveries
 from skyloom.plans.load import Loader
 from skyloom.sinks import writers
+from skyloom.sinks.versions import VersionedTarget
 from skyloom.sources import landing, votable
 from skyloom.storage import scratch_path
 
@@ -1123,6 +1124,15 @@ def _(spark, sf_dir):
     return writers.read_files(spark, path, df.schema)
 
 
+@register("sink_versioned", "SELECT * FROM v_cumulative WHERE koi_prad > 1", "v_cumulative")
+def _(spark, sf_dir):
+    """A table that is replaced by rows read from itself."""
+    target = VersionedTarget(spark, scratch_path(spark, "versions"))
+    target.write(view(spark, sf_dir, "v_cumulative"), "koi")
+    target.write(target.read("koi").where("koi_prad > 1"), "koi")
+    return Catalog(spark, base_path=target.folder).table("koi")
+
+
 @register(
     "sink_batched", "SELECT count(*) AS rows, true AS within_batch FROM v_toi", "v_toi"
 )
@@ -1253,8 +1263,7 @@ def _(spark, sf_dir):
     return counts.agg(F.count("*").alias("rows"), F.count("known").alias("known"))
 
 
-@register(
-    "load_all",
+_LOADED_SQL = (
     " UNION ALL ".join(
         f"SELECT '{dataset}' AS dataset, '{name}' AS \"table\", count(*) AS rows FROM ({text})"
         for dataset, name, text in (
@@ -1265,17 +1274,27 @@ def _(spark, sf_dir):
             ("kepler", "kepler_objects", KEPLER_SQL),
             ("microlensing", "microlensing_events", ML_SQL),
         )
-    ),
-    "v_ps",
-    "v_toi",
-    "v_cumulative",
-    "v_ml",
+    )
 )
+
+
+@register("load_all", _LOADED_SQL, *CATALOG_VIEWS.values())
 def _(spark, sf_dir):
     summary = _loader(spark, sf_dir).load_all_datasets(include_candidates=True)
     return summary.drop("location")
 
 
+@register("load_all_versioned", _LOADED_SQL, *CATALOG_VIEWS.values())
+def _(spark, sf_dir):
+    """All tables replaced at once; their rows are counted as a reader finds them."""
+    target = VersionedTarget(spark, scratch_path(spark, "versions"))
+    loader = Loader(catalog(spark, sf_dir), target)
+    summary = loader.load_all_datasets(include_candidates=True)
+    stored = Catalog(spark, base_path=target.folder).list_tables()
+    counts = stored.select(F.col("table_name").alias("table"), "rows")
+    return summary.select("dataset", "table").join(counts, "table")
+
+
 @register(
     "load_all_capped",
     " UNION ALL ".join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from contextlib import nullcontext
 from dataclasses import dataclass
 from typing import Any, NamedTuple, Protocol
 
@@ -114,16 +115,20 @@ class Loader:
     def load_all_datasets(
         self, include_candidates: bool = False, limit_per_dataset: int | None = None
     ) -> DataFrame:
-        """All named datasets; returns dataset, table, rows and location of what was written."""
-        done = (
-            self.load_exoplanets(
-                include_candidates=include_candidates, limit=limit_per_dataset
+        """All named datasets; returns dataset, table, rows and location of what was written.
+
+        A target that can replace its tables together does so when all of them are written.
+        """
+        with getattr(self.target, "together", nullcontext)():
+            done = (
+                self.load_exoplanets(
+                    include_candidates=include_candidates, limit=limit_per_dataset
+                )
+                + self.load_planetary_systems(limit_per_dataset)
+                + self.load_tess_data(limit=limit_per_dataset)
+                + self.load_kepler_data(limit=limit_per_dataset)
+                + self.load_microlensing_data(limit_per_dataset)
             )
-            + self.load_planetary_systems(limit_per_dataset)
-            + self.load_tess_data(limit=limit_per_dataset)
-            + self.load_kepler_data(limit=limit_per_dataset)
-            + self.load_microlensing_data(limit_per_dataset)
-        )
         return self.catalog.spark.createDataFrame(
             done, "dataset string, table string, rows bigint, location string"
         )

@@ -33,7 +33,7 @@ def sky_layout(
     )
 
 
-def _file_system(spark: SparkSession, path: str):
+def store_of(spark: SparkSession, path: str):
     """The store of a path, and the path with its scheme and without ``.`` or a trailing slash."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
@@ -45,7 +45,7 @@ def _refuse_own_source(df: DataFrame, path: str) -> None:
 
     Compared are the root folders of the scanned relations, not every file in them.
     """
-    target = _file_system(df.sparkSession, path)[1].toString()
+    target = store_of(df.sparkSession, path)[1].toString()
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
@@ -66,7 +66,7 @@ def _replaced(df: DataFrame, path: str, save) -> None:
 
     Until then the old files stay; a failed write removes what it has written.
     """
-    store, target = _file_system(df.sparkSession, path)
+    store, target = store_of(df.sparkSession, path)
     mark = uuid.uuid4().hex[:12]
     new, old = (target.suffix(f".{kind}-{mark}") for kind in ("new", "old"))
     try:
@@ -104,9 +104,23 @@ def write_files(
 
     The old files are replaced when the new ones are complete; a failed write leaves them.
     """
+    _refuse_own_source(df, path)
+    _replaced(
+        df, path, lambda new: save_files(df, new, file_format, compression, batch_size, sky_zone)
+    )
+
+
+def save_files(
+    df: DataFrame,
+    path: str,
+    file_format: str = "parquet",
+    compression: str | None = None,
+    batch_size: int | None = None,
+    sky_zone: float | None = None,
+) -> None:
+    """As ``write_files``, to a folder that is not there yet."""
     if file_format not in FORMATS:
         raise ValueError(f"unsupported file format: {file_format}")
-    _refuse_own_source(df, path)
     writer = (sky_layout(df, sky_zone) if sky_zone else df).write
     if sky_zone:
         writer = writer.partitionBy(zone_column(sky_zone))
@@ -121,7 +135,7 @@ def write_files(
         writer = writer.option("compression", "snappy")
     if batch_size:
         writer = writer.option("maxRecordsPerFile", batch_size)
-    _replaced(df, path, writer.save)
+    writer.save(path)
 
 
 def read_files(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skyloom.functions import sky
 from skyloom.operators.profile import column_list, table_profile
 from skyloom.operators.query import CatalogQuery
+from skyloom.sinks.versions import current_tables, read_version
 from skyloom.vocab import TABLE_NAMES
 
 
@@ -18,6 +19,9 @@ class Catalog:
     """Looks a table name up among the given tables, else as a Parquet directory under
     ``base_path``, or without one as a table or view of the Spark session.
 
+    If ``base_path`` is a dataset with versions (``skyloom.sinks.versions``), its tables are those of
+    the version that is there when they are looked up.
+
     A given table is a DataFrame or a function that opens one when it is first needed.
     """
 
@@ -41,6 +45,8 @@ class Catalog:
                 table = self.tables[name] = table()
             return table
         if self.base_path:
+            if current_tables(self.spark, self.base_path) is not None:
+                return read_version(self.spark, self.base_path, name)
             return self.spark.read.parquet(f"{self.base_path}/{name}")
         return self.spark.table(name)
 
@@ -55,6 +61,9 @@ class Catalog:
         return names
 
     def _stored(self) -> list[str]:
+        versions = current_tables(self.spark, self.base_path)
+        if versions is not None:
+            return sorted(versions)
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.base_path)
         store = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
         if not store.exists(folder):

@@ -49,14 +49,6 @@ def discard(*tables: DataFrame) -> None:
         removed(table.sparkSession, table.written_to)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder, so that they stay the same when read again."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def removed(spark: SparkSession, path: str) -> None:
     """Deletes a folder that this package has written."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
