@@ -11,6 +11,7 @@ from functools import partial
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,9 @@ from skyloom.functions import cells, sky
 from skyloom.operators import clean
 from skyloom.operators.limits import counted_limit
 from skyloom.operators.near import near_targets
-from skyloom.operators.profile import column_profile, table_profile
+from skyloom.operators.profile import (
+    column_profile, column_sketches, merged_profile, table_profile,
+)
 from skyloom.operators.query import all_of, open_range
 from skyloom.operators.regions import within_polygons
 from skyloom.plans import datasets, discoveries
@@ -755,6 +758,30 @@ def _(df):
     return dates.select("event_id", parsed, "date_text_unparsed")
 
 
+@on_view(
+    "parse_dates_full",
+    "v_raw",
+    "SELECT event_id, CASE WHEN event_id % 5 < 4 THEN make_timestamp(2015, 3, 1 + event_id % 28, 4 + event_id % 20,"
+    " 30, 7 + (event_id % 1000) / 1000.0) - to_hours(event_id % 3) END AS stamp,"
+    " CASE WHEN event_id % 5 = 4 THEN concat('late ', event_id) END AS stamp_unparsed FROM v_raw",
+)
+def _(df):
+    """Weekdays, fractions of one to six digits and offsets."""
+    day = F.lpad((F.lit(1) + F.col("event_id") % 28).cast("string"), 2, "0")
+    hour = F.lpad((F.lit(4) + F.col("event_id") % 20).cast("string"), 2, "0")
+    thousandths = F.lpad((F.col("event_id") % 1000).cast("string"), 3, "0")
+    zeros = F.repeat(F.lit("0"), (F.col("event_id") % 4).cast("int"))
+    offset = F.concat(F.lit("+0"), (F.col("event_id") % 3).cast("string"), F.lit(":00"))
+    weekday = F.date_format(F.to_date(F.concat(F.lit("2015-03-"), day)), "EEEE")
+    text = F.concat(
+        weekday, F.lit(", "), day, F.lit(" Mar 2015 "), hour, F.lit(":30:07."), thousandths, zeros,
+        F.lit(" "), offset,
+    )
+    late = F.concat(F.lit("late "), "event_id")
+    stamps = df.select("event_id", F.when(F.col("event_id") % 5 < 4, text).otherwise(late).alias("stamp"))
+    return clean.parse_dates(stamps, "stamp", "%A, %d %b %Y %H:%M:%S.%f %z")
+
+
 @on_view(
     "map_categories",
     "v_raw",
@@ -826,6 +853,23 @@ def _(df):
     )
 
 
+@on_view(
+    "apply_batch_rule",
+    "v_raw",
+    "SELECT event_id, CASE WHEN event_id % 9 = 5 THEN CAST(event_id AS BIGINT) END AS num_text,"
+    " CASE WHEN event_id % 9 <> 5 THEN num_text END AS num_text_unparsed,"
+    " CASE WHEN event_id % 9 <> 5 THEN 1 ELSE 0 END AS errors FROM v_raw",
+)
+def _(df):
+    """Most cells are no whole numbers; each of them is found by halving its batch."""
+
+    def whole(batch: pa.Array) -> pa.Array:
+        return pc.cast(pc.utf8_trim_whitespace(batch), "int64")
+
+    done = clean.apply_rules(df.select("event_id", "num_text"), [clean.batch_rule("num_text", whole, "bigint")])
+    return done.select("event_id", "num_text", "num_text_unparsed", F.size("_rule_errors").alias("errors"))
+
+
 @on_view(
     "apply_python_rule",
     "v_raw",
@@ -1369,6 +1413,42 @@ _EXACT_DISTINCT = " UNION ALL ".join(
 )
 
 
+@on_view(
+    "profile_merged",
+    "v_ps",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, count(*) AS rows, count(*) - count({name}) AS nulls,"
+        " true AS near FROM v_ps"
+        for name in ("pl_name", "hostname", "pl_masse", "disc_year")
+    ),
+)
+def _(df):
+    """Profiles of two loads, stored apart, as one; ``near`` compares with exact numbers."""
+    df = df.select("pl_name", "hostname", "pl_masse", "disc_year")
+    path = scratch_path(df.sparkSession, "profiles")
+    early = F.col("disc_year") < 2018
+    for i, load in enumerate((df.where(early), df.where(~early | early.isNull()))):
+        column_sketches(load).write.parquet(f"{path}/load={i}")
+    merged = merged_profile(df.sparkSession.read.parquet(path), [0.5])
+    exact = df.agg(
+        *(F.count_distinct(name).alias(f"d_{name}") for name in df.columns),
+        F.percentile("pl_masse", [0.45, 0.55]).alias("b_pl_masse"),
+        F.percentile("disc_year", [0.45, 0.55]).alias("b_disc_year"),
+    ).select(
+        F.inline(F.array(*(
+            F.struct(
+                F.lit(name).alias("column_name"), F.col(f"d_{name}").alias("exact"),
+                (F.col(f"b_{name}") if name in ("pl_masse", "disc_year") else F.lit(None).cast("array<double>")).alias("about"),
+            )
+            for name in df.columns
+        )))
+    )
+    distinct = F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.08 * F.col("exact") + 1
+    middle = F.col("quantiles")[0].between(F.col("about")[0], F.col("about")[1])
+    near = distinct & F.coalesce(middle, F.col("quantiles").isNull())
+    return merged.join(exact, "column_name").select("column_name", "rows", "nulls", near.alias("near"))
+
+
 @on_view("approx_distinct", "v_ps", _EXACT_DISTINCT)
 def _(df):
     """Whether the approximate numbers of distinct values are within a tenth of the exact ones."""

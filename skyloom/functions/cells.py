@@ -14,7 +14,9 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skyloom.vocab import DATE_LAYOUTS, NULL_TOKENS, STRPTIME_PATTERNS, WHITE_SPACE
+from skyloom.vocab import (
+    DATE_LAYOUTS, MONTHS, NULL_TOKENS, STRPTIME_EXPRESSIONS, STRPTIME_PATTERNS, WHITE_SPACE,
+)
 
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER = r"^[+-]?[0-9]+$"
@@ -209,8 +211,8 @@ def date_pattern(fmt: str) -> str:
     """A Spark date pattern; ``strptime`` directives are translated, other text is kept.
 
     Read are ``%Y %y %m %d %H %I %M %S %p %b %B %j %%``. Spark's parser has nothing like the names of
-    weekdays (``%a %A``), fractions of any length (``%f``) and zones without a time line (``%z %Z``);
-    these and other directives raise a ValueError.
+    weekdays (``%a %A``), fractions of any length (``%f``) and offsets (``%z %Z``), which
+    ``parse_date`` reads another way; here these and other directives raise a ValueError.
     """
     if "%" not in fmt:
         return fmt
@@ -243,8 +245,11 @@ def parse_date(c: Column, fmt: str | None = None) -> Column:
     """A TIMESTAMP_NTZ from the given layout or the first layout that fits, else NULL.
 
     The text is read as UTC and put on the zone-less time line by its distance from the
-    epoch, so the session time zone and its clock changes have no influence.
+    epoch, so the session time zone and its clock changes have no influence. With ``%z`` the result is
+    the time in UTC. Weekdays are read, but not held against the date.
     """
+    if fmt and any(directive in fmt.replace("%%", "") for directive in UNPATTERNED):
+        return _parse_expression(c, fmt)
     layouts = (date_pattern(fmt),) if fmt else DATE_LAYOUTS
     if fmt and not _has_year(fmt):
         # Without a year it is 1900.
@@ -258,6 +263,82 @@ def parse_date(c: Column, fmt: str | None = None) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
+#: Directives that no Spark pattern stands for.
+UNPATTERNED = ("%f", "%a", "%A", "%z", "%Z")
+#: Stands between the parts of a date; no date has it.
+_BETWEEN = "\u001f"
+
+
+def date_expression(fmt: str) -> tuple[str, list[str]]:
+    """A regular expression for a ``strptime`` format, and its directives in the order of its groups."""
+    expression, found = "", []
+    pieces = iter(re.sub(r"\s+", " ", fmt))
+    for char in pieces:
+        directive = char + next(pieces, "") if char == "%" else ""
+        if directive in STRPTIME_EXPRESSIONS:
+            if directive in found:
+                raise ValueError(f"date directive twice: {directive}")
+            found.append(directive)
+            expression += f"({STRPTIME_EXPRESSIONS[directive]})"
+        elif directive and directive != "%%":
+            raise ValueError(f"unsupported date directive: {directive}")
+        else:
+            expression += r"\s+" if char == " " else re.escape(char)
+    return f"(?i)^{expression}$", found
+
+
+def _parse_expression(c: Column, fmt: str) -> Column:
+    """The parts of the text by one regular expression, put together to a time."""
+    expression, found = date_expression(fmt)
+    groups = _BETWEEN.join(f"${i + 1}" for i in range(len(found)))
+    parts = F.split(F.regexp_replace(c, expression, groups), _BETWEEN)
+    # The one-element array binds the parts, so that they are worked out once.
+    time = F.get(F.transform(F.array(parts), lambda p: _time_of(p, found)), F.lit(0))
+    return F.when(c.rlike(expression), time)
+
+
+def _time_of(parts: Column, found: list[str]) -> Column:
+    def part(directive: str) -> Column | None:
+        return F.get(parts, F.lit(found.index(directive))) if directive in found else None
+
+    def whole(directive: str, default: int) -> Column:
+        text = part(directive)
+        return F.lit(default) if text is None else text.cast("int")
+
+    year, month, day = whole("%Y", 1900), whole("%m", 1), whole("%d", 1)
+    if "%Y" not in found and "%y" in found:
+        short = whole("%y", 0)
+        year = F.when(short < 69, short + 2000).otherwise(short + 1900)
+    for directive in ("%b", "%B"):
+        if directive in found:
+            names = F.array(*(F.lit(name[:3].lower()) for name in MONTHS))
+            month = F.array_position(names, F.lower(F.substring(part(directive), 1, 3))).cast("int")
+    hour = whole("%H", 0)
+    if "%H" not in found and "%I" in found:
+        hour = whole("%I", 0) % 12
+        if "%p" in found:
+            hour = hour + F.when(F.upper(part("%p")) == "PM", 12).otherwise(0)
+    second = F.lpad(whole("%S", 0).cast("string"), 2, "0")
+    fraction = F.rpad(part("%f"), 6, "0") if "%f" in found else F.lit("0")
+    second = F.concat(second, F.lit("."), fraction).cast("decimal(8,6)")
+    if "%j" in found:
+        date = F.date_add(F.make_date(year, F.lit(1), F.lit(1)), whole("%j", 1) - 1)
+        year, month, day = F.year(date), F.month(date), F.day(date)
+    time = F.try_make_timestamp_ntz(year, month, day, hour, whole("%M", 0), second)
+    if "%z" not in found:
+        return time
+    offset = F.translate(part("%z"), ":", "")
+    sign = F.when(offset.startswith("-"), 1).otherwise(-1)  # towards UTC
+    digits = F.when(F.upper(offset) == "Z", "0000").otherwise(F.substring(offset, 2, 20))
+    seconds = F.rpad(F.substring(digits, 5, 20), 2, "0").cast("decimal(8,6)")
+    return time + F.make_dt_interval(
+        F.lit(0),
+        sign * F.substring(digits, 1, 2).cast("int"),
+        sign * F.substring(digits, 3, 2).cast("int"),
+        sign * seconds,
+    )
+
+
 def _parse_layout(c: Column, layout: str) -> Column:
     parsed = F.try_to_timestamp(F.concat(c, F.lit("Z")), F.lit(layout + "X"))
     if layout not in DATE_LAYOUTS:

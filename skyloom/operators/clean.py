@@ -12,7 +12,9 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -341,6 +343,61 @@ def python_rule(
     return Rule(column, F.arrow_udf(run, schema), description=description, returns=returns)
 
 
+def batch_rule(
+    column: str,
+    function: Callable[[pa.Array], Any],
+    returns: str,
+    condition: Callable[[pa.Array], Any] | None = None,
+    description: str = "",
+) -> Rule:
+    """A rule whose Python function gets an Arrow array of cells and returns as many values, as an
+    array, a pandas Series, a numpy array or a list.
+
+    As with ``python_rule`` no cell is lost: a batch on which the function fails, or whose result does
+    not fit ``returns``, is halved until the bad cells stand alone; these are kept, with the message in
+    ``_rule_errors``, and all others get their values. So a cell's value must not depend on the
+    other cells of its batch. ``condition`` gives true for the cells that the function gets; an
+    error in it fails the job.
+    """
+    value_type = T.DataType.fromDDL(returns)
+    schema = T.StructType().add("value", value_type).add("error", "string").add("kept", "boolean")
+    arrow_schema = to_arrow_schema(schema)
+    kind = arrow_schema.field("value").type
+
+    def attempt(cells_of: pa.Array) -> list[tuple[pa.Array, str | None]]:
+        """Values of consecutive cells, with the message for one cell that has none."""
+        if not len(cells_of):
+            return []
+        try:
+            values = function(cells_of)
+            if isinstance(values, pa.ChunkedArray):
+                values = values.combine_chunks()
+            values = values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+            if len(values) != len(cells_of):
+                raise ValueError(f"{len(values)} values for {len(cells_of)} cells")
+            return [(values, None)]
+        except Exception as failure:  # noqa: BLE001 - any failure keeps the cell
+            if len(cells_of) == 1:
+                return [(pa.nulls(1, kind), f"{type(failure).__name__}: {failure}")]
+        half = len(cells_of) // 2
+        return attempt(cells_of[:half]) + attempt(cells_of[half:])
+
+    def run(batch: pa.Array) -> pa.Array:
+        chosen = np.ones(len(batch), bool)
+        if condition is not None:
+            chosen = np.array([bool(c) for c in pa.array(condition(batch)).to_pylist()], bool)
+        done = attempt(batch.filter(pa.array(chosen)))
+        errors = [message for values, message in done for _ in range(len(values))]
+        values = pa.concat_arrays([values for values, _ in done]) if done else pa.nulls(0, kind)
+        place = np.cumsum(chosen) - 1
+        place = pa.array(place, mask=~chosen)
+        errors = pa.array(errors, pa.string()).take(place)
+        kept = pa.compute.or_(pa.array(~chosen), errors.is_valid())
+        return pa.StructArray.from_arrays([values.take(place), errors, kept], fields=list(arrow_schema))
+
+    return Rule(column, F.arrow_udf(run, schema), description=description, returns=returns)
+
+
 ERRORS = "_rule_errors"
 
 

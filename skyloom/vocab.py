@@ -131,6 +131,33 @@ STRPTIME_PATTERNS = {
     "%j": "D",
 }
 
+# The names that dates may hold, and what strptime reads for each directive.
+MONTHS = (
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+)
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+STRPTIME_EXPRESSIONS = {
+    "%Y": "[0-9]{4}",
+    "%y": "[0-9]{2}",
+    "%m": "1[0-2]|0[1-9]|[1-9]",
+    "%d": "3[01]|[12][0-9]|0[1-9]|[1-9]",
+    "%H": "2[0-3]|[01][0-9]|[0-9]",
+    "%I": "1[0-2]|0[1-9]|[1-9]",
+    "%M": "[0-5][0-9]|[0-9]",
+    "%S": "[0-5][0-9]|[0-9]",
+    "%p": "AM|PM",
+    "%f": "[0-9]{1,6}",
+    "%j": "36[0-6]|3[0-5][0-9]|[12][0-9]{2}|0[1-9][0-9]|00[1-9]|[1-9][0-9]|0[1-9]|[1-9]",
+    "%z": "[+-](?:[01][0-9]|2[0-3])(?::[0-5][0-9](?::[0-5][0-9](?:[.][0-9]{1,6})?)?"
+    "|[0-5][0-9](?:[0-5][0-9](?:[.][0-9]{1,6})?)?)|(?-i:Z)",
+    "%Z": "UTC|GMT",
+    "%a": "|".join(name[:3] for name in WEEKDAYS),
+    "%A": "|".join(WEEKDAYS),
+    "%b": "|".join(name[:3] for name in MONTHS),
+    "%B": "|".join(MONTHS),
+}
+
 # The white space that Python's str.strip removes.
 WHITE_SPACE = (
     " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"

@@ -151,6 +151,60 @@ def test_dates_by_layout(spark):
     assert clean.parse_dates(years, "absent") is years
 
 
+FORMATS = [
+    "%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S.%f%z", "%a, %d %b %Y %H:%M:%S %z", "%A %d %B %Y",
+    "%a %b %d %I:%M %p %Y", "%Y %j %f", "%d/%m/%y %z", "%H:%M:%S.%f", "%Y%m%d%H%M%S%f", "%d.%m.%Y %H:%M %Z",
+    "(%Y) 100%% [%A]", "%z %Y",
+]
+
+
+def strptime(text, fmt):
+    try:
+        found = dt.datetime.strptime(text, fmt)
+    except (ValueError, OverflowError):
+        return None
+    return found.astimezone(dt.timezone.utc).replace(tzinfo=None) if found.tzinfo else found
+
+
+@pytest.mark.parametrize("fmt", FORMATS)
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_dates_with_fractions_offsets_and_weekdays(spark, fmt, zone):
+    random.seed(fmt)
+    cells_of = ["", "2015", fmt, "2015-02-30T00:00:00.5", "2015-02-28T00:00:00.1234567", "Z 2015",
+                "2015-03-01T24:00:00.0", "2015-03-01t00:00:00.25z", "2015-03-01T00:00:00.25Z"]
+    for _ in range(120):
+        when = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=random.randrange(-10**9, 2 * 10**9), microseconds=random.randrange(10**6))
+        offset = dt.timedelta(minutes=random.randrange(-800, 800), seconds=random.choice([0, 0, 17]))
+        text = when.replace(tzinfo=dt.timezone(offset)).strftime(fmt)
+        text = text.replace("%f", "1") if "%f" in fmt else text
+        if "%z" in fmt and random.random() < 0.3:
+            text = text.replace(when.replace(tzinfo=dt.timezone(offset)).strftime("%z"), "+05:30")
+        if "%Z" in fmt:
+            text = when.strftime(fmt.replace("%Z", random.choice(["UTC", "GMT", "utc"])))
+        change = random.random()
+        if change < 0.15:
+            text = text.upper()
+        elif change < 0.3:
+            place = random.randrange(len(text))
+            text = text[:place] + random.choice("0x 7") + text[place + 1 :]
+        elif change < 0.4:
+            text = text.rstrip("0")
+        cells_of.append(text)
+    with settings(spark, {"spark.sql.session.timeZone": zone}):
+        df = clean.parse_dates(texts(spark, cells_of), "c", fmt)
+        wanted = [strptime(text, fmt) for text in cells_of]
+        assert sum(w is not None for w in wanted) > 60 or "%Z" in fmt
+        assert values(df) == wanted
+        left = [t or None for t, w in zip(cells_of, wanted) if w is None]
+        assert [v for v, w in zip(values(df, "c_unparsed"), wanted) if w is None] == left
+
+
+def test_unread_date_directives(spark):
+    for fmt in ("%f %Q", "%f %f", "%c %f"):
+        with pytest.raises(ValueError):
+            clean.parse_dates(texts(spark, ["x"]), "c", fmt)
+
+
 # Tables
 
 
@@ -406,6 +460,45 @@ def test_python_rules_after_each_other(spark):
     assert values(done, "_rule_errors") == [[], ["c (lookup): KeyError: 'B1'"]]
 
 
+def test_batch_rules_equal_rules_for_cells(spark):
+    import pyarrow.compute as pc
+
+    cells_of = [str(i) if i % 37 else "x" for i in range(3000)] + [None, "", "7.5"]
+    df = texts(spark, cells_of).repartition(3)
+
+    def doubled(cells):
+        return pc.multiply(pc.cast(cells, "int64"), 2)
+
+    single = clean.apply_rules(df, [clean.python_rule("c", lambda s: None if s is None else 2 * int(s), "bigint")])
+    batch = clean.apply_rules(df, [clean.batch_rule("c", doubled, "bigint")])
+    assert batch.dtypes == single.dtypes
+    assert values(batch) == values(single)
+    assert values(batch, "c_unparsed") == values(single, "c_unparsed")
+    errors = [e[0] if e else None for e in values(batch, clean.ERRORS)]
+    assert [e is not None for e in errors] == [bool(e) for e in values(single, clean.ERRORS)]
+    assert errors[0].startswith("c: ArrowInvalid")
+
+
+def test_batch_rules_of_other_forms(spark):
+    df = texts(spark, ["a", "bb", None, "skip", "ccc"])
+    by_pandas = clean.batch_rule("c", lambda a: a.to_pandas().str.len(), "double",
+                                 condition=lambda a: [v != "skip" for v in a.to_pylist()])
+    done = clean.apply_rules(df, [by_pandas])
+    assert values(done) == [1.0, 2.0, None, None, 3.0]
+    assert values(done, "c_unparsed") == [None, None, None, "skip", None]
+    short = clean.apply_rules(df, [clean.batch_rule("c", lambda a: a.to_pylist()[1:], "string")])
+    assert values(short) == ["a", "bb", None, "skip", "ccc"]
+    assert "0 values for 1 cells" in values(short, clean.ERRORS)[0][0]
+    none = clean.apply_rules(df, [clean.batch_rule("c", lambda a: a, "string", condition=lambda a: [False] * len(a))])
+    assert values(none) == ["a", "bb", None, "skip", "ccc"]
+    assert clean.apply_rules(df.where("false"), [by_pandas]).count() == 0
+    with pytest.raises(Exception, match="broken condition"):
+        def condition(array):
+            raise ValueError("broken condition")
+
+        clean.apply_rules(df, [clean.batch_rule("c", lambda a: a, "string", condition=condition)]).collect()
+
+
 def test_condition_errors_fail_the_job(spark):
     rule = clean.python_rule("c", str, "string", condition=lambda s: s > 1)
     with pytest.raises(Exception, match="TypeError"):

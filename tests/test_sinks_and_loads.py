@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom import Catalog
-from skyloom.operators.profile import column_profile, table_profile
+from skyloom.operators.profile import column_profile, column_sketches, merged_profile, table_profile
 from skyloom.plans import datasets, discoveries
 from skyloom.plans.load import Loader
 from skyloom.sinks import writers
@@ -280,3 +280,30 @@ def test_shared_folder(spark, tmp_path):
     assert rows(table) == [(0,), (1,), (2,)] and os.path.isdir(table.written_to)
     discard(table)
     assert not os.path.exists(table.written_to)
+
+
+def test_profiles_of_loads_are_merged(spark, tmp_path):
+    def load(low, high):
+        rows = spark.range(low, high, numPartitions=3)
+        return rows.select(
+            F.col("id").alias("whole"), (F.col("id") % 1000).cast("string").alias("text"),
+            F.when(F.col("id") % 4 > 0, F.col("id") / 2).alias("half"), F.lit(None).cast("double").alias("none"),
+            F.array("id").alias("list"), F.lit(float("nan")).alias("nan"),
+        )
+
+    for i, (low, high) in enumerate([(0, 20000), (10000, 30000), (5, 5)]):
+        column_sketches(load(low, high)).write.parquet(str(tmp_path / f"load={i}"))
+    stored = spark.read.parquet(str(tmp_path))
+    found = {r["column_name"]: r for r in merged_profile(stored, [0.0, 0.5, 1.0]).collect()}
+    assert [found[n]["position"] for n in ("whole", "text", "half", "none", "list", "nan")] == list(range(6))
+    assert {(r["rows"]) for r in found.values()} == {40000}
+    assert {n: r["nulls"] for n, r in found.items()} == {
+        "whole": 0, "text": 0, "half": 10000, "none": 40000, "list": 0, "nan": 0}
+    for name, exact in (("whole", 30000), ("text", 1000), ("half", 22500), ("none", 0), ("list", 30000), ("nan", 1)):
+        assert abs(found[name]["approx_distinct"] - exact) <= 0.05 * exact
+    assert found["text"]["quantiles"] is found["none"]["quantiles"] is found["nan"]["quantiles"] is None
+    low, middle, high = found["whole"]["quantiles"]
+    assert (low, high) == (0.0, 29999.0) and abs(middle - 15000) < 1200
+    whole = {r["column_name"]: r for r in merged_profile(column_sketches(load(0, 20000).unionByName(load(10000, 30000)))).collect()}
+    assert whole["whole"]["rows"] == 40000 and whole["text"]["approx_distinct"] == found["text"]["approx_distinct"]
+    assert merged_profile(stored.where("false")).count() == 0
