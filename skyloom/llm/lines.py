@@ -34,7 +34,11 @@ def line_hash(line: str, min_chars: int) -> bytes | None:
 def repeated_lines(
     docs: DataFrame, min_docs: int = 3, min_chars: int = 20, batches: int = 4, fanout: int = 2
 ) -> DataFrame:
-    """``doc, keys``: for each document the keys of the lines it has to give up."""
+    """``doc, part, keys``: for each text of a document the keys of the lines it has to give up.
+
+    ``part`` is a hash of the text: an id with very many rows has a list for each of its texts, none
+    longer than the text.
+    """
     lines = _line_table(docs, min_chars, batches)
     runs = LineRuns(min_docs, fanout)
     for number in range(batches):
@@ -43,7 +47,7 @@ def repeated_lines(
         lines.drop("batch")
         .join(runs.settled(), "key")
         .where(F.col("doc") < F.col("last_doc"))
-        .groupBy("doc")
+        .groupBy("doc", "part")
         .agg(F.collect_set("key").alias("keys"))
     )
     doomed = written(doomed, "lines-doomed")
@@ -101,7 +105,7 @@ def _merged(runs: list[DataFrame]) -> DataFrame:
 
 
 def _line_table(docs: DataFrame, min_chars: int, batches: int) -> DataFrame:
-    """``key, doc, batch``: a document's distinct line keys; batch 0 has the largest ids."""
+    """``key, doc, part, batch``: a text's distinct line keys; batch 0 has the largest ids."""
     spark = docs.sparkSession
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc")
     shares = [(batches - i) / batches for i in range(1, batches)]
@@ -113,18 +117,21 @@ def _line_table(docs: DataFrame, min_chars: int, batches: int) -> DataFrame:
     def keys(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found, owners = [], []
-            for owner, text in zip(part["doc"].to_pylist(), part["text"].to_pylist()):
+            for row, text in enumerate(part["text"].to_pylist()):
                 own = {line_hash(line, min_chars) for line in (text or "").split("\n")} - {None}
                 found.extend(own)
-                owners.extend([owner] * len(own))
+                owners.extend([row] * len(own))
+            owners = pa.array(owners, pa.int64())
             yield pa.record_batch(
-                [pa.array(found, pa.binary()), pa.array(owners, pa.int64())], ["key", "doc"]
+                [pa.array(found, pa.binary()), part["doc"].take(owners), part["part"].take(owners)],
+                ["key", "doc", "part"],
             )
 
-    lines = docs.select(doc, F.col("text")).mapInArrow(keys, "key binary, doc long")
+    lines = docs.select(doc, F.xxhash64("text").alias("part"), F.col("text"))
+    lines = lines.mapInArrow(keys, "key binary, doc long, part long")
     path = scratch_path(spark, "lines")
     lines.withColumn("batch", batch).write.partitionBy("batch").parquet(path)
-    table = spark.read.schema("key binary, doc long, batch int").parquet(path)
+    table = spark.read.schema("key binary, doc long, part long, batch int").parquet(path)
     table.written_to = path
     return table
 
@@ -165,7 +172,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, **runs)
     # Repeated keys make the files of these lists far smaller than the lists, so their size on disk
     # is no ground for sending them to all executors.
     doomed = doomed.hint("merge")
-    joined = docs.alias("d").join(doomed.alias("x"), doc == F.col("x.doc"), "left")
+    own = (doc == F.col("x.doc")) & (F.xxhash64("d.text") == F.col("x.part"))
+    joined = docs.alias("d").join(doomed.alias("x"), own, "left")
     result = free_name("cut", passed)
     done = joined.select(
         *(F.col(f"d.`{c}`") for c in passed), cut(F.col("d.text"), F.col("x.keys")).alias(result)

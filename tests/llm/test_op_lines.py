@@ -43,6 +43,18 @@ def test_levels(spark):
     assert settled == {b"key2": 100, b"key3": 100}
 
 
+def test_many_rows_of_one_id(spark):
+    """A third of the rows without an id, a third with the same one."""
+    rows = []
+    for i in range(60):
+        text = "\n".join([f"a line of row number {i} alone, quite long"] + [
+            f"line that is in every {k}th row of the table" for k in range(1, 12) if i % k == 0])
+        rows.append((None if i % 3 == 0 else 7 if i % 3 == 1 else i, text))
+    check(spark, rows + rows[:9])
+    lists = lines.repeated_lines(documents(spark, rows).select("doc_id", "text")).collect()
+    assert len(lists) > 30 and max(len(r["keys"]) for r in lists) <= 11
+
+
 def test_empty_table(spark):
     assert lines.dedup_lines(documents(spark, [])).count() == 0
 
