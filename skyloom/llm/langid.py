@@ -213,23 +213,31 @@ def _floors(
         .groupBy("lang", "draw", "size")  # an id is drawn once, however often it is there
         .agg(F.min(F.struct("cosine", "letters", "runs")).alias("least"))
         .select("lang", "size", "least.*")
-        .collect()
     )
+    # The driver gets a row for each language and size.
+    long = F.when(F.col("letters") >= LEAST_LETTERS, F.col("runs"))
+    spread = {
+        (r["lang"], r["size"]): r
+        for r in rows.groupBy("lang", "size")
+        .agg(
+            F.percentile("cosine", 0.01).alias("first"),
+            F.percentile("cosine", 0.05).alias("fifth"),
+            F.percentile(long, 0.01).alias("runs"),
+        )
+        .collect()
+    }
     floors = np.zeros((len(languages), len(BEGINNINGS) + 1))
     least = np.zeros(len(languages))
     for k, lang in enumerate(languages):
-        own = [r for r in rows if r["lang"] == lang]
-        top = REJECT_BELOW * np.percentile([r["cosine"] for r in own if not r["size"]], 1)
+        top = REJECT_BELOW * spread[lang, 0]["first"]
         short = 0.0
         for n, size in enumerate(BEGINNINGS, 1):
-            cosines = [r["cosine"] for r in own if r["size"] == size]
-            if cosines:
-                short = max(short, REJECT_SHORT * np.percentile(cosines, 5))
+            if (lang, size) in spread:
+                short = max(short, REJECT_SHORT * spread[lang, size]["fifth"])
             else:
                 short = top  # no sampled text is as long
             floors[k, n] = min(top, short)
-        runs = [r["runs"] for r in own if not r["size"] and r["letters"] >= LEAST_LETTERS]
-        least[k] = REJECT_RUNS * np.percentile(runs, 1) if runs else 0.0
+        least[k] = REJECT_RUNS * (spread[lang, 0]["runs"] or 0.0)
     return floors, least
 
 
