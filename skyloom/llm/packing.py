@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Fixed value: how the byte-level vocabulary splits text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -233,10 +234,9 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    key = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     arrow = pa.schema(
         [
-            ("doc_id", key),
+            ("doc_id", to_arrow_type(docs.schema["doc_id"].dataType)),
             ("start", pa.int64()),
             ("length", pa.int64()),
             ("ids", pa.binary()),
