@@ -83,14 +83,18 @@ def top_products(
         .join(bounds, "block")
         .where(reach >= F.col("floor"))
     )
-    rows = ordered.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    pairs = written(
+        pairs.select("vec_id", "query", "numbers", "floor", "block", "group"), "products-pairs"
+    )
+    # A block is copied to the groups of which a query can reach it, not to all.
+    needed = written(pairs.select("block", "group").distinct(), "products-needed")
+    rows = ordered.join(F.broadcast(needed) if last * groups < 1 << 20 else needed, "block")
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         return _block_top(left, right, turn.value, k)
 
     found = (
-        pairs.select("vec_id", "query", "numbers", "floor", "block", "group")
-        .groupBy("block", "group")
+        pairs.groupBy("block", "group")
         .cogroup(
             rows.select("vec_id", "numbers", "length", "block", "group").groupBy("block", "group")
         )
@@ -104,7 +108,7 @@ def top_products(
         .select("query_id", "rank", "vec_id", "score")
     )
     found = written(found, "top-products")
-    discard(own, ordered, asked, bounds)
+    discard(own, ordered, asked, bounds, pairs, needed)
     return found
 
 
