@@ -29,8 +29,8 @@ from skyloom.storage import discard, written
 
 #: A bucket is searched in blocks of about so many classes; classes a bucket has on average.
 BLOCK, BUCKET = 1024, 64
-#: Standard errors by which an estimate may miss: beyond, a pair is not worked out.
-ERRORS = 4.5
+#: Steps into which the largest number of a vector and the length of a hyperplane are divided.
+STEPS = 1 << 20
 #: Up to so many crowded buckets are sent to all executors (12 bytes each).
 BROADCAST_BUCKETS = 1_000_000
 
@@ -47,7 +47,21 @@ def rotation(size: int, number: int) -> np.ndarray:
 def hyperplanes(size: int, count: int) -> np.ndarray:
     """The first ``count`` columns of as many rotations as it takes."""
     each = [rotation(size, 1 + k) for k in range(-(-count // size))]
-    return np.concatenate(each, axis=1)[:, :count]
+    return np.rint(np.concatenate(each, axis=1)[:, :count] * STEPS)
+
+
+def bucket_keys(vectors: np.ndarray, signs: int, rotations: int) -> np.ndarray:
+    """The vectors' bucket keys under the first ``rotations`` rotations.
+
+    Vectors and hyperplanes are rounded to whole numbers, whose products doubles hold exactly. So a
+    vector has the same keys in whatever block they are worked out, and they need not travel with it.
+    """
+    size = vectors.shape[1]
+    whole = np.rint(vectors / np.abs(vectors).max(axis=1, keepdims=True) * STEPS)
+    above = whole @ hyperplanes(size, signs * rotations) > 0
+    bits = above.reshape(len(vectors), rotations, signs) @ (1 << np.arange(signs, dtype=np.int64))
+    salt = np.arange(rotations, dtype=np.uint64) + np.uint64(size << 20)
+    return mix(bits.astype(np.uint64) ^ mix(salt * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
 
 
 def codes_of(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,15 +72,16 @@ def codes_of(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def estimates(
-    codes: np.ndarray, factors: np.ndarray, units: np.ndarray
+    codes: np.ndarray, factors: np.ndarray, units: np.ndarray, errors: float = 4.5
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Unbiased estimates of the cosines of coded vectors with others, and the error bounds."""
+    """Unbiased estimates of the cosines of coded vectors with others, and the bounds of their
+    errors: so many standard errors."""
     size = units.shape[1]
     signs = np.unpackbits(codes, axis=1, count=size).astype(np.float32) * 2 - 1
     turned = (units @ rotation(size, 0)).astype(np.float32)
     scale = (factors * math.sqrt(size)).astype(np.float32)
     spread = np.sqrt(np.maximum(1 - factors**2, 0)) / factors / math.sqrt(max(size - 1, 1))
-    return signs @ turned.T / scale[:, None], ERRORS * spread + 1e-5
+    return signs @ turned.T / scale[:, None], errors * (spread + 1e-9) + 1e-5
 
 
 def layout(classes: int, threshold: float, recall: float) -> tuple[int, int]:
@@ -80,6 +95,7 @@ def near_vectors(
     vectors: DataFrame,
     threshold: float = 0.9,
     recall: float = 0.99,
+    errors: float = 4.5,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
 ) -> DataFrame:
@@ -87,7 +103,10 @@ def near_vectors(
 
     Two vectors of the same length are linked if their cosine in double precision is at least
     ``threshold``; every reported link was worked out. A pair at the threshold is found with
-    probability ``recall``, a closer pair more surely, an equal pair always. ``n_links`` counts the
+    probability ``recall``, a closer pair more surely, an equal pair always. Of the pairs that share a
+    bucket those are worked out whose estimate is at most ``errors`` standard errors below the
+    threshold: 4.5 leave out fewer than 4 in a million linked pairs of a bucket, ``math.inf`` none,
+    and then each such pair is worked out. ``n_links`` counts the
     other vectors linked directly, ``component_id`` is the smallest id reachable, ``kept`` whether
     that is the vector's own.
 
@@ -115,7 +134,7 @@ def near_vectors(
         "vector-crowded",
     )
     sent = F.broadcast(crowded) if crowded.count() <= BROADCAST_BUCKETS else crowded
-    found = written(_search(keyed, sent, kind, threshold), "vector-links")
+    found = written(_search(keyed, sent, kind, threshold, signs, errors), "vector-links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     owners = coded.join(classes.select("vector", "rep", "weight"), "vector", "left")
     owners = owners.select("vec_id", "rep", "weight")
@@ -179,18 +198,14 @@ def _keyed(classes: DataFrame, kind: str, signs: int, rotations: int) -> DataFra
     """The classes with code, correction factor and the bucket keys under every rotation."""
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = np.int64(1) << np.arange(signs, dtype=np.int64)
         for batch in batches:
             table = pa.Table.from_batches([batch])
             lengths = pa.compute.binary_length(batch["vector"])
             for length in lengths.unique().to_pylist():
                 own = table.filter(pa.compute.equal(lengths, length)).combine_chunks()
-                units = _units(_unpacked(own["vector"].combine_chunks(), kind))
-                codes, factors = codes_of(units)
-                above = units @ hyperplanes(units.shape[1], signs * rotations) > 0
-                bits = above.reshape(len(units), rotations, signs) @ powers
-                salt = np.arange(rotations, dtype=np.uint64) + np.uint64(length << 20)
-                keys = mix(bits.astype(np.uint64) ^ mix(salt * np.uint64(0x9E3779B97F4A7C15)))
+                vectors = _unpacked(own["vector"].combine_chunks(), kind)
+                codes, factors = codes_of(_units(vectors))
+                keys = bucket_keys(vectors, signs, rotations)
                 yield pa.record_batch(
                     [
                         own["rep"].combine_chunks(),
@@ -199,8 +214,8 @@ def _keyed(classes: DataFrame, kind: str, signs: int, rotations: int) -> DataFra
                         pa.array([c.tobytes() for c in codes], pa.binary()),
                         pa.array(factors),
                         pa.ListArray.from_arrays(
-                            np.arange(len(units) + 1, dtype=np.int32) * rotations,
-                            keys.view(np.int64).reshape(-1),
+                            np.arange(len(vectors) + 1, dtype=np.int32) * rotations,
+                            keys.reshape(-1),
                         ),
                     ],
                     ["rep", "weight", "vector", "code", "factor", "keys"],
@@ -212,10 +227,14 @@ def _keyed(classes: DataFrame, kind: str, signs: int, rotations: int) -> DataFra
     )
 
 
-def _search(keyed: DataFrame, crowded: DataFrame, kind: str, threshold: float) -> DataFrame:
+def _search(
+    keyed: DataFrame, crowded: DataFrame, kind: str, threshold: float, signs: int, errors: float
+) -> DataFrame:
     """``rep, links, root`` of the vectors with links in a block: their number, weighted, and the
     smallest id that they lead to there. Crowded buckets are cut into pairs of chunks."""
-    rows = keyed.withColumn("bucket", F.explode("keys")).join(crowded, "bucket", "left")
+    rows = keyed.select(
+        "rep", "weight", "vector", "code", "factor", F.posexplode("keys").alias("number", "bucket")
+    ).join(crowded, "bucket", "left")
     chunks = F.coalesce("chunks", F.lit(1))
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("vector"), chunks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
@@ -231,7 +250,7 @@ def _search(keyed: DataFrame, crowded: DataFrame, kind: str, threshold: float) -
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in sorted_groups(batches, keys):
             if block.num_rows > 1:
-                reps, links, roots = block_links(block, kind, threshold)
+                reps, links, roots = block_links(block, kind, threshold, signs, errors)
                 if len(reps):
                     yield pa.record_batch(
                         [pa.array(reps), pa.array(links), pa.array(roots)],
@@ -242,29 +261,34 @@ def _search(keyed: DataFrame, crowded: DataFrame, kind: str, threshold: float) -
 
 
 def block_links(
-    block: pa.Table, kind: str, threshold: float
+    block: pa.Table, kind: str, threshold: float, signs: int, errors: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, weighted numbers of links and smallest ids reached, of a block's linked vectors."""
+    """Ids, weighted numbers of links and smallest ids reached, of a block's linked vectors. Pairs
+    that share the bucket of an earlier rotation are left to that one."""
     reps, weights = block["rep"].to_numpy(), block["weight"].to_numpy()
     chunk = block["chunk"].to_numpy()
-    keys = block["keys"].combine_chunks().flatten().to_numpy().reshape(len(reps), -1)
-    table = int(np.flatnonzero(keys[0] == block["bucket"][0].as_py())[0])
+    earlier = block["number"][0].as_py()
     vectors = _unpacked(block["vector"].combine_chunks(), kind)
     units = _units(vectors)
     codes = np.frombuffer(b"".join(block["code"].to_pylist()), np.uint8).reshape(len(reps), -1)
-    cosines, errors = estimates(codes, block["factor"].to_numpy(), units)
-    able = np.triu(cosines + errors[:, None] >= threshold, 1)
+    cosines, bounds = estimates(codes, block["factor"].to_numpy(), units, errors)
+    able = np.triu(cosines + bounds[:, None] >= threshold, 1)
     if block["x"][0].as_py() != block["y"][0].as_py():
         able &= chunk[:, None] != chunk[None, :]
     first, second = np.nonzero(able)
     linked = np.zeros(len(first), bool)
     for begin in range(0, len(first), 1 << 16):
         i, j = first[begin : begin + (1 << 16)], second[begin : begin + (1 << 16)]
-        near = np.einsum("ij,ij->i", units[i], units[j]) >= threshold
-        if table:
-            near &= ~(keys[i, :table] == keys[j, :table]).any(axis=1)
-        linked[begin : begin + (1 << 16)] = near
+        linked[begin : begin + (1 << 16)] = np.einsum("ij,ij->i", units[i], units[j]) >= threshold
     first, second = first[linked], second[linked]
+    if earlier and len(first):
+        some, at = np.unique(np.concatenate([first, second]), return_inverse=True)
+        keys = bucket_keys(vectors[some], signs, earlier)
+        left, right = at[: len(first)], at[len(first) :]
+        new = np.ones(len(first), bool)
+        for number in range(earlier):
+            new &= keys[left, number] != keys[right, number]
+        first, second = first[new], second[new]
     links = np.zeros(len(reps), np.int64)
     np.add.at(links, first, weights[second])
     np.add.at(links, second, weights[first])

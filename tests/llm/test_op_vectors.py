@@ -1,4 +1,5 @@
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -117,6 +118,36 @@ def test_estimates_are_unbiased_and_bounded():
     assert (np.abs(miss) <= errors[:, None]).mean() > 0.9999
 
 
+def test_all_pairs_of_a_bucket_worked_out(spark):
+    rows = clusters(8, groups=5)
+    one, other = (
+        sorted(map(tuple, neighbours.near_vectors(table(spark, rows), errors=e).collect()))
+        for e in (4.5, math.inf)
+    )
+    assert one == other
+    found, errors = neighbours.estimates(*neighbours.codes_of(np.eye(4)), np.eye(4), math.inf)
+    assert np.isfinite(found).all() and np.isinf(errors).all()
+
+
+def test_keys_are_the_same_in_every_block():
+    vectors = np.random.default_rng(3).standard_normal((500, 70)).astype(np.float32).astype(float)
+    vectors *= np.logspace(-30, 30, 500)[:, None]
+    keys = neighbours.bucket_keys(vectors, 9, 17)
+    for some in (slice(0, 1), slice(3, 8), slice(100, 401, 7)):
+        assert (neighbours.bucket_keys(vectors[some], 9, 5) == keys[some, :5]).all()
+
+
+def test_keys_do_not_travel(spark):
+    coded = neighbours._coded(table(spark, clusters(1)), "vec_id", "embedding")
+    classes = coded.selectExpr("vec_id AS rep", "1L AS weight", "vector")
+    keyed = neighbours._keyed(classes, "<f4", 4, 5)
+    crowded = spark.createDataFrame([], "bucket long, chunks int")
+    found = neighbours._search(keyed, crowded, "<f4", 0.9, 4, 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    carried = re.search(r"Generate posexplode\(keys#\d+\), \[([^\]]*)\]", plan)[1]
+    assert "vector#" in carried and "keys#" not in carried
+
+
 def test_empty_tables(spark):
     assert neighbours.near_vectors(table(spark, [])).count() == 0
     assert topk.top_products(table(spark, []), table(spark, [])).count() == 0
