@@ -8,6 +8,8 @@
 3. Buckets that still hold members of different components are searched in full, in blocks of
    bounded size inside tasks: pairs of one component are skipped, a pair is looked at only in the
    first bucket that it shares, and what leaves a task is a spanning forest of the links found.
+   A component that fills blocks of its own meets the others' blocks only, so a large group of near
+   copies with a few strangers in its bucket costs as many copies of sets as there are strangers.
 4. The links' connected components are the groups.
 """
 
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm import shingles
@@ -68,7 +70,7 @@ def near_duplicates(
     )
     links = written(_confirmed(stars.distinct(), sets, percent), "minhash-links")
     known = components(links)
-    more = written(_within_buckets(members, classes, sets, known, percent), "minhash-links")
+    more = _within_buckets(members, classes, sets, known, percent)
     copies = (
         signed.join(classes.select("class", "rep"), "class")
         .where("doc_id <> rep")
@@ -173,7 +175,7 @@ def _within_buckets(
     # Sent to all executors at small sizes only, this would hide what the join costs at others.
     known = known.select(F.col("node").alias("rep"), "component").hint("merge")
     placed = members.join(known, "rep", "left").select(
-        "bucket", "rep", "class", "members", F.coalesce("component", "rep").alias("component")
+        "bucket", "rep", "class", F.coalesce("component", "rep").alias("component")
     )
     divided = (
         placed.groupBy("bucket")
@@ -181,11 +183,19 @@ def _within_buckets(
         .where("low < high")
         .select("bucket")
     )
-    rows = placed.join(divided, "bucket").join(classes.select("class", "bands"), "class")
-    chunks = F.ceil(F.col("members") / BLOCK).cast("int")
-    chunk = F.pmod(F.xxhash64("class"), chunks).cast("int")
+    placed = written(placed.join(divided, "bucket"), "minhash-divided")
+    rows = placed.join(_chunks(placed).hint("merge"), ["bucket", "component"]).join(
+        classes.select("class", "bands"), "class"
+    )
+    chunk = F.col("first") + F.pmod(F.xxhash64("class"), F.col("own")).cast("int")
     rows = rows.withColumn("chunk", chunk).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), chunks - 1))
+        "other",
+        F.explode(
+            F.filter(
+                F.sequence(F.lit(0), F.col("chunks") - 1),
+                lambda c: ~F.col("alone") | (c < F.col("first")) | (c >= F.col("first") + F.col("own")),
+            )
+        ),
     )
     keys = ["bucket", "x", "y"]
     rows = (
@@ -205,7 +215,39 @@ def _within_buckets(
                     [pa.array(side, pa.int64()) for side in zip(*links)], ["a", "b"]
                 )
 
-    return rows.mapInArrow(search, "a long, b long").distinct()
+    links = written(rows.mapInArrow(search, "a long, b long").distinct(), "minhash-links")
+    discard(placed)
+    return links
+
+
+def _chunks(placed: DataFrame) -> DataFrame:
+    """``bucket, component, alone, first, own, chunks``: where the components of a bucket go. Those
+    of more than ``BLOCK`` members are ``alone`` in ``own`` chunks from ``first`` on, the others
+    share the first chunks; ``chunks`` counts all of the bucket."""
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    sizes = sizes.withColumn("alone", F.col("size") > BLOCK)
+    blocks = F.ceil(F.col("size") / BLOCK)
+    whole = sizes.groupBy("bucket").agg(
+        F.ceil(F.sum(F.when(F.col("alone"), 0).otherwise(F.col("size"))) / BLOCK).alias("shared"),
+        F.sum(F.when(F.col("alone"), blocks).otherwise(0)).alias("more"),
+    )
+    own = F.when(F.col("alone"), blocks).otherwise(F.col("shared")).cast("int")
+    # Large components only are numbered: a row for at least BLOCK members.
+    before = Window.partitionBy("bucket").orderBy("component").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    numbered = sizes.where("alone").select(
+        "bucket", "component", F.coalesce(F.sum(blocks).over(before), F.lit(0)).alias("earlier")
+    )
+    first = F.when(F.col("alone"), F.col("shared") + F.col("earlier")).otherwise(0).cast("int")
+    return (
+        sizes.join(whole.hint("merge"), "bucket")
+        .join(numbered.hint("merge"), ["bucket", "component"], "left")
+        .select(
+            "bucket", "component", "alone", first.alias("first"), own.alias("own"),
+            (F.col("shared") + F.col("more")).cast("int").alias("chunks"),
+        )
+    )
 
 
 def block_links(block: pa.Table, percent: int) -> list[tuple[int, int]]:

@@ -45,6 +45,31 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     check(spark, list(enumerate(edited_copies(50, words=40, share=0.3))))
 
 
+def test_large_components_meet_other_blocks_only(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    sizes = {("b", 1): 40, ("b", 50): 3, ("b", 60): 2, ("b", 70): 9, ("d", 1): 6, ("d", 9): 5}
+    rows = [(bucket, component) for (bucket, component), n in sizes.items() for _ in range(n)]
+    found = minhash._chunks(spark.createDataFrame(rows, "bucket string, component long")).collect()
+    # Shared chunks first, then those of each large component.
+    assert sorted(map(tuple, found)) == [
+        ("b", 1, True, 2, 10, 15), ("b", 50, False, 0, 2, 15), ("b", 60, False, 0, 2, 15),
+        ("b", 70, True, 12, 3, 15), ("d", 1, True, 0, 2, 4), ("d", 9, True, 2, 2, 4),
+    ]
+
+
+@pytest.mark.parametrize("block", [2, 3, 8])
+def test_strangers_in_the_bucket_of_a_large_group(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    # Groups that share most of their shingles: buckets hold several large components and strangers.
+    base = edited_copies(1, words=60)[0].split()
+    texts = []
+    for group, size in enumerate([30, 20, 1, 1, 2]):
+        own = base[:50] + [f"g{group}w{i}" for i in range(15)]
+        texts += [" ".join(own + [f"tail{group}x{i}"]) for i in range(size)]
+    random.Random(block).shuffle(texts)
+    check(spark, list(enumerate(texts)))
+
+
 def test_an_id_with_several_texts_links_through_any(spark):
     a, b = edited_copies(1)[0], edited_copies(1, seed=9)[0]
     found = answers(minhash.near_duplicates(documents(spark, [(1, a), (5, a), (5, b), (7, b)])))
