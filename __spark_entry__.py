@@ -805,13 +805,15 @@ def _(df):
 @on_view(
     "format_coords",
     "v_ps",
-    "SELECT pl_name, format('{:.6f}', ra) AS ra_text, format('{:.3f}', dec) AS dec_text FROM v_ps",
+    "SELECT pl_name, format('{:.6f}', ra) AS ra_text, format('{:.3f}', dec) AS dec_text,"
+    " format('{:.4f}', ra * 1000003.7e0) AS wide_text FROM v_ps",
 )
 def _(df):
     return df.select(
         "pl_name",
         cells.format_coordinate(F.col("ra")).alias("ra_text"),
         cells.format_coordinate(F.col("dec"), 3).alias("dec_text"),
+        cells.format_coordinate(F.col("ra") * F.lit(1000003.7), 4).alias("wide_text"),
     )
 
 

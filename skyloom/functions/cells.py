@@ -182,27 +182,33 @@ def format_coordinate(c: Column, precision: int = 6) -> Column:
     """Fixed decimals as text, correctly rounded from the exact binary value.
 
     ``format_string`` rounds the shortest decimal form instead, which differs on values such
-    as 2.675. Here the product with the power of ten is split into a rounded part and its
-    exact error, and the error settles the ties. Numbers beyond a million and NaN, which are no
-    coordinates, are left to ``format_string``.
+    as 2.675. Here the part behind the point is taken off, which is exact, its product with the
+    power of ten is split into a rounded part and its exact error, and the error settles the ties.
+    Numbers from 2**63 on have nothing to round; they, NaN and infinities are written by
+    ``format_string``, with zeros after the 17th digit. ``precision`` is 0 to 9.
     """
     if not 0 <= precision <= 9:
         raise ValueError(f"precision out of range: {precision}")
     x = c.cast("double")
-    size, scale = F.when(F.abs(x) < 1e6, F.abs(x)), 10.0**precision
-    product = size * scale
-    nearest = F.rint(product)
-    # The split into two halves of 26 bits makes both partial products exact.
-    high = size * 134217729.0 - (size * 134217729.0 - size)
-    error = (high * scale - product) + (size - high) * scale
-    # On a tie of the rounded product, the exact value lies on the side of the error.
-    missed = (F.abs(product - nearest) == 0.5) & ((product - nearest) * error > 0)
-    units = (nearest + F.when(missed, F.signum(error)).otherwise(0.0)).cast("bigint")
+    size, scale = F.when(F.abs(x) < 2.0**63, F.abs(x)), 10.0**precision
     negative = (x < 0) | ((x == 0) & x.cast("string").startswith("-"))
-    parts = [F.when(negative, "-").otherwise(""), F.floor(units / scale).cast("string")]
+    parts = [F.when(negative, "-").otherwise("")]
     if precision:
+        whole = F.floor(size)
+        behind = size - whole
+        product = behind * scale
+        nearest = F.rint(product)
+        # The split into two halves of 26 bits makes both partial products exact.
+        high = behind * 134217729.0 - (behind * 134217729.0 - behind)
+        error = (high * scale - product) + (behind - high) * scale
+        # On a tie of the rounded product, the exact value lies on the side of the error.
+        missed = (F.abs(product - nearest) == 0.5) & ((product - nearest) * error > 0)
+        units = (nearest + F.when(missed, F.signum(error)).otherwise(0.0)).cast("bigint")
         decimals = (units % 10**precision).cast("string")
-        parts += [F.lit("."), F.lpad(decimals, precision, "0")]
+        carried = whole + F.when(units == 10**precision, 1).otherwise(0)
+        parts += [carried.cast("string"), F.lit("."), F.lpad(decimals, precision, "0")]
+    else:
+        parts.append(F.rint(size).cast("bigint").cast("string"))
     other = F.when(x.isNotNull(), F.format_string(f"%.{precision}f", x))
     return F.coalesce(F.concat(*parts), other)
 

@@ -79,6 +79,11 @@ def test_coordinate_text_is_correctly_rounded(spark, precision):
     numbers += [generator.uniform(-360, 360) for _ in range(2000)]
     numbers += [generator.randrange(-(10**6), 10**6) / 2**k for k in range(1, 24) for _ in range(40)]
     numbers += [round(generator.uniform(0, 360), precision) + 0.5 / 10**precision for _ in range(1500)]
+    # One rule for numbers of all sizes, up to those that have nothing behind the point.
+    numbers += [1e6, 1000000.0000005, 1000000.5, 1000001.5, 2.0**52 + 0.5, 2.0**53 + 2, -(2.0**62)]
+    numbers += [generator.uniform(-1, 1) * 10 ** generator.uniform(6, 18.9) for _ in range(1500)]
+    numbers += [generator.randrange(10**6, 2**40) + j / 2**k for k in range(1, 12) for j in (1, 3, 2**k - 1)]
+    numbers += [10.0**k - 10.0 ** (k - 15) for k in range(6, 16)]
     df = spark.createDataFrame(list(enumerate(numbers)), "i int, c double")
     expected = [f"{x:.{precision}f}" for x in numbers]
     mine = column(df, cells.format_coordinate(F.col("c"), precision))
