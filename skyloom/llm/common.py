@@ -83,23 +83,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``node, component``: the smallest node reachable, for every node of an edge in ``a, b``.
 
     Large-star and small-star rounds: every node hands its neighbours to its smallest one until
-    each component is a star. A round is two aggregations and two joins by node; minima are
-    combined before the shuffle and a hub's edges are spread by the skew join. Rounds grow with
-    the logarithm of the longest path. Every round is written to the shared folder, so a lost
-    executor costs one round, and discarded after the next. Loops and repeated edges are harmless, an
-    empty table gives none.
+    each component is a star, which one aggregation by node tells. A round is two aggregations and
+    two joins by node; minima are combined before the shuffle and a hub's edges are spread by the
+    skew join. Rounds grow with the logarithm of the longest path. Every round is written to the
+    shared folder, so a lost executor costs one round, and discarded after the next. Loops and
+    repeated edges are harmless, an empty table gives none.
     """
     links = edges.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
     )
-    links, before = written(links.distinct(), "links"), None
+    links = written(links.distinct(), "links")
     for _ in range(max_rounds):
-        now = links.agg(
-            F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))
-        ).first()
-        if now[0] == 0 or now == before:
+        if _all_stars(links):
             break
-        before, links = now, _star_round(links)
+        links = _star_round(links)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     members = links.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
@@ -109,6 +106,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return found
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every node is either linked with one smaller node, or with larger ones only."""
+    ends = links.select(F.col("hi").alias("node"), F.lit(1).alias("upper")).unionByName(
+        links.select(F.col("lo").alias("node"), F.lit(0).alias("upper"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("upper").alias("upper"), F.count("*").alias("ends"))
+    return nodes.where("upper > 0 AND ends > 1").isEmpty()
+
+
 def _star_round(links: DataFrame) -> DataFrame:
     """First every larger neighbour of a node is linked with the node's smallest neighbour or itself,
     then a node and its smaller neighbours with the smallest of them.

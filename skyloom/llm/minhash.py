@@ -10,7 +10,8 @@
    first bucket that it shares, and what leaves a task is a spanning forest of the links found.
    A component that fills blocks of its own meets the others' blocks only, so a large group of near
    copies with a few strangers in its bucket costs as many copies of sets as there are strangers.
-4. The links' connected components are the groups.
+4. The links' connected components are the groups. Links of step 3 join components of step 2, so
+   only a graph of those components is left to settle.
 """
 
 from __future__ import annotations
@@ -69,17 +70,23 @@ def near_duplicates(
         "rep", "class", F.col("pivot.rep").alias("pivot"), F.col("pivot.class").alias("pivot_class")
     )
     links = written(_confirmed(stars.distinct(), sets, percent), "minhash-links")
-    known = components(links)
-    more = _within_buckets(members, classes, sets, known, percent)
     copies = (
         signed.join(classes.select("class", "rep"), "class")
         .where("doc_id <> rep")
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     )
-    groups = components(links.unionByName(more).unionByName(copies))
-    found = signed.select("doc_id", "n_shingles").join(
-        groups.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left"
+    known = components(links.unionByName(copies))
+    more = _within_buckets(members, classes, sets, known, percent)
+    merged = components(more)
+    whole = merged.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    groups = (
+        known.join(whole.hint("merge"), "component", "left")
+        .select("node", F.coalesce("whole", "component").alias("component"))
+        .unionByName(merged)
+        .groupBy(F.col("node").alias("doc_id"))
+        .agg(F.min("component").alias("component"))
     )
+    found = signed.select("doc_id", "n_shingles").join(groups.hint("merge"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     found = found.select(
         "doc_id",
@@ -88,7 +95,7 @@ def near_duplicates(
         (F.col("doc_id") == component).alias("kept"),
     )
     found = written(found, "near-duplicates")
-    discard(signed, classes, members, sets, links, known, more, groups)
+    discard(signed, classes, members, sets, links, known, more, merged)
     return found
 
 
@@ -171,7 +178,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _within_buckets(
     members: DataFrame, classes: DataFrame, sets: DataFrame, known: DataFrame, percent: int
 ) -> DataFrame:
-    """Links ``a, b`` between different known components within a bucket."""
+    """Pairs ``a, b`` of known components that a link within a bucket joins."""
     # Sent to all executors at small sizes only, this would hide what the join costs at others.
     known = known.select(F.col("node").alias("rep"), "component").hint("merge")
     placed = members.join(known, "rep", "left").select(
@@ -202,9 +209,9 @@ def _within_buckets(
         rows.withColumn("x", F.least("chunk", "other"))
         .withColumn("y", F.greatest("chunk", "other"))
         .join(sets, "class")
-        .select(*keys, "chunk", "rep", "component", "bands", "shingles")
+        .select(*keys, "chunk", "class", "component", "bands", "shingles")
         .repartition(*keys)
-        .sortWithinPartitions(*keys, "rep", "class")
+        .sortWithinPartitions(*keys, "class")
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,12 +258,12 @@ def _chunks(placed: DataFrame) -> DataFrame:
 
 
 def block_links(block: pa.Table, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between components among the members of a block."""
+    """Pairs of components, a spanning forest of those that links among a block's members join."""
     count = block.num_rows
     component = block["component"].to_numpy().copy()
     if (component == component[0]).all():
         return []
-    reps, chunk = block["rep"].to_numpy(), block["chunk"].to_numpy()
+    label, chunk = component.copy(), block["chunk"].to_numpy()
     bands = np.array(block["bands"].combine_chunks().flatten()).reshape(count, -1)
     this = int(np.flatnonzero(bands[0] == block["bucket"][0].as_py())[0])
     lists = block["shingles"].combine_chunks()
@@ -289,6 +296,6 @@ def block_links(block: pa.Table, percent: int) -> list[tuple[int, int]]:
         linked = later[100 * common >= percent * (sizes[i] + total - common)]
         for j in linked.tolist():
             if component[j] != component[i]:
-                links.append((int(reps[i]), int(reps[j])))
+                links.append((int(label[i]), int(label[j])))
                 component[component == component[j]] = component[i]
     return links
