@@ -1,7 +1,12 @@
 import base64
+import functools
+import math
 import random
+from collections import Counter
 
+import numpy as np
 from corpus_cases import documents, held_out, odd_texts
+from pyspark.sql import functions as F
 
 from skyloom.llm import langid
 from skyloom.llm.queries import QUERIES
@@ -105,3 +110,120 @@ def test_repeated_and_null_ids_give_one_model_for_any_partitioning(spark):
         done = langid.identify(documents(spark, rows).repartition(parts)).collect()
         found.append(sorted(map(str, ((r["doc_id"], r["lang_pred"], round(r["score"], 5)) for r in done))))
     assert found[0] == found[1] == found[2]
+
+
+def plain_counts(text):
+    """How often a text's n-grams of letters, all else a space, fall into each bucket; runs of letters."""
+    data = [b if b > 127 else b | 32 if chr(b).isalpha() else 32 for b in text.encode()]
+    found = {}
+    for n in langid.ORDERS:
+        for i in range(len(data) - n + 1):
+            code = 0
+            for byte in data[i : i + n]:
+                code = (code * 0x01000193 + byte) % 2**32
+            bucket = (code + n) * 0x9E3779B1 % 2**32 * langid.BUCKETS // 2**32
+            found[bucket] = found.get(bucket, 0) + 1
+    letters = [b != 32 for b in data]
+    begins = sum(now and not before for before, now in zip([False, *letters], letters))
+    return found, sum(letters), sum(letters) / max(begins, 1)
+
+
+def plain_unit(weights):
+    length = math.sqrt(sum(w * w for w in weights.values()))
+    return {k: w / length for k, w in weights.items()}
+
+
+def plain_dot(a, b):
+    return sum(w * b.get(k, 0.0) for k, w in a.items())
+
+
+def plain_centroids(rows):
+    chosen = [0]
+    while len(chosen) < min(langid.CENTROIDS, len(rows)):
+        nearest = [max(plain_dot(r, rows[c]) for c in chosen) for r in rows]
+        chosen.append(nearest.index(min(nearest)))
+    centroids = [rows[c] for c in chosen]
+    for _ in range(langid.ROUNDS):
+        sums = [{} for _ in centroids]
+        for row in rows:
+            cosines = [plain_dot(row, c) for c in centroids]
+            total = sums[cosines.index(max(cosines))]
+            for k, w in row.items():
+                total[k] = total.get(k, 0.0) + w
+        centroids = [plain_unit(s) if s else c for s, c in zip(sums, centroids)]
+    return centroids
+
+
+def plain_beginning(text, size):
+    seen = 0
+    for place, byte in enumerate(text.encode()):
+        if chr(byte).isalpha() and byte < 128 or byte > 127:
+            seen += 1
+            if seen == size:
+                cut = place + 1
+            if seen > size:
+                return text.encode()[:cut].decode(errors="ignore")
+    return None
+
+
+def test_whole_results_against_a_plain_version(spark):
+    """Frequencies, centroids, floors, cosines and rejections, worked out with dictionaries."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.select("doc_id", F.substring("text", 1, 400).alias("text"), "lang").where("doc_id < 220")
+    odd = [(9000, "12 34"), (9001, ""), (9002, None), (9003, "шщъыь эюя " * 9), (9004, "a1 b2 " * 40), (9005, "the")]
+    docs = docs.unionByName(spark.createDataFrame([(*r, None) for r in odd], "doc_id long, text string, lang string"))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(2**31)).alias("draw")
+    rows = docs.select("*", draw).collect()
+    taught = [r for r in rows if r["lang"] and not held_out(r["doc_id"]) and langid.has_letter(r["text"])]
+    taught.sort(key=lambda r: r["draw"])
+
+    holders = Counter(b for r in taught for b in plain_counts(r["text"])[0])
+    idf = {b: math.log((1 + len(taught)) / (1 + holders[b])) + 1 for b in range(langid.BUCKETS)}
+
+    def vector(counts):
+        return plain_unit({b: math.log1p(n) * idf[b] for b, n in counts.items()})
+
+    by_lang = {}
+    for r in taught:
+        by_lang.setdefault(r["lang"], []).append(r["text"])
+    centroids = {lang: plain_centroids([vector(plain_counts(t)[0]) for t in texts])
+                 for lang, texts in sorted(by_lang.items())}
+
+    def cosine(counts, lang):
+        return max(plain_dot(vector(counts), c) for c in centroids[lang])
+
+    @functools.cache
+    def floor(lang, letters):
+        texts = by_lang[lang]
+        top = langid.REJECT_BELOW * np.percentile([cosine(plain_counts(t)[0], lang) for t in texts], 1)
+        short = 0.0
+        for size in [size for size in langid.BEGINNINGS if size <= letters]:
+            heads = [h for h in (plain_beginning(t, size) for t in texts) if h is not None]
+            found = [cosine(plain_counts(h)[0], lang) for h in heads if langid.has_letter(h)]
+            short = max(short, langid.REJECT_SHORT * np.percentile(found, 5)) if found else top
+        return min(top, short) if letters >= 2 else 0.0
+
+    @functools.cache
+    def least_run(lang):
+        runs = [plain_counts(t)[1:] for t in by_lang[lang]]
+        return langid.REJECT_RUNS * np.percentile([r for n, r in runs if n >= langid.LEAST_LETTERS], 1)
+
+    found = {r["doc_id"]: r for r in langid.identify(docs).collect()}
+    assert len(found) == len(rows) and len(centroids) >= 4
+    sure = 0
+    for r in [r for r in rows if r["doc_id"] >= 9000 or r["doc_id"] % 4 == 0]:
+        own = found[r["doc_id"]]
+        if not langid.has_letter(r["text"]):
+            assert (own["lang_pred"], own["score"], own["rejected"]) == ("und", 0.0, True)
+            continue
+        counts, letters, run = plain_counts(r["text"])
+        cosines = sorted(((cosine(counts, lang), lang) for lang in centroids), reverse=True)
+        best, lang = cosines[0]
+        assert abs(own["score"] - best) < 0.002
+        if best - cosines[1][0] > 0.004:
+            sure += 1
+            assert own["lang_pred"] == lang
+            least, gap = least_run(lang), best - floor(lang, letters)
+            if abs(gap) > 0.002 and abs(run - least) > 0.01:
+                assert own["rejected"] == (gap < 0 or letters >= langid.LEAST_LETTERS and run < least)
+    assert sure >= 40
