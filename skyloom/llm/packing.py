@@ -203,7 +203,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
     as little-endian unsigned 32-bit numbers, ``doc_tokens`` counts all ids of the document with
     its ``end_id``. Every input partition is packed on its own, in its order, without a shuffle;
     ``sequence_id`` carries the partition in its upper half, so a task that runs again gives the
-    same rows. A partition ends with one sequence that may be short.
+    same rows. A partition ends with one sequence that may be short. Cuts are the best ones of each
+    stretch of ``CHUNK`` ids of a partition's stream; no id is lost where stretches meet.
 
     Null and empty texts are an ``end_id`` alone. Every row counts as a document, also when its
     ``doc_id`` is null or repeated. Long texts are cut like all others. Other columns are left
