@@ -2,7 +2,9 @@ import base64
 import struct
 
 import pytest
+from conftest import settings
 
+from __spark_entry__ import _QUERIES, view
 from skyloom.sources import votable
 
 HEAD = """<?xml version="1.0"?><VOTABLE xmlns="http://www.ivoa.net/xml/VOTable/v1.3"><RESOURCE><TABLE>
@@ -125,3 +127,16 @@ def test_sizes_of_cells():
     assert field(None, "doubleComplex").type == "array<double>"
     with pytest.raises(ValueError, match="bit"):
         field(None, "bit")
+
+
+@pytest.mark.parametrize("name", ["read_votable", "read_votable_binary"])
+def test_query_over_several_shuffle_partitions(spark, tmp_path, name):
+    """The files of several tasks: one document each, else the fields of two run together."""
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    part.repartition(3).write.parquet(str(tmp_path / "part.parquet"))
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        found = _QUERIES[name](spark, str(tmp_path))
+        wanted = view(spark, str(tmp_path), "v_cumulative")
+        assert found.count() == part.count()
+        kept = wanted.selectExpr("kepid", "kepoi_name", "koi_score", "koi_teq", "koi_period", "koi_prad")
+        assert found.exceptAll(kept).isEmpty()
