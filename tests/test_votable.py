@@ -3,9 +3,12 @@ import struct
 
 import pytest
 from conftest import settings
+from pyspark.sql import functions as F
 
+import __spark_entry__
 from __spark_entry__ import _QUERIES, view
 from skyloom.sources import votable
+from skyloom.storage import scratch_path
 
 HEAD = """<?xml version="1.0"?><VOTABLE xmlns="http://www.ivoa.net/xml/VOTable/v1.3"><RESOURCE><TABLE>
 <FIELD name="id" datatype="long"><VALUES null="-99"/></FIELD>
@@ -140,3 +143,16 @@ def test_query_over_several_shuffle_partitions(spark, tmp_path, name):
         assert found.count() == part.count()
         kept = wanted.selectExpr("kepid", "kepoi_name", "koi_score", "koi_teq", "koi_period", "koi_prad")
         assert found.exceptAll(kept).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["read_votable_rows", "read_votable", "read_votable_binary"])
+def test_landed_files_do_not_grow_with_the_table(spark, monkeypatch, name):
+    monkeypatch.setattr(__spark_entry__, "LANDED_ROWS", 50)
+    folders = []
+    path = lambda *args: folders.append(scratch_path(*args)) or folders[-1]
+    monkeypatch.setattr(__spark_entry__, "scratch_path", path)
+    found = _QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    files = spark.read.text(folders[0], wholetext=True)
+    sizes = [r[0] for r in files.select(F.length("value")).collect()]
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
+    assert found == part and len(sizes) >= part / 50 and max(sizes) < 50 * 400
