@@ -2,14 +2,16 @@
 
 A text is a vector of hashed n-grams of its letters, weighted by TF-IDF, at length one. Document
 frequencies are counted over all texts to learn from. Each language gets a few centroids by
-spherical k-means over a bounded sample of its texts. A text belongs to the language of the centroid
-with the largest cosine, and is rejected if it is much further from that centroid than the sampled
-texts of its language are, or than their beginnings of its own length are, or if its runs of letters
-are much shorter than theirs (hex dumps, whose letters stand alone between digits).
+spherical k-means: a bounded sample of its texts gives the start, rounds over all of them the means.
+A text belongs to the language of the centroid with the largest cosine, and is rejected if it is much
+further from that centroid than the texts of its language are, or than their beginnings of its own
+length are, or if its runs of letters are much shorter than theirs (hex dumps, whose letters stand
+alone between digits). These floors are percentiles over all texts to learn from.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,12 +27,19 @@ from skyloom.llm.common import held_out
 UNDETERMINED = "und"
 #: Buckets of the vectors, and the n-grams (of bytes) that fall into them.
 BUCKETS, ORDERS = 4096, (1, 2, 3)
-#: Texts sampled from each language for the k-means, centroids of each, rounds.
-SAMPLE, CENTROIDS, ROUNDS = 1000, 4, 12
-#: A text is rejected below these parts of the first percentile of the sample's cosines, mean runs.
+#: Texts sampled from each language for the start of the k-means, centroids of each, rounds over
+#: the sample, rounds over all texts.
+SAMPLE, CENTROIDS, ROUNDS, WHOLE_ROUNDS = 1000, 4, 12, 2
+#: Numbers are added up in these parts, so that their sums are the same in any order.
+PARTS = 2**24
+#: Rows whose beginnings are held in memory together.
+BLOCK_ROWS = 512
+#: Percentiles are those of cosines and of logarithms of mean runs in steps of one part of these.
+COSINE_STEPS, RUN_STEPS = 10_000, 1_000
+#: A text is rejected below these parts of the first percentile of the texts' cosines, mean runs.
 REJECT_BELOW, REJECT_RUNS = 0.6, 0.5
 #: Short texts have small cosines: the floor is at most this part of the fifth percentile of the
-#: cosines of the sample's beginnings of so many letters. Runs count from ``LEAST_LETTERS`` on.
+#: cosines of the texts' beginnings of so many letters. Runs count from ``LEAST_LETTERS`` on.
 REJECT_SHORT, BEGINNINGS, LEAST_LETTERS = 0.5, (2, 4, 8, 16, 32, 64, 128, 256, 512), 16
 
 _LETTER = regex.compile(r"\p{L}")
@@ -89,10 +98,10 @@ def _beginning(text: str, letters: int) -> str | None:
 def fit(docs: DataFrame) -> Centroids:
     """Learns from ``text`` and ``lang`` of the rows that are not held out.
 
-    Rows with a null language or a text without letters teach nothing. The frequencies come from
-    all other rows; the k-means and the floors from about ``SAMPLE`` ids a language at most, drawn by
-    a hash. An id with several rows, like all rows without an id, teaches the k-means by the one whose
-    weights come first.
+    Rows with a null language or a text without letters teach nothing. Frequencies, centroids and
+    floors come from all other rows; only the start of the k-means is that of about ``SAMPLE`` ids a
+    language at most, drawn by a hash, where an id with several rows, like all rows without an id,
+    counts by the one whose weights come first.
     The model holds ``CENTROIDS * BUCKETS`` numbers a language.
     """
     spark = docs.sparkSession
@@ -169,63 +178,107 @@ def fit(docs: DataFrame) -> Centroids:
     owner = np.array([languages.index(r["lang"]) for r in found], int)
     vectors = np.array([np.frombuffer(r["centroid"], np.float32) for r in found])
     vectors = vectors.reshape(-1, BUCKETS)
-    drawn = sample.select("text", "lang", draw.alias("draw"))
-    floors, runs = _floors(drawn, languages, owner, vectors, idf)
+    own = rows.select("text", "lang").where(F.col("lang").isin(languages))
+    for _ in range(WHOLE_ROUNDS if languages else 0):
+        vectors = _means(own, languages, owner, vectors, idf)
+    floors, runs = _floors(own, languages, owner, vectors, idf)
     return Centroids(languages, owner, vectors, floors, runs, idf)
 
 
+def _means(
+    rows: DataFrame, languages: list[str], owner: np.ndarray, vectors: np.ndarray, idf: np.ndarray
+) -> np.ndarray:
+    """The centroids after one round over all texts; the driver gets their sums."""
+    shared = rows.sparkSession.sparkContext.broadcast((languages, owner, vectors, idf))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages, owner, vectors, idf = shared.value
+        number = {lang: k for k, lang in enumerate(languages)}
+        sums = np.zeros(vectors.shape, np.int64)
+        for batch in batches:
+            own = batch.filter(pa.array([has_letter(t.as_py()) for t in batch["text"]]))
+            theirs = np.array([number[lang.as_py()] for lang in own["lang"]], int)
+            for first, counts in _letter_counts(own["text"]):
+                texts = ngrams.tf_idf(counts, idf)
+                cosines = texts @ vectors.T
+                cosines[owner[None, :] != theirs[first : first + len(counts), None]] = -2
+                nearest = cosines.argmax(axis=1)
+                texts = np.rint(texts * np.float32(PARTS)).astype(np.int32)
+                for k in np.unique(nearest):
+                    sums[k] += texts[nearest == k].sum(axis=0, dtype=np.int64)
+        centroid, bucket = np.nonzero(sums)
+        yield pa.record_batch(
+            [pa.array(centroid), pa.array(bucket), pa.array(sums[centroid, bucket])],
+            ["centroid", "bucket", "total"],
+        )
+
+    found = (
+        rows.mapInArrow(add, "centroid long, bucket long, total long")
+        .groupBy("centroid", "bucket")
+        .agg(F.sum("total").alias("total"))
+        .toArrow()
+    )
+    sums = np.zeros(vectors.shape)
+    sums[found["centroid"].to_numpy(), found["bucket"].to_numpy()] = found["total"].to_numpy()
+    empty = ~sums.any(axis=1)
+    sums[empty] = vectors[empty]
+    return ngrams.unit_rows(sums).astype(np.float32)
+
+
 def _floors(
-    sample: DataFrame, languages: list[str], owner: np.ndarray, vectors: np.ndarray, idf: np.ndarray
+    rows: DataFrame, languages: list[str], owner: np.ndarray, vectors: np.ndarray, idf: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """``floors`` and ``runs`` of the model, from a row for each sampled text and beginning."""
-    shared = sample.sparkSession.sparkContext.broadcast((languages, owner, vectors, idf))
+    """``floors`` and ``runs`` of the model, from all texts and their beginnings.
+
+    A task counts how often a cosine, or a mean run (size -1), is there, in steps, so what is
+    shuffled and what a percentile is taken from do not grow with the texts.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((languages, owner, vectors, idf))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, owner, vectors, idf = shared.value
-        for batch in batches:
-            whole = [t.as_py() for t in batch["text"]]
+        number = {lang: k for k, lang in enumerate(languages)}
+        steps: Counter[tuple[int, int, int]] = Counter()
+        for batch in (b.slice(k, BLOCK_ROWS) for b in batches for k in range(0, len(b), BLOCK_ROWS)):
+            own = batch.filter(pa.array([has_letter(t.as_py()) for t in batch["text"]]))
+            whole = own["text"].to_pylist()
+            langs = np.array([number[lang.as_py()] for lang in own["lang"]], int)
             for size in (0, *BEGINNINGS):
-                heads = [_beginning(t, size) if size else t for t in whole if has_letter(t)]
-                own = batch.filter(pa.array([has_letter(t) for t in whole]))
-                own = own.filter(pa.array([h is not None for h in heads], pa.bool_()))
-                heads = pa.array([h for h in heads if h is not None], pa.string())
-                for first, counts, letters, runs in _measured(heads):
-                    part = own.slice(first, len(counts))
+                heads = [_beginning(t, size) if size else t for t in whole]
+                there = np.array([h is not None for h in heads], bool)
+                parts = pa.array([h for h in heads if h is not None], pa.string())
+                for first, counts, letters, runs in _measured(parts):
+                    theirs = langs[there][first : first + len(counts)]
                     cosines = ngrams.tf_idf(counts, idf) @ vectors.T
-                    theirs = np.array([languages.index(v.as_py()) for v in part["lang"]], int)
                     cosines[owner[None, :] != theirs[:, None]] = -1
-                    yield pa.record_batch(
-                        [
-                            part["lang"],
-                            part["draw"],
-                            pa.array([size] * len(part), pa.int64()),
-                            pa.array(cosines.max(axis=1).astype(float)),
-                            pa.array(letters, pa.int64()),
-                            pa.array(runs, pa.float64()),
-                        ],
-                        ["lang", "draw", "size", "cosine", "letters", "runs"],
-                    )
-
-    rows = (
-        sample.mapInArrow(
-            measure, "lang string, draw long, size long, cosine double, letters long, runs double"
+                    found = np.rint(cosines.max(axis=1) * COSINE_STEPS).astype(int)
+                    steps.update(zip(theirs.tolist(), [size] * len(counts), found.tolist()))
+                    if not size:
+                        long = letters >= LEAST_LETTERS
+                        found = np.rint(np.log(runs[long]) * RUN_STEPS).astype(int)
+                        steps.update(zip(theirs[long].tolist(), [-1] * len(found), found.tolist()))
+        keys = np.array(list(steps), int).reshape(-1, 3)
+        yield pa.record_batch(
+            [*(pa.array(column) for column in keys.T), pa.array(list(steps.values()), pa.int64())],
+            ["lang", "size", "step", "texts"],
         )
-        .groupBy("lang", "draw", "size")  # an id is drawn once, however often it is there
-        .agg(F.min(F.struct("cosine", "letters", "runs")).alias("least"))
-        .select("lang", "size", "least.*")
-    )
+
     # The driver gets a row for each language and size.
-    long = F.when(F.col("letters") >= LEAST_LETTERS, F.col("runs"))
-    spread = {
-        (r["lang"], r["size"]): r
-        for r in rows.groupBy("lang", "size")
+    found = (
+        rows.mapInArrow(measure, "lang long, size long, step long, texts long")
+        .groupBy("lang", "size", "step")
+        .agg(F.sum("texts").alias("texts"))
+        .withColumn(
+            "value",
+            F.when(F.col("size") < 0, F.exp(F.col("step") / RUN_STEPS)).otherwise(F.col("step") / COSINE_STEPS),
+        )
+        .groupBy("lang", "size")
         .agg(
-            F.percentile("cosine", 0.01).alias("first"),
-            F.percentile("cosine", 0.05).alias("fifth"),
-            F.percentile(long, 0.01).alias("runs"),
+            F.percentile("value", 0.01, F.col("texts")).alias("first"),
+            F.percentile("value", 0.05, F.col("texts")).alias("fifth"),
         )
-        .collect()
-    }
+    )
+    spread = {(languages[r["lang"]], r["size"]): r for r in found.collect()}
     floors = np.zeros((len(languages), len(BEGINNINGS) + 1))
     least = np.zeros(len(languages))
     for k, lang in enumerate(languages):
@@ -235,9 +288,10 @@ def _floors(
             if (lang, size) in spread:
                 short = max(short, REJECT_SHORT * spread[lang, size]["fifth"])
             else:
-                short = top  # no sampled text is as long
+                short = top  # no text is as long
             floors[k, n] = min(top, short)
-        least[k] = REJECT_RUNS * (spread[lang, 0]["runs"] or 0.0)
+        if (lang, -1) in spread:
+            least[k] = REJECT_RUNS * spread[lang, -1]["first"]
     return floors, least
 
 

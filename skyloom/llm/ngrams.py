@@ -10,7 +10,7 @@ import pyarrow as pa
 from skyloom.llm.shingles import text_blocks
 
 #: Count matrices have at most so many rows.
-BLOCK_TEXTS = 512
+BLOCK_TEXTS = 128
 
 #: Bytes as letters: A-Z in lower case, all other ASCII as space, the rest as it is.
 LETTERS = np.arange(256, dtype=np.uint8)

@@ -227,3 +227,17 @@ def test_whole_results_against_a_plain_version(spark):
             if abs(gap) > 0.002 and abs(run - least) > 0.01:
                 assert own["rejected"] == (gap < 0 or letters >= langid.LEAST_LETTERS and run < least)
     assert sure >= 40
+
+
+def test_all_texts_set_centroids_and_floors(spark, monkeypatch):
+    """With a sample of few texts the model is still that of all: odd texts outside it count."""
+    rows = [(i, text, lang) for i, text, lang in learned(spark)]
+    odd = [(5000 + i, f"{i % 7} zebra quilt vixen jumbo pyx", "en") for i in range(60)]
+    docs = documents(spark, rows + odd)
+    monkeypatch.setattr(langid, "CENTROIDS", 1)
+    whole = langid.fit(docs)
+    monkeypatch.setattr(langid, "SAMPLE", 5)
+    few = langid.fit(docs)
+    assert few.languages == whole.languages == ["de", "en"]
+    assert np.abs(few.vectors - whole.vectors).max() < 1e-5
+    assert np.abs(few.floors - whole.floors).max() < 1e-3 and np.abs(few.runs - whole.runs).max() < 1e-6
