@@ -13,17 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm import langid, lines, minhash, packing, quality
-from skyloom.llm.common import ship, table
+from skyloom.llm.common import bound_batches, ship, table
 from skyloom.storage import discard, written
 
 
+def _prepare(spark: SparkSession) -> None:
+    """The stages run one after another in the same processes, so none may leave them large."""
+    ship(spark)
+    bound_batches(spark)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a language; those without letters or far from all centroids go.
 
     Null, empty and blank texts have no letters. Rows with a null or repeated ``doc_id`` are judged by
     their own texts. All columns pass through; an empty table gives an empty table.
     """
-    ship(spark)
+    _prepare(spark)
     return langid.keep_identified(docs)
 
 
@@ -33,7 +39,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Rows with a null or repeated ``doc_id`` are judged by their own texts, null texts as empty ones. All
     columns pass through; an empty table gives an empty table.
     """
-    ship(spark)
+    _prepare(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -43,7 +49,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document of which the cut leaves no word goes, as all it held stands in other documents. Rows
     that repeat a ``doc_id`` are one document, and so are those that have none.
     """
-    ship(spark)
+    _prepare(spark)
     found = lines.dedup_lines(docs)
     word = F.col("text").rlike(r"[^\x20\x09-\x0D]")
     cut = found.where(word | (F.col("n_dropped") == 0))
@@ -57,7 +63,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a ``doc_id`` are one document and stay together, rows without one stay.
     """
-    ship(spark)
+    _prepare(spark)
     groups = minhash.near_duplicates(docs)
     copies = groups.where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
@@ -69,7 +75,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are an end id alone; every row is a document, also with a null or repeated
     ``doc_id``. An empty table gives no pieces.
     """
-    ship(spark)
+    _prepare(spark)
     pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 

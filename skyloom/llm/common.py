@@ -17,6 +17,8 @@ from skyloom.storage import discard, written
 
 #: White space that the contracts strip and split at.
 SPACES = " \t\n\x0b\x0c\r"
+#: Rows go to Python in Arrow batches of about so many bytes.
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +67,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by ``BATCH_BYTES``, unless it has a bound set already.
+
+    Spark's own are 10,000 rows or 64 MB, so that a whole partition of texts is one batch: both sides
+    hold it, with what is made of it, and processes that serve one job after another keep the room.
+    Rows are not cut or left out.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows no model may learn from: crc32 of the id as text leaves 2 modulo 4 (null id: no)."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

@@ -1,6 +1,8 @@
 import corpus_pipeline
+import pyarrow as pa
 from corpus_cases import deduplicated_lines, documents, near_duplicate_groups, odd_texts
 
+from skyloom.llm import common
 from skyloom.llm.queries import ORACLE_SQL, QUERIES
 from skyloom.storage import written
 
@@ -60,3 +62,17 @@ def test_names(spark):
     assert {name[: name.index("_") + 1] for name in QUERIES if name != "pipeline"} == wanted
     assert "pipeline" in QUERIES and set(ORACLE_SQL) <= set(QUERIES)
     assert QUERIES["pipeline"](spark, SF_DIR).count() > 0
+
+
+def test_stages_hand_texts_to_python_in_small_batches(spark):
+    rows = [(i, "ein Satz mit Wörtern " * 200) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    corpus_pipeline.near_dedup(spark, docs, "")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    found = docs.select("text").mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in found) == 3000
+    assert max(r["bytes"] for r in found) <= 2 * common.BATCH_BYTES
