@@ -1,5 +1,6 @@
 import math
 
+import __spark_entry__
 import numpy as np
 import pytest
 from conftest import plan_text, settings
@@ -378,3 +379,16 @@ def test_a_crowded_cell_is_split(spark):
         totals[row.target_id] = totals.get(row.target_id, 0) + row["count"]
     assert totals == {r.target_id: r["count"] for r in expected}
     assert max(r["count"] for r in counts) < 6000
+
+
+def test_rounded_angles(spark):
+    rng = np.random.default_rng(7)
+    angles = [0.0, 180.0, 4.9999995001, 4.9999994999, 1e-7, 5e-324, *rng.uniform(0, 5, 20_000), *rng.uniform(0, 180, 20_000)]
+    rows = spark.createDataFrame([(float(a),) for a in angles], "a double")
+    found = rows.selectExpr(f"{sky.rounded('a', 6)} AS mine", "round(a, 6) AS theirs").collect()
+    assert all(r.mine == r.theirs for r in found)
+
+
+def test_near_targets_query_rounds_in_doubles(spark):
+    plan = plan_text(__spark_entry__.queries()["sky_near_targets"](spark, "/root/testdata/sf0.01"))
+    assert "floor(" in plan.lower() and " round(" not in plan.lower()
