@@ -95,6 +95,80 @@ def test_the_share_that_suffix_arrays_decide(spark):
     assert len(undeclared) == 20
 
 
+def article(n, box, size=40):
+    return f"<article><h1>T{n}</h1><p>{' '.join(f'w{n}x{j}' for j in range(size))}</p>{box}<p>end {n}</article>"
+
+
+def plain(n, size=40):
+    return f"T{n} {' '.join(f'w{n}x{j}' for j in range(size))} end {n}"
+
+
+def test_hosts_judge_boxes_of_declared_articles(spark):
+    """Boxes that nothing names go if the host shows them around articles, and in different ones."""
+    foot = f"<footer>{SITE}</footer>"
+    box = f"<div class='b7'><p>{SITE}</div>"
+    part, bare, head = f"<div class=b7>{SITE} now</div>", f"<div>{SITE}</div>", f"<h2 class=b7>{SITE}</h2>"
+    rows = [(i, "http://a.example/", article(i, box) + foot) for i in range(4)]
+    rows += [(4 + i, "http://a.example/", article(4 + i, kept) + foot) for i, kept in enumerate((part, bare, head))]
+    rows += [(7, "http://a.example/", f"<article class=post>{box}</article>{foot}")]
+    rows += [(8, "http://a.example/", f"<main>{box * 20}{article(8, '')}</main>")]
+    # Nothing around articles says so; few pages around; few articles.
+    rows += [(10 + i, "http://b.example/", article(10 + i, box)) for i in range(4)]
+    rows += [(20 + i, "http://c.example/", article(20 + i, box) + foot * (i < 2)) for i in range(4)]
+    rows += [(30 + i, "http://d.example/", article(30 + i, box * (i < 2)) + foot) for i in range(4)]
+    found = {r["page_id"]: r["text"] for r in pages.main_text(table(spark, rows)).collect()}
+    wanted = {i: plain(i) for i in (*range(4), 8, 32, 33)}
+    wanted |= {i: plain(i).replace(" end", f" {SITE} end") for i in (5, 6, *range(10, 14), *range(20, 24), 30, 31)}
+    wanted |= {4: plain(4).replace(" end", f" {SITE} now end"), 7: SITE}
+    assert found == wanted
+
+
+def test_near_copies_of_an_article_keep_their_lead(spark):
+    """Many pages lead to one article; its copies and editions are no evidence of a notice."""
+    lead = f"<p class='lead'>{SITE}</p>"
+    rows = [(i, f"http://a.example/{i}", article(1, lead, 400) + f"<aside>{SITE}</aside>") for i in range(6)]
+    rows += [(6, "http://a.example/6", article(1, lead, 399) + f"<aside>{SITE}</aside>")]
+    found = {r["page_id"]: r["text"] for r in pages.main_text(table(spark, rows)).collect()}
+    assert found == {
+        i: plain(1, 399 if i == 6 else 400).replace(" end", f" {SITE} end") for i in range(7)
+    }
+
+
+def test_boxes_are_counted_over_all_arrays(spark):
+    """Three of a host's 400 pages have a notice in a box, three others in their footers."""
+    rows = []
+    for i in range(400):
+        box = f"<div class=b7>{SITE}</div>" if i in (5, 105, 305) else "<p class=own>own text</p>"
+        foot = f"<footer>{SITE}</footer>" if i in (50, 150, 350) else ""
+        rows.append((i, f"http://a.example/{i}", article(i, box) + foot))
+    found = pages.main_text(table(spark, rows), pages_per_array=10).collect()
+    own = {i: plain(i).replace(" end", " own text end") for i in range(400)}
+    assert {r["page_id"]: r["text"] for r in found} == own | {i: plain(i) for i in (5, 105, 305)}
+
+
+@pytest.mark.parametrize(
+    "page, boxes",
+    [
+        ("<article><div class=x>a<p>b</div>c<section id=y>d</section></article>", {1: "a b", 2: "d"}),
+        ("<article><p class=x>a<p>b<p class=y>c<div>d</div>e</article>", {1: "a", 2: "c"}),
+        ("<article><div class=x>a<div>b</div><div class=y>c</div>d</div>e</article>", {1: "a b d", 2: "c"}),
+        ("<article><ul><li class=x>a<li>b</ul><div class=y>c</article><div class=z>d", {1: "a", 2: "c"}),
+        ("<article><span class=x>a</span><h2 class=x>b</h2><div class=''>c</div></article>", {}),
+        ("<article class=post><div class=entry-content>a</div><div class=ad>b</div></article>", {}),
+        ("<main id=content><div class=x>a</div><article class=x>b</article></main>", {1: "a"}),
+        ("<div class=x>a</div><article>b</article>", {}),
+    ],
+)
+def test_boxes(page, boxes):
+    parts = [(zone, text, box) for zone, chrome, text, box in pages.blocks(page) if not chrome]
+    assert pages.boxed_texts(parts, 1) == boxes
+
+
+def test_unclosed_boxes_take_no_square_time():
+    page = "<article>" + "<div class=x>word " * 100_000
+    assert len(pages.blocks(page)) == 100_000
+
+
 def test_loose_pages_lose_what_the_host_repeats(spark):
     own = [" ".join(f"w{i}x{j}" for j in range(15)) for i in range(6)]
     rows = [
