@@ -392,3 +392,42 @@ def test_rounded_angles(spark):
 def test_near_targets_query_rounds_in_doubles(spark):
     plan = plan_text(__spark_entry__.queries()["sky_near_targets"](spark, "/root/testdata/sf0.01"))
     assert "floor(" in plan.lower() and " round(" not in plan.lower()
+
+
+def test_crowded_targets_are_met_cell_by_cell(spark, stars):
+    """Many targets for every row: both sides are dealt out by small cells, however small the targets' table."""
+    ra, dec = random_sky(16_000, 3)
+    rows = [(i, float(a), float(d)) for i, (a, d) in enumerate(zip(ra, dec))]
+    targets = spark.createDataFrame(rows, "target_id int, ra double, dec double")
+    with settings(spark, {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        pairs = near_targets(stars, targets, 4.0)
+        assert _joins(plan_text(pairs)) == {"SortMergeJoin"}
+        few = near_targets(stars, targets.where("target_id < 200"), 4.0)
+        assert _joins(plan_text(few)) == {"BroadcastHashJoin"}
+        places = stars.where("ra IS NOT NULL AND dec IS NOT NULL").select("id", "ra", "dec").toPandas()
+        sky_rows = units(places.ra.to_numpy(), places.dec.to_numpy())
+        wanted = np.zeros(16_000, dtype=int)
+        for i, place in enumerate(units(np.array(ra), np.array(dec))):
+            wanted[i] = (np.linalg.norm(sky_rows - place, axis=1) / 2 <= math.sin(math.radians(4) / 2)).sum()
+        found = {r.target_id: r["count"] for r in pairs.groupBy("target_id").count().collect()}
+    assert found == {i: n for i, n in enumerate(wanted.tolist()) if n}
+
+
+@pytest.mark.parametrize("crowd", [0, 1e9])
+def test_rows_at_the_radius_are_decided_by_the_region(spark, monkeypatch, crowd):
+    """A grid on which many pairs are as far apart as the radius, also with other turns of right ascension."""
+    monkeypatch.setattr(near, "CROWD", crowd)
+    grid = spark.range(19 * 37).selectExpr(
+        "int(id) AS id", "double(id % 37 * 10 - 180) AS ra", "double(id div 37 * 10 - 90) AS dec"
+    )
+    targets = grid.selectExpr("id AS target_id", "ra + 360 AS ra", "dec")
+    for radius in (1e-7, 10.0):
+        pairs = near_targets(grid, targets, radius).select("target_id", "id", "separation")
+        close = sky.within("g.ra", "g.dec", "t.ra", "t.dec", radius)
+        wanted = grid.alias("g").crossJoin(targets.alias("t")).where(close).select(
+            "target_id", "id", F.expr(sky.separation("g.ra", "g.dec", "t.ra", "t.dec")).alias("separation")
+        )
+        key = lambda r: (r.target_id, r.id)
+        mine, theirs = sorted(pairs.collect(), key=key), sorted(wanted.collect(), key=key)
+        assert list(map(key, mine)) == list(map(key, theirs)) and len(mine) >= 19 * 37
+        assert max(abs(a.separation - b.separation) for a, b in zip(mine, theirs)) < 1e-11
